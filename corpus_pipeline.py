@@ -1,15 +1,61 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: quality, toxicity, near-duplicates, benchmark passages, packing.
+
+Each stage works on all rows that its predecessor kept and, but for the last,
+returns rows with the columns of ``documents``.  Models are learnt from the
+stage's input and ``labels``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinolytics.llm.common import stored
+from kinolytics.llm.decontam import decontaminate
+from kinolytics.llm.packing import pack
+from kinolytics.llm.quality import fit_quality, keep_good
+from kinolytics.llm.simhash import keep_first
+from kinolytics.llm.toxicity import fit_toxicity, keep_clean
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return keep_good(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.3)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain finds toxic go."""
+    return keep_clean(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document of the smallest id stays."""
+    return keep_first(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with benchmark passages go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove="documents", width=10)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", packing)]
 
-STAGES: list = []
+#: The stages learn models and tokenise, which SQL cannot express; tests hold them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written to the shared folder and read by the next stage."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = stored(docs, spark)
     return docs

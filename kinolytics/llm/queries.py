@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinolytics.llm.decontam import contamination
 from kinolytics.llm.embed_dedup import embedding_groups
+from kinolytics.llm.lm_score import lm_scores
+from kinolytics.llm.packing import pack
+from kinolytics.llm.quality import fit_quality, in_training, quality_score
 from kinolytics.llm.simhash import simhash_groups
 from kinolytics.llm.token_counts import token_counts
+from kinolytics.llm.toxicity import fit_toxicity, toxicity
 from kinolytics.llm.url_filter import url_verdicts
+from kinolytics.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +43,43 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), width=3, most_bits=3)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_url_filter, op3_embedding_dedup, op5_simhash)}
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages")).select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    voters = fit_quality(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(~in_training("doc_id"), F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality_score(voters, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, chain).select("doc_id", F.coalesce(~in_training("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_token_counts, op2_url_filter, op3_embedding_dedup, op4_lm_scoring, op5_simhash, op6_decontamination, op7_warc, op8_quality, op9_toxicity, op10_packing)
+}
 
 SQL = {
     "op2_url_filter": r"""
@@ -61,4 +103,30 @@ SQL = {
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op6_decontamination": r"""
+        WITH low AS (
+            SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        doc AS (SELECT doc_id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low),
+        item AS (
+            SELECT CAST(item_id AS VARCHAR) AS item,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        at AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM item WHERE len(w) > 0),
+        gram AS (SELECT DISTINCT item, n, array_to_string(w[k : k + n - 1], ' ') AS g FROM at),
+        size AS (SELECT DISTINCT n FROM gram),
+        win AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, size WHERE len(w) >= n),
+        found AS (SELECT doc_id, item, k, win.n AS n FROM win JOIN gram ON gram.n = win.n AND gram.g = array_to_string(w[k : k + win.n - 1], ' ')),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+        m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS head FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> head THEN head END AS refers_to
+        FROM m""",
 }

@@ -197,3 +197,10 @@ def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col:
     out = prints.join(named, "fingerprint", "left")
     text = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
     return out.select(F.col("id").alias(id_col), text.alias("fingerprint"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
+
+
+def keep_first(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, with their own columns, without those whose group has a smaller id.  Rows of a null id stay; repeated rows of a kept id all stay."""
+    groups = simhash_groups(docs.select(id_col, text_col), width, most_bits, id_col, text_col)
+    later = groups.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_later")).distinct()
+    return docs.join(stored(later), docs[id_col] == F.col("_later"), "left_anti")
