@@ -111,8 +111,8 @@ SQL = {
             SELECT CAST(item_id AS VARCHAR) AS item,
                    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
             FROM benchmark),
-        at AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM item WHERE len(w) > 0),
-        gram AS (SELECT DISTINCT item, n, array_to_string(w[k : k + n - 1], ' ') AS g FROM at),
+        places AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS k FROM item WHERE len(w) > 0),
+        gram AS (SELECT DISTINCT item, n, array_to_string(w[k : k + n - 1], ' ') AS g FROM places),
         size AS (SELECT DISTINCT n FROM gram),
         win AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM doc, size WHERE len(w) >= n),
         found AS (SELECT doc_id, item, k, win.n AS n FROM win JOIN gram ON gram.n = win.n AND gram.g = array_to_string(w[k : k + win.n - 1], ' ')),
