@@ -20,7 +20,9 @@ WIDTH = 10
 #: Rows of n-grams, or of documents with hits, that may be broadcast; more are joined by shuffle.
 MOST_ROWS = 2_000_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-REST = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same borders in a text that is not in lower case.
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
@@ -105,9 +107,15 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col:
 
 def without_spans(text: Column, spans: Column) -> Column:
     """The text without the words of the spans (and what follows each of them up to the next word)."""
-    lower_free = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"{REST}|{WORD}"), F.lit(0))
-    begins = F.regexp_like(F.coalesce(text, F.lit("")), F.lit(f"^{WORD}")).cast("int")
-    kept = F.filter(lower_free, lambda x, k: ~F.exists(spans, lambda s: (F.floor((k + begins + 1) / 2) - 1 >= s["start"]) & (F.floor((k + begins + 1) / 2) - 1 < s["stop"])))
+    text = F.coalesce(text, F.lit(""))
+    parts = F.regexp_extract_all(text, F.lit(f"{BETWEEN}|{ANY_CASE}"), F.lit(0))
+    begins = F.regexp_like(text, F.lit(f"^{ANY_CASE}")).cast("int")
+
+    def kept_part(x: Column, k: Column) -> Column:
+        word = F.floor((k + begins + 1) / 2) - 1  # of this part, or before it
+        return ~F.exists(spans, lambda s: (word >= s["start"]) & (word < s["stop"]))
+
+    kept = F.filter(parts, kept_part)
     return F.array_join(kept, "")
 
 
