@@ -29,6 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let batches to and from Python hold about 4 MB instead of 64: texts are long, and every worker and its JVM keep several copies."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def stored(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     """Write the rows to the shared folder and read them back: lineage ends here,
     and the loss of an executor costs no earlier step."""

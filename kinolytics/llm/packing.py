@@ -10,6 +10,8 @@ logarithmic time.  Groups are independent tasks.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,14 +19,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import slices
+from kinolytics.llm.common import slices, small_batches
 
 #: Documents of a group on average, and bytes of text: a group is one task's work.
 GROUP_DOCS = 1500
 GROUP_BYTES = 16 << 20
-KEPT_UNITS = 250_000
-#: Texts in which words are separated by single spaces and line ends only, of characters that never join across those.
-IRREGULAR = re.compile(r"[^ \n!-~¡-ɏ]|  |\n | \n|\n\n|\A[ \n]|[ \n]\Z")
+KEPT_UNITS = 200_000
+NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
+#: Characters that never join across a single space or line end.
+OTHER = re.compile(r"[^ \n!-~¡-ɏ]")
+
+
+#: A comma or full stop that does not follow a letter or digit, and so may belong to a longer run of signs.
+JOINED = re.compile(r"(?:\A|[^0-9A-Za-zÀ-ÖØ-öø-ɏ])[,.]")
+
+
+def stretches(text: str) -> list[str]:
+    """A regular text cut where the tokenizer's pattern always cuts: before single spaces, around line ends, and between a letter and a comma or full stop."""
+    text = text.replace("\n", "\v\n").replace(" ", "\v ")
+    if not JOINED.search(text):
+        text = text.replace(",", "\v,").replace(".", "\v.")
+    return text.split("\v")
+
+
+def regular(text: str) -> bool:
+    """Are words separated by single spaces and single line ends only, of plain characters?"""
+    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or OTHER.search(text))
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if NATIVE else np.array(ids, dtype="<u4").tobytes()
 
 
 class ByteIds:
@@ -40,24 +64,42 @@ class ByteIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        if not text:
-            return b""
-        if IRREGULAR.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        first, *parts = text.replace("\n", " \n").split(" ")
-        kept = self.kept
-        new = [p for p in set(parts) if p not in kept]
-        if new:
-            if len(kept) > KEPT_UNITS:
-                kept.clear()
-                new = list(set(parts))
-            found = self.tokenizer.encode_batch_fast([p if p[0] == "\n" else " " + p for p in new], add_special_tokens=False)
-            kept.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, found, strict=True))
-        head = np.array(self.tokenizer.encode(first, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return head + b"".join([kept[p] for p in parts])
+        self.old: dict[str, bytes] = {}
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def many(self, parts: list[str]) -> list[bytes]:
+        """The ids of many stretches: those without a line end are encoded as lines of one text, as a line end is always a token of its own there."""
+        out: list[bytes | None] = [None] * len(parts)
+        plain = [k for k, p in enumerate(parts) if p and p[0] != "\n"]
+        for a in range(0, len(plain), 10_000):
+            some = plain[a : a + 10_000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([parts[k] for k in some])], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.line_end)
+            if len(cuts) == len(some) - 1:
+                data, ends = ids.tobytes(), [-4, *(4 * cuts).tolist(), 4 * len(ids)]
+                for k, x, y in zip(some, ends, ends[1:], strict=False):
+                    out[k] = data[x + 4 : y]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.encoded([parts[k] for k in rest]), strict=True):
+            out[k] = x
+        return out  # type: ignore[return-value]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        cut = [stretches(text) if text and regular(text) else None for text in texts]
+        if len(self.kept) > KEPT_UNITS:  # two generations: what is used again moves up
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        new = set().union(*(p for p in cut if p)).difference(kept)
+        again = new.intersection(old)
+        kept.update((w, old[w]) for w in again)
+        unknown = list(new - again)
+        kept.update(zip(unknown, self.many(unknown), strict=True))
+        whole = iter(self.encoded([t for t, p in zip(texts, cut, strict=True) if p is None and t]))
+        return [b"".join(map(kept.__getitem__, p)) if p else next(whole) if t else b"" for t, p in zip(texts, cut, strict=True)]
 
 
 class Room:
@@ -113,6 +155,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
     An empty table gives no rows; other columns are not read.  Memory: one group
     (about ``GROUP_DOCS`` documents), or one very long document.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()
@@ -124,8 +167,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches, "text", 1 << 20):
             row, start, ids, doc = [], [], [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                data = coder.ids(text or "") + end
+            for k, data in enumerate(coder.ids([t or "" for t in batch.column(1).to_pylist()])):
+                data += end
                 for a in range(0, len(data), 4 * capacity):
                     row.append(k), start.append(a // 4), ids.append(data[a : a + 4 * capacity]), doc.append(len(data) // 4)
             at = pa.array(row, pa.int64())
