@@ -30,8 +30,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document of the smallest id stays."""
-    return keep_first(docs)
+    """Of each group of near copies (shingles of five words, similarity 0.8 or more), the document of the smallest id stays."""
+    return keep_first(docs, width=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=0)
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024, end_id=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

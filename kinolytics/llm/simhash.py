@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, local_components, runs, stored, utf8
+from kinolytics.llm.common import connected_components, runs, small_batches, stored, utf8
 
 SEED = 42
 #: First bit and length of each segment of a fingerprint.
@@ -32,30 +32,31 @@ BLOCK = 2048
 GENERATOR = 0b101011100011  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1, of the Golay code (23, 12)
 
 
-def golay_table() -> np.ndarray:
-    """For each word of 23 bits, the index (upper 12 bits) of its codeword."""
-    syndrome_of = np.zeros(1 << 23, dtype=np.uint16)
-    words = np.arange(1 << 23, dtype=np.uint32)
-    rest = words.copy()
+def remainders(words: np.ndarray) -> np.ndarray:
+    """Of words of 23 bits divided by the generator, over GF(2)."""
+    rest = words.astype(np.int64)
     for bit in range(22, 10, -1):
-        rest ^= np.where(rest >> bit & 1, np.uint32(GENERATOR << (bit - 11)), np.uint32(0)).astype(np.uint32)
-    syndrome_of[:] = rest
+        rest ^= (rest >> bit & 1) * (GENERATOR << (bit - 11))
+    return rest
+
+
+def golay_tables() -> tuple[np.ndarray, np.ndarray]:
+    """(remainder of each upper half of 12 bits, error pattern of each remainder): the code is perfect, so each remainder has one pattern of up to three bits."""
     flips = [0] + [1 << a for a in range(23)]
     flips += [1 << a | 1 << b for a in range(23) for b in range(a)]
     flips += [1 << a | 1 << b | 1 << c for a in range(23) for b in range(a) for c in range(b)]
-    flips = np.array(flips, dtype=np.uint32)
-    error = np.zeros(1 << 11, dtype=np.uint32)
-    error[syndrome_of[flips]] = flips  # perfect: each syndrome has one error pattern
-    return ((words ^ error[syndrome_of]) >> 11).astype(np.uint16)
+    patterns = np.array(flips, dtype=np.int64)
+    error = np.zeros(1 << 11, dtype=np.int64)
+    error[remainders(patterns)] = patterns
+    return remainders(np.arange(1 << 12, dtype=np.int64) << 11), error
 
 
-_table: list[np.ndarray] = []
+UPPER, ERROR = golay_tables()
 
 
 def decode(words: np.ndarray) -> np.ndarray:
-    if not _table:
-        _table.append(golay_table())
-    return _table[0][words]
+    """The index (upper 12 bits) of the codeword within three bits of each word."""
+    return (words ^ ERROR[UPPER[words >> 11] ^ (words & 0x7FF)]) >> 11
 
 
 def segment(prints: np.ndarray, s: int) -> np.ndarray:
@@ -86,86 +87,129 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(side)
 
 
-def fingerprint(data: bytes, width: int) -> int:
-    """SimHash of the text's shingles; 0 without words.  A-Z are lower-cased, ASCII white space separates words."""
+def mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The k-th further 64-bit hash from a first one (SplitMix64); the 0-th is the hash itself."""
+    if not k:
+        return h
+    x = h + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def fingerprint(data: bytes, width: int, parts: int = 1) -> np.ndarray:
+    """SimHash of the text's shingles, ``parts`` words of 64 bits; 0 without words.  A-Z are lower-cased, ASCII white space separates words."""
     words = data.lower().split()
     if not words:
-        return 0
+        return np.zeros(parts, dtype=np.uint64)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[: max(0, len(words) - width)].tolist()]
     stops = (ends[width - 1 :] - 1).tolist() or [len(line)]
     digest = xxhash.xxh64_intdigest
-    over = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(starts), 1 << 16):
-        h = np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + (1 << 16)], stops[k : k + (1 << 16)], strict=True)], dtype="<u8")
-        over += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * over > len(starts), bitorder="little").view("<u8")[0])
+    over = np.zeros((parts, 64), dtype=np.int64)
+    for k in range(0, len(starts), 1 << 14):
+        h = np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + (1 << 14)], stops[k : k + (1 << 14)], strict=True)], dtype="<u8")
+        for part in range(parts):
+            over[part] += np.unpackbits(mixed(h, part).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * over > len(starts), axis=1, bitorder="little").view("<u8")[:, 0].astype(np.uint64)
 
 
-def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint as long) of each row's whole text; null counts as empty."""
+def fingerprints(docs: DataFrame, width: int = 3, parts: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, f0, f1, ...) of each row's whole text, as longs; null counts as empty."""
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
+    names = [f"f{k}" for k in range(parts)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = np.array([fingerprint(x, width) for x in utf8(b.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=["id", "fingerprint"])
+            prints = np.array([fingerprint(x, width, parts) for x in utf8(b.column(1))], dtype=np.uint64).reshape(b.num_rows, parts)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(prints[:, k]).view(np.int64)) for k in range(parts))], names=["id", *names])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, fingerprint long")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
-def linked_prints(prints: DataFrame, most_bits: int = 3) -> DataFrame:
-    """Edges (src, dst) between distinct fingerprints (fingerprint, id) that connect exactly what links of ``most_bits`` (3 or fewer) connect.
+def single_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of one segment each, for fingerprints of several words that may differ in many bits: nearby indices store, own ones probe."""
+    rows, keys, side = [], [], []
+    for part in range(prints.shape[1]):
+        for s in range(3):
+            words, k = segment(np.ascontiguousarray(prints[:, part]), s), 3 * part + s
+            row, index = nearby(words, SEGMENTS[s][1])
+            rows += [row, np.arange(len(words))]
+            keys += [k << 12 | index, k << 12 | decode(words)]
+            side += [np.zeros(len(row), bool), np.ones(len(words), bool)]
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(side)
+
 
+def heads(near: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of ``n`` nodes in each node's component; near[i, j] links the nodes a[i] and b[j].  No list of the links is made."""
+    label, most = np.arange(n, dtype=np.int32), np.int32(n)
+    while near.size:
+        low = label.copy()
+        np.minimum.at(low, a, np.where(near, label[b][None, :], most).min(axis=1))
+        np.minimum.at(low, b, np.where(near, label[a][:, None], most).min(axis=0))
+        np.minimum.at(low, label, low.copy())
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            break
+        label = low
+    return label
+
+
+def linked_prints(prints: DataFrame, most_bits: int, parts: int = 1) -> DataFrame:
+    """Edges (src, dst) between distinct fingerprints (id, f0, ...) that connect what links of at most ``most_bits`` differing bits connect.
+
+    One word and up to three bits: keys of segment pairs, which find every link.  Several words: keys of single segments.
     A task gets whole keys, of hot keys one pair of blocks; it returns for each
     fingerprint one edge to the head of its local component, not all pairs.
     """
-    if not 0 <= most_bits <= 3:
+    if parts == 1 and not 0 <= most_bits <= 3:
         raise ValueError("the code finds up to three differing bits")
+    names = [f"f{k}" for k in range(parts)]
+    kind = prints.schema["id"].dataType.simpleString()
+    columns = ", ".join(f"{n} long" for n in names)
+
+    def matrix(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+        return np.stack([b.column(n).to_numpy().view(np.uint64) for n in names], axis=1)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(0, b.num_rows, 20_000):
-                part = b.slice(k, 20_000)
-                own = part.column(0).to_numpy().view(np.uint64)
-                row, key, probes = keys_of(own)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(probes), pa.array(own.view(np.int64)[row]), part.column(1).take(pa.array(row))], names=["key", "probes", "fingerprint", "id"])
-
-    kind = prints.schema["id"].dataType.simpleString()
-    keyed = prints.select("fingerprint", "id").mapInArrow(spread, f"key long, probes boolean, fingerprint long, id {kind}")
-    keyed = stored(keyed)
-    hot = stored(keyed.groupBy("key").count().filter(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")))
+            for k in range(0, b.num_rows, 10_000):
+                part = b.slice(k, 10_000)
+                own = matrix(part)
+                row, key, probes = keys_of(np.ascontiguousarray(own[:, 0])) if parts == 1 else single_keys(own)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(probes), *(part.column(n).take(at) for n in ("id", *names))], names=["key", "probes", "id", *names])
+
+    keyed = prints.select("id", *names).mapInArrow(spread, f"key long, probes boolean, id {kind}, {columns}")
+    hot = stored(keyed.groupBy("key").count().filter(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     # each stored row goes to every block of probes of its key, and each probing row to every block of stored ones
-    own = F.pmod(F.xxhash64("fingerprint", "probes"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = keyed.join(hot, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).select("*", own.alias("own"), other.alias("other"))
-    dealt = dealt.select("key", F.when(F.col("probes"), F.col("other")).otherwise(F.col("own")).alias("a"), F.when(F.col("probes"), F.col("own")).otherwise(F.col("other")).alias("b"), "probes", "fingerprint", "id")
+    own = F.pmod(F.xxhash64("id", "probes"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = keyed.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("*", own.alias("own"), other.alias("other"))
+    dealt = dealt.select("key", F.when(F.col("probes"), F.col("other")).otherwise(F.col("own")).alias("a"), F.when(F.col("probes"), F.col("own")).otherwise(F.col("other")).alias("b"), "probes", "id", *names)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[np.ndarray, np.ndarray]] = []
         for rows in runs(batches, ["key", "a", "b"]):
-            if rows.num_rows < 3:  # a fingerprint meets itself under its own key
-                if rows.num_rows < 2 or rows.column("id")[0] == rows.column("id")[1]:
-                    continue
             probes = rows.column("probes").to_numpy(zero_copy_only=False)
-            if probes.all() or not probes.any():
+            if len(probes) < 2 or probes.all() or not probes.any():
                 continue
-            ids, first, inverse = np.unique(rows.column("id").to_numpy(), return_index=True, return_inverse=True)
-            if len(ids) < 2:
+            ids, inverse = np.unique(rows.column("id").to_numpy(), return_inverse=True)
+            if len(ids) < 2:  # a fingerprint meets itself under its own key
                 continue
-            p = rows.column("fingerprint").to_numpy().view(np.uint64)
-            near = np.bitwise_count(p[~probes][:, None] ^ p[probes][None, :]) <= most_bits
-            a, b = np.nonzero(near)
-            a, b = inverse[~probes][a], inverse[probes][b]
-            a, b = a[a != b], b[a != b]
-            if len(a):
-                used, at = np.unique(np.r_[a, b], return_inverse=True)
-                linked = np.zeros((len(used), len(used)), dtype=bool)
-                linked[at[: len(a)], at[len(a) :]] = linked[at[len(a) :], at[: len(a)]] = True
-                head = local_components(linked)
-                away = head != np.arange(len(used))
-                out.append((ids[used[away]], ids[used[head[away]]]))
+            f = matrix(rows)
+            apart = np.zeros((int((~probes).sum()), int(probes.sum())), dtype=np.uint16)
+            for k in range(parts):
+                apart += np.bitwise_count(f[~probes, k][:, None] ^ f[probes, k][None, :])
+            near = apart <= most_bits
+            rows_a, rows_b = near.any(axis=1), near.any(axis=0)
+            near, a, b = near[rows_a][:, rows_b], inverse[~probes][rows_a], inverse[probes][rows_b]
+            label = heads(near, a, b, len(ids))
+            away = np.flatnonzero(label != np.arange(len(ids)))
+            if len(away):
+                out.append((ids[away], ids[label[away]]))
             if len(out) > 1000:
                 yield edges(out)
                 out = []
@@ -178,6 +222,15 @@ def linked_prints(prints: DataFrame, most_bits: int = 3) -> DataFrame:
     return dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(link, f"src {kind}, dst {kind}").distinct()
 
 
+def groups_of(prints: DataFrame, most_bits: int, parts: int) -> DataFrame:
+    """(id, f0, ..., component) for rows (id, f0, ...).  Equal fingerprints are one class before anything is compared, so that copies cost one row."""
+    names = [f"f{k}" for k in range(parts)]
+    classes = stored(prints.filter("id is not null").groupBy(*names).agg(F.min("id").alias("id")))
+    components = connected_components(prints.sparkSession, classes.select("id"), linked_prints(classes, most_bits, parts))
+    named = stored(classes.join(components, "id").select(*names, "component"))
+    return prints.join(named, names, "left").withColumn("component", F.when(F.col("id").isNotNull(), F.col("component")))
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, fingerprint (16 lower-case hex digits), component_id.
 
@@ -185,22 +238,36 @@ def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col:
     component_id is the smallest id reachable by links.  Texts without words
     (also null) have the fingerprint 0 and link like any other.  Rows with a
     null id get component_id null and take no part; repeated rows stay.  Ids
-    are integers; other columns are not read.  Equal fingerprints are one class
-    before anything is compared, so that copies cost one row.
+    are integers; other columns are not read.
     """
-    spark = docs.sparkSession
-    prints = stored(fingerprints(docs, width, id_col, text_col))
-    classes = stored(prints.filter("id is not null").groupBy("fingerprint").agg(F.min("id").alias("id")))
-    edges = linked_prints(classes, most_bits)
-    groups = connected_components(spark, classes.select("id"), edges)
-    named = stored(classes.join(groups, "id").select("fingerprint", "component"))
-    out = prints.join(named, "fingerprint", "left")
-    text = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
-    return out.select(F.col("id").alias(id_col), text.alias("fingerprint"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows, with their own columns, without those whose group has a smaller id.  Rows of a null id stay; repeated rows of a kept id all stay."""
-    groups = simhash_groups(docs.select(id_col, text_col), width, most_bits, id_col, text_col)
+    out = groups_of(stored(fingerprints(docs, width, 1, id_col, text_col)), most_bits, 1)
+    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+#: Words of a fingerprint that is to find copies with many changed words.
+WIDE = 3
+
+
+def bits_apart(similarity: float, parts: int = WIDE) -> int:
+    """Differing bits up to which texts link: what the Jaccard similarity of shingles makes likely, and 1.5 standard deviations more."""
+    p = float(np.arccos(2 * similarity / (1 + similarity))) / np.pi
+    n = 64 * parts
+    return int(n * p + 1.5 * (n * p * (1 - p)) ** 0.5)
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: the id and component_id, for near copies by their shingles of ``width`` words.
+
+    Fingerprints have 192 bits; texts link when these say a similarity of ``similarity`` or more (``bits_apart``).
+    A pair at a similarity of 0.8 shares a key of one of the nine segments with a chance of over 0.99, closer pairs with more.
+    Rows of null ids, empty texts and repeated rows are treated as in ``simhash_groups``.
+    """
+    out = groups_of(stored(fingerprints(docs, width, WIDE, id_col, text_col)), bits_apart(similarity), WIDE)
+    return out.select(F.col("id").alias(id_col), F.col("component").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, with their own columns, without those whose group of near copies has a smaller id.  Rows of a null id stay; repeated rows of a kept id all stay."""
+    groups = similar_groups(docs.select(id_col, text_col), width, similarity, id_col, text_col)
     later = groups.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_later")).distinct()
     return docs.join(stored(later), docs[id_col] == F.col("_later"), "left_anti")
