@@ -101,7 +101,7 @@ def affected_days(day: Column, start: str, end: str, length: int) -> Column:
 
 def genre_affinity(sessions: DataFrame, title_genres: DataFrame, genres: DataFrame, start: str, end: str, length: int = 90) -> DataFrame:
     """(feature_date, profile_id, genre_name, share): share of watch time in the days before; a title of several genres counts fully for each."""
-    s = sessions.filter("is_valid_session").join(F.broadcast(title_genres), "title_id").join(F.broadcast(genres), "genre_id")
+    s = sessions.filter("is_valid_session").join(title_genres, "title_id").join(genres, "genre_id")
     daily = s.groupBy("profile_id", "session_date", "genre_name").agg(F.sum("seconds_watched").alias("seconds"))
     seen = daily.select("profile_id", "genre_name", "seconds", affected_days(F.col("session_date"), start, end, length).alias("feature_date"))
     sums = seen.groupBy("feature_date", "profile_id", "genre_name").agg(F.sum("seconds").alias("seconds"))

@@ -501,7 +501,7 @@ def ranked(v):
     p, t = v("v_profiles").select("profile_id"), v("v_title_vectors").select("title_id", c("genre").cast("string").alias("primary_genre"))
     score = F.round(((c("profile_id") * 7919 + c("title_id") * 104729) % 10007) / 10007.0, 4)
     keyed = t.withColumn("k", F.pmod(-c("title_id"), F.lit(10)))
-    return p.withColumn("k", c("profile_id") % 10).join(F.broadcast(keyed), "k").drop("k").withColumns({"score": score, "reason": F.lit("ranked")})
+    return p.withColumn("k", c("profile_id") % 10).join(keyed, "k").drop("k").withColumns({"score": score, "reason": F.lit("ranked")})
 
 
 @query(dsql(f"""SELECT profile_id, rank, title_id, round(score, 4) AS score, primary_genre FROM (
@@ -591,9 +591,9 @@ def l12_recommendations(v):
     cat = catalogue(v)
     u = unit_vectors(v)
     regions = v("v_regions").select("region_code", (c("region_id") % 5).alias("r"))
-    profiles = v("v_profiles").select("profile_id", (c("profile_id") % 5).alias("r")).join(F.broadcast(regions), "r").drop("r")
+    profiles = v("v_profiles").select("profile_id", (c("profile_id") % 5).alias("r")).join(regions, "r").drop("r")
     found = R.candidates(profiles, E.profile_vectors(E.history_of(v("v_watch_sessions"), ORD), u), u, cat, 100)
-    rows = found.join(F.broadcast(cat.select("title_id", "primary_genre", "popularity_score")), "title_id").withColumn("score", c("retrieval_score") + 0.1 * c("popularity_score"))
+    rows = found.join(cat.select("title_id", "primary_genre", "popularity_score"), "title_id").withColumn("score", c("retrieval_score") + 0.1 * c("popularity_score"))
     return rounded(R.presented(rows, v("v_watch_sessions"), 20), 4)
 
 
@@ -706,7 +706,7 @@ def j04_session_stream(v):
     SS.with_rocksdb(spark)
     path, out, mark = (shared_dir(spark) for _ in range(3))
     events.write.parquet(path)
-    genres = ST.title_genres(v("v_title_genres")).filter("is_primary_genre").join(F.broadcast(v("v_genres")), "genre_id")
+    genres = ST.title_genres(v("v_title_genres")).filter("is_primary_genre").join(v("v_genres"), "genre_id")
     titles = v("v_titles").join(genres.select("title_id", c("genre_name").alias("primary_genre")), "title_id", "left")
     stream = spark.readStream.schema(events.schema).parquet(path)
     parquet_sink(SS.session_features(stream, titles, output_mode="append"), out, mark, once=True).awaitTermination()

@@ -140,14 +140,12 @@ class VersionedTable:
 
 def upsert_partitions(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], partition: str) -> None:
     """Incremental merge that rewrites only the partitions it touches: those of the new rows, and those where their keys lie now."""
-    from py4j.protocol import Py4JJavaError  # noqa: F401
-
     held = spark.read.parquet(path)
     rows = rows.select(*held.columns)
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
     before = held.join(rows.select(*keys), keys, "left_semi").select(partition)
     touched = before.union(rows.select(partition)).distinct()
-    kept = held.join(F.broadcast(touched), partition, "left_semi")
+    kept = held.join(touched, partition, "left_semi")
     emptied = [r[0] for r in before.distinct().join(rows.select(partition).distinct(), partition, "left_anti").collect()]  # days
     merged(kept, rows, keys).write.parquet(staged)
     out = spark.read.schema(held.schema).parquet(staged)

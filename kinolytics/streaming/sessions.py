@@ -144,7 +144,7 @@ def session_features(events: DataFrame, titles: DataFrame, lateness: str = "5 mi
     generous lateness costs no freshness; it only puts off the final record.  Later rows are dropped and counted by Spark.
     """
     e = events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
-    e = e.join(F.broadcast(titles.select("title_id", "runtime_seconds", "primary_genre")), "title_id", "left")
+    e = e.join(titles.select("title_id", "runtime_seconds", "primary_genre"), "title_id", "left")
     e = e.select("profile_id", "session_id", "event_id", "title_id", "region_code", "device_type", "event_type", F.unix_millis("event_ts").alias("ts"), "rebuffer_ms", "startup_ms", "bitrate_kbps", "runtime_seconds", "primary_genre", "event_ts")
     return e.groupBy("profile_id").transformWithStateInPandas(Sessions(), OUTPUT, output_mode, "eventTime")  # type: ignore[arg-type]
 
