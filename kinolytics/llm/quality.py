@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import slices, utf8
+from kinolytics.llm.common import slices, small_batches, utf8
 
 #: Labelled rows that vote, at most: those of the smallest hashes of the id.
 SAMPLE = 4000
@@ -99,6 +99,7 @@ def in_training(id_col: str) -> F.Column:
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Voters:
     """Learn from at most ``SAMPLE`` labelled rows outside the held-out fold; only their term vectors come to the driver.
     Null ids and labels are skipped; an id with several labels or texts counts once for each label."""
+    small_batches(docs.sparkSession)
     known = labels.filter(in_training(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
     known = known.orderBy(F.xxhash64("id"), "id", "label").limit(SAMPLE)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

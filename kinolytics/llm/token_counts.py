@@ -23,11 +23,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kinolytics.llm.common import slices, utf8
+from kinolytics.llm.common import slices, small_batches, utf8
 
 #: Words of which a worker keeps the prefix counts; then it starts anew. A matter of speed only.
-KEPT_WORDS = 250_000
-KEPT_PREFIXES = 400_000
+KEPT_WORDS = 300_000
+KEPT_PIECES = 200_000
+KEPT_PREFIXES = 700_000
+KEPT_PAIRS = 300_000
 
 # The word pattern that the vocabulary file itself declares, and its end-of-word mark.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -57,68 +59,101 @@ class PrefixCounter:
         self.vocab = set(model["vocab"])
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {m: k for k, m in enumerate(merges)}
+        self.parts: dict[str, tuple[int, str, str]] = {}
+        for k, (a, b) in enumerate(merges):
+            self.parts.setdefault(a + b, (k, a, b))
         self.longest = max(map(len, self.vocab))
         self.letters = byte_letters()
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("|".join(special)) if special else None
         self.beside: dict[tuple[str, str], bool] = {}
         self.kept: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[str, list[int]] = {}
+        self.spelled: dict[str, str] = {}
         self.states: dict[str, tuple[str, int, int]] = {}
 
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Plain BPE: the pair of lowest rank is joined, leftmost first, until none is left."""
-        while len(symbols) > 1:
-            ranks = [self.rank.get(p, len(self.rank)) for p in zip(symbols, symbols[1:], strict=False)]
-            at = min(range(len(ranks)), key=ranks.__getitem__)
-            if ranks[at] == len(self.rank):
-                break
-            symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        return symbols
-
     def adjacent(self, left: str, right: str) -> bool:
-        """Do the two tokens stay as they are when their letters are encoded together?"""
+        """Do the two tokens stay as they are when their letters are encoded together?
+
+        Merges run by rank.  A merge across the border would have to come before those merges that
+        give the tokens the shape in which they meet it; so the tokens are taken apart again, the later
+        merge first, and each pair at the border is looked up.  Of equal ranks the left one runs first.
+        """
         known = self.beside.get((left, right))
         if known is None:
-            if len(self.beside) > 200_000:
+            if len(self.beside) > KEPT_PAIRS:
                 self.beside.clear()
-            tail = list(right.removesuffix(WORD_END))
-            if right.endswith(WORD_END):
-                tail[-1] += WORD_END
-            known = self.beside[left, right] = self.merged(list(left) + tail) == [left, right]
+            known = True
+            rank, parts = self.rank, self.parts
+            a, b, before = left, right, len(rank) + 1
+            while True:
+                if rank.get((a, b), before) < before:
+                    known = False
+                    break
+                at_a, at_b = parts.get(a), parts.get(b)
+                if at_a and (not at_b or at_a[0] > at_b[0]):
+                    before, a = at_a[0], at_a[2]
+                elif at_b:
+                    before, b = at_b[0] + 1, at_b[1]
+                else:
+                    break
+            self.beside[left, right] = known
         return known
 
     def grown(self, letters: str, whole: bool) -> tuple[str, int, int]:
         """For an open prefix: its last token, its count, and its count as a whole word (where a character ends)."""
-        vocab, adjacent, states = self.vocab, self.adjacent, self.states
-        end = len(letters)
+        vocab, beside, states = self.vocab, self.beside, self.states
         last, count, as_word = "", 0, 0
-        for i in range(max(0, end - self.longest), end):
+        for i in range(max(0, len(letters) - self.longest), len(letters)):
             token = letters[i:]
-            before = states[letters[:i]] if i else ("", 0, 0)
-            if not last and token in vocab and (not i or before[0] and adjacent(before[0], token)):
-                last, count = token, before[1] + 1
-            if whole and not as_word and token + WORD_END in vocab and (not i or before[0] and adjacent(before[0], token + WORD_END)):
-                as_word = before[1] + 1
-            if last and (as_word or not whole):
-                break
+            if not last and token in vocab:
+                before, n, _ = states[letters[:i]] if i else ("", 0, 0)
+                fits = not i or before and beside.get((before, token))
+                if fits is None:
+                    fits = self.adjacent(before, token)
+                if fits:
+                    last, count = token, n + 1
+                    if not whole or as_word:
+                        break
+            if whole and not as_word:
+                token += WORD_END
+                if token in vocab:
+                    before, n, _ = states[letters[:i]] if i else ("", 0, 0)
+                    fits = not i or before and beside.get((before, token))
+                    if fits is None:
+                        fits = self.adjacent(before, token)
+                    if fits:
+                        as_word = n + 1
+                        if last:
+                            break
         return last, count, as_word
 
     def piece(self, text: str) -> list[int]:
         """Counts at the prefixes of one piece, by characters.  States are kept by prefix: words share their beginnings."""
-        states = self.states
         if len(text) > 64:
             return self.long_piece(text)
+        out = self.pieces.get(text)
+        if out is None:
+            if len(self.pieces) > KEPT_PIECES:
+                self.pieces.clear()
+            out = self.pieces[text] = self.short_piece(text)
+        return out
+
+    def short_piece(self, text: str) -> list[int]:
+        states = self.states
         if len(states) > KEPT_PREFIXES:
             states.clear()
         out, letters = [], ""
         for c in text:
-            data = c.encode()
-            for k, b in enumerate(data, 1):
-                letters += self.letters[b]
-                state = states.get(letters)
-                if state is None:
-                    state = states[letters] = self.grown(letters, k == len(data))
-            out.append(state[2])
+            spelled = self.spelled.get(c)
+            if spelled is None:
+                spelled = self.spelled[c] = "".join(self.letters[b] for b in c.encode())
+            for k, b in enumerate(spelled, 1):
+                letters += b
+                if letters not in states:
+                    states[letters] = self.grown(letters, k == len(spelled))
+            out.append(states[letters][2])
         return out
 
     def long_piece(self, text: str) -> list[int]:
@@ -147,21 +182,25 @@ class PrefixCounter:
 
     def word(self, data: bytes) -> bytes:
         """For a stretch without white space: by how much the count rises at each character, as int32 bytes."""
-        known = self.kept.get(data)
-        if known is None:
-            if len(self.kept) > KEPT_WORDS:
-                self.kept.clear()
-            text = data.decode()
-            if m := SIMPLE.fullmatch(text.lower()):
-                counts = self.piece(m[1])
+        text = data.decode()
+        if m := SIMPLE.fullmatch(text.lower()):
+            counts = self.piece(m[1])
+            if m[2]:
                 base = counts[-1] if counts else 0
-                counts += [base + x for x in self.piece(m[2])]
-            else:
-                counts = self._word(text)
-            known = array("i", map(sub, counts, [0, *counts])).tobytes()
-            if len(data) < 64:
-                self.kept[data] = known
-        return known
+                counts = counts + [base + x for x in self.piece(m[2])]
+        else:
+            counts = self._word(text)
+        return array("i", map(sub, counts, [0, *counts])).tobytes()
+
+    def known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A table that has all these words.  Two generations: a full one becomes the old one, and what is used again moves up."""
+        table = self.kept
+        if len(table) > KEPT_WORDS:
+            self.old, self.kept = table, {}
+            table = self.kept
+        for w in words.difference(table):
+            table[w] = self.old.get(w) or self.word(w)
+        return table
 
     def _word(self, text: str) -> list[int]:
         lower = [c.lower() for c in text]
@@ -187,10 +226,11 @@ class PrefixCounter:
     def prefixes(self, data: bytes) -> np.ndarray:
         """Token counts of the text's first 1, 2, ... characters."""
         parts = data.split()
-        if parts and sum(map(len, parts)) + len(parts) - 1 == len(data):
-            raised = b"\0\0\0\0".join(map(self.word, parts))
+        if parts and len(b" ".join(parts)) == len(data):
+            raised = b"\0\0\0\0".join(map(self.known(set(parts)).__getitem__, parts))
         else:
-            raised = b"".join(bytes(4 * len(x)) if x.isspace() else self.word(x) for x in re.findall(rb"[ \t-\r]+|[^ \t-\r]+", data))
+            table = self.known(set(parts))
+            raised = b"".join(bytes(4 * len(x)) if x.isspace() else table[x] for x in re.findall(rb"[ \t-\r]+|[^ \t-\r]+", data))
         return np.cumsum(np.frombuffer(raised, dtype=np.int32), dtype=np.int32)
 
 
@@ -204,6 +244,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     array.  Repeated rows give repeated rows; other columns are not read.
     Memory: one slice of about 1 MB of text, or one text, and its counts.
     """
+    small_batches(docs.sparkSession)
     field = docs.schema[id_col]
     schema = f"`{id_col}` {field.dataType.simpleString()}, n_bytes long, n_tokens long, fit_chars long, prefix_tokens array<int>"
 

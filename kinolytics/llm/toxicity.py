@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import slices, utf8
+from kinolytics.llm.common import slices, small_batches, utf8
 from kinolytics.llm.quality import in_training
 
 #: Labelled rows to learn from, at most: those of the smallest hashes of the id.
@@ -139,6 +139,7 @@ def fit_chain(rows: list[np.ndarray], targets: np.ndarray, categories: list[str]
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang") -> Chain:
     """Learn from at most ``SAMPLE`` labelled rows outside the held-out fold (crc32 of the id is no multiple of 5); their word slots come to the driver.
     The language is used to define categories, never as an input.  Null ids and labels are skipped."""
+    small_batches(docs.sparkSession)
     known = labels.filter(in_training(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
     known = known.orderBy(F.xxhash64("id"), "id", "label").limit(SAMPLE)
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col and lang_col in docs.columns else F.lit("")

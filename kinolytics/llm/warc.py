@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import shared_dir, slices, stored, utf8
+from kinolytics.llm.common import shared_dir, slices, small_batches, stored, utf8
 
 #: Payloads shorter than this are always written out.
 LEAST_REVISIT = 100
@@ -77,6 +77,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     responses.  Null html is an empty payload.  Repeated rows with one id are all responses if theirs is the smallest.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
     rows = rows.select("page", "url", "payload", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("size"))
