@@ -9,10 +9,13 @@ logarithmic time.  Groups are independent tasks.
 
 from __future__ import annotations
 
+import base64
+import os
 import re
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,82 +27,41 @@ from kinolytics.llm.common import slices, small_batches
 #: Documents of a group on average, and bytes of text: a group is one task's work.
 GROUP_DOCS = 1500
 GROUP_BYTES = 16 << 20
-KEPT_UNITS = 200_000
 NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
-#: Characters that never join across a single space or line end.
+#: Texts of these characters alone are split alike by both libraries, whatever version of Unicode they follow.
 OTHER = re.compile(r"[^ \n!-~¡-ɏ]")
 
 
-#: A comma or full stop that does not follow a letter or digit, and so may belong to a longer run of signs.
-JOINED = re.compile(r"(?:\A|[^0-9A-Za-zÀ-ÖØ-öø-ɏ])[,.]")
-
-
-def stretches(text: str) -> list[str]:
-    """A regular text cut where the tokenizer's pattern always cuts: before single spaces, around line ends, and between a letter and a comma or full stop."""
-    text = text.replace("\n", "\v\n").replace(" ", "\v ")
-    if not JOINED.search(text):
-        text = text.replace(",", "\v,").replace(".", "\v.")
-    return text.split("\v")
-
-
-def regular(text: str) -> bool:
-    """Are words separated by single spaces and single line ends only, of plain characters?"""
-    return not (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or OTHER.search(text))
-
-
-def pack_ids(ids: list[int]) -> bytes:
-    return array("I", ids).tobytes() if NATIVE else np.array(ids, dtype="<u4").tobytes()
-
-
 class ByteIds:
-    """Ids of a byte-level tokenizer, with known stretches looked up instead of encoded again.
+    """Ids of a byte-level tokenizer file, as little-endian unsigned 32-bit numbers.
 
-    Between two printable characters a single space always begins a new word of
-    the tokenizer's pattern, and a single line end stands alone; so such texts are
-    the concatenation of their stretches.  All other texts are encoded whole.
+    ``ranks`` names the same vocabulary as ranks: texts of plain characters without special strings
+    are then encoded by the faster library, with the same result; all others by the file itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None = None):
+        import public_tokenizers
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        return [pack_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def many(self, parts: list[str]) -> list[bytes]:
-        """The ids of many stretches: those without a line end are encoded as lines of one text, as a line end is always a token of its own there."""
-        out: list[bytes | None] = [None] * len(parts)
-        plain = [k for k, p in enumerate(parts) if p and p[0] != "\n"]
-        for a in range(0, len(plain), 10_000):
-            some = plain[a : a + 10_000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([parts[k] for k in some])], add_special_tokens=False)[0].ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.line_end)
-            if len(cuts) == len(some) - 1:
-                data, ends = ids.tobytes(), [-4, *(4 * cuts).tolist(), 4 * len(ids)]
-                for k, x, y in zip(some, ends, ends[1:], strict=False):
-                    out[k] = data[x + 4 : y]
-        rest = [k for k, x in enumerate(out) if x is None]
-        for k, x in zip(rest, self.encoded([parts[k] for k in rest]), strict=True):
-            out[k] = x
-        return out  # type: ignore[return-value]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [stretches(text) if text and regular(text) else None for text in texts]
-        if len(self.kept) > KEPT_UNITS:  # two generations: what is used again moves up
-            self.old, self.kept = self.kept, {}
-        kept, old = self.kept, self.old
-        new = set().union(*(p for p in cut if p)).difference(kept)
-        again = new.intersection(old)
-        kept.update((w, old[w]) for w in again)
-        unknown = list(new - again)
-        kept.update(zip(unknown, self.many(unknown), strict=True))
-        whole = iter(self.encoded([t for t, p in zip(texts, cut, strict=True) if p is None and t]))
-        return [b"".join(map(kept.__getitem__, p)) if p else next(whole) if t else b"" for t, p in zip(texts, cut, strict=True)]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = None
+        if ranks:
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+            self.plain = tiktoken.Encoding(os.path.basename(ranks), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+    def ids(self, text: str) -> bytes:
+        if self.plain is not None and not OTHER.search(text) and not any(s in text for s in self.special):
+            return array("I", self.plain.encode_ordinary(text)).tobytes() if NATIVE else np.array(self.plain.encode_ordinary(text), dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+@lru_cache(maxsize=1)
+def coder_of(path: str, ranks: str | None) -> ByteIds:
+    """One coder for each worker process: the vocabulary is read once, not for each task."""
+    return ByteIds(path, ranks)
 
 
 class Room:
@@ -146,8 +108,8 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray
     return sequence, offset
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: the id, start, length, ids (little-endian uint32, binary), doc_tokens, sequence_id, offset.
+def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, capacity: int = 1024, end_id: int = 0, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per piece, of the ids of ``vocabulary`` (``ranks``: see ``ByteIds``): the id, start, length, ids (little-endian uint32, binary), doc_tokens, sequence_id, offset.
 
     Every row of the input is a document of its own (repeated rows too); null and
     empty texts are the end id alone.  Each id lies in exactly one piece; pieces of
@@ -163,12 +125,12 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 0
     rows = rows.select("id", "text", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(groups)).alias("group"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteIds(vocabulary)
+        coder = coder_of(vocabulary, ranks)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in slices(batches, "text", 1 << 20):
             row, start, ids, doc = [], [], [], []
-            for k, data in enumerate(coder.ids([t or "" for t in batch.column(1).to_pylist()])):
-                data += end
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                data = coder.ids(text or "") + end
                 for a in range(0, len(data), 4 * capacity):
                     row.append(k), start.append(a // 4), ids.append(data[a : a + 4 * capacity]), doc.append(len(data) // 4)
             at = pa.array(row, pa.int64())
