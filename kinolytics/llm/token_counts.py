@@ -16,6 +16,7 @@ import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from operator import sub
 
 import numpy as np
@@ -234,6 +235,12 @@ class PrefixCounter:
         return np.cumsum(np.frombuffer(raised, dtype=np.int32), dtype=np.int32)
 
 
+@lru_cache(maxsize=1)
+def counter_of(path: str) -> PrefixCounter:
+    """One counter for each worker process: what it has learnt serves the next task too."""
+    return PrefixCounter(path)
+
+
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048) -> DataFrame:
     """One row per input row: the id, n_bytes, n_tokens, fit_chars, prefix_tokens.
 
@@ -249,7 +256,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     schema = f"`{id_col}` {field.dataType.simpleString()}, n_bytes long, n_tokens long, fit_chars long, prefix_tokens array<int>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(vocabulary)
+        counter = counter_of(vocabulary)
         for batch in slices(batches, "text", 1 << 20):
             texts = utf8(batch.column(1))
             counts = [counter.prefixes(x) for x in texts]
