@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinolytics.llm.common import connected_components, runs, small_batches, stored, utf8
@@ -219,7 +219,12 @@ def linked_prints(prints: DataFrame, most_bits: int, parts: int = 1) -> DataFram
     def edges(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], names=["src", "dst"])
 
-    return dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(link, f"src {kind}, dst {kind}").distinct()
+    found = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(link, f"src {kind}, dst {kind}").distinct()
+    # a fingerprint has a head under each of its keys (a few dozen at most): it keeps the smallest, and its heads are linked with that one
+    least = F.min("dst").over(Window.partitionBy("src"))
+    starred = found.select("src", "dst", least.alias("head"))
+    ends = F.when(F.col("dst") == F.col("head"), F.col("src")).otherwise(F.col("dst"))
+    return starred.select(ends.alias("src"), F.col("head").alias("dst")).distinct()
 
 
 def groups_of(prints: DataFrame, most_bits: int, parts: int) -> DataFrame:
