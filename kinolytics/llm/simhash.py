@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, runs, small_batches, stored, utf8
+from kinolytics.llm.common import connected_components, runs, slices, small_batches, stored, utf8
 
 SEED = 42
 #: First bit and length of each segment of a fingerprint.
@@ -249,26 +249,167 @@ def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col:
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-#: Words of a fingerprint that is to find copies with many changed words.
-WIDE = 3
+#: Counters of how often shingles occur, by their digests' low bits.
+COUNTERS = 1 << 20
+MOST_COUNT = (1 << 31) - 1
+#: Pairs to compare, as a multiple of the rows they come from, up to which all are compared at once.
+FEW = 8
+#: Similarities are quotients of whole numbers; this is less than what two that differ can be apart.
+TINY = 1e-9
 
 
-def bits_apart(similarity: float, parts: int = WIDE) -> int:
-    """Differing bits up to which texts link: what the Jaccard similarity of shingles makes likely, and 1.5 standard deviations more."""
-    p = float(np.arccos(2 * similarity / (1 + similarity))) / np.pi
-    n = 64 * parts
-    return int(n * p + 1.5 * (n * p * (1 - p)) ** 0.5)
+def shingle_set(data: bytes, width: int) -> np.ndarray:
+    """The distinct shingles of a text as sorted digests; a text of fewer words is one shingle, one without words has none.  Words as in ``fingerprint``."""
+    words = data.lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    line = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    starts = [0, *ends[: max(0, len(words) - width)].tolist()]
+    stops = (ends[width - 1 :] - 1).tolist() or [len(line)]
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
+
+
+def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, digest of the set, n, shingles) of each row; the shingles as the bytes of their sorted digests."""
+    small_batches(docs.sparkSession)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in slices(iter([batch]), "text"):
+                sets = [shingle_set(x, width) for x in utf8(b.column(1))]
+                raw = [x.tobytes() for x in sets]
+                digest = np.array([xxhash.xxh3_64_intdigest(x, SEED) for x in raw], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest), pa.array([len(x) for x in sets], pa.int64()), pa.array(raw, pa.binary())], names=["id", "digest", "n", "shingles"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, digest long, n long, shingles binary")
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """For each counter, the occurrences of the shingles that share it."""
+    part = COUNTERS >> 4
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, dtype=np.int64)
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                np.add.at(total, (np.frombuffer(x, np.uint64) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+        yield from chunks({k: total[k * part : (k + 1) * part] for k in range(16)})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                total[k] = total.get(k, 0) + np.frombuffer(x, np.int32).astype(np.int64)
+        yield from chunks(total)
+
+    def chunks(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k, x in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.minimum(x, MOST_COUNT).astype(np.int32).tobytes()], pa.binary())], names=["k", "counts"])
+
+    out = np.zeros(COUNTERS, dtype=np.int32)
+    for k, x in sets.select("shingles").mapInArrow(count, "k int, counts binary").repartition(16, "k").mapInArrow(add, "k int, counts binary").collect():
+        out[k * part : (k + 1) * part] = np.frombuffer(bytes(x), np.int32)
+    return out
+
+
+def rare_shingles(sets: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
+    """(key, id, n): each distinct set of shingles under so many of its rarest ones that two sets of at least that similarity share one.
+
+    A set of n shingles shares at least ``similarity * n`` of them with a similar one, so in any one order of all
+    shingles the first ``n - similarity * n + 1`` of both have one in common.  Keys with one set are left out.
+    """
+    kind = sets.schema["id"].dataType.simpleString()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        least: dict[int, int] = {}
+        for b in batches:
+            keys: list[np.ndarray] = []
+            if len(least) > 300_000:
+                least.clear()
+            for x, digest, id in zip(*(b.column(c).to_pylist() for c in ("shingles", "digest", "id")), strict=True):
+                if least.get(digest, id + 1) <= id:  # a copy whose keys this task has given out
+                    keys.append(np.zeros(0, dtype=np.int64))
+                    continue
+                least[digest] = id
+                own = np.frombuffer(x, np.uint64)
+                often = counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
+                take = min(len(own), len(own) - int(np.ceil(similarity * len(own) - TINY)) + 1)
+                at = np.lexsort((own, often))[:take]
+                keys.append(own[at][often[at] > 1].view(np.int64))
+            row = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in keys]))
+            if len(row):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(b.column(c).take(row) for c in ("digest", "id", "n"))], names=["key", "digest", "id", "n"])
+
+    keyed = sets.mapInArrow(first, f"key long, digest long, id {kind}, n long").repartition("key").groupBy("key", "digest").agg(F.min("id").alias("id"), F.first("n").alias("n"))
+    return keyed.withColumn("sets", F.count("*").over(Window.partitionBy("key"))).filter("sets > 1").select("key", "id", "n")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs (src, dst) whose sets have the similarity, by the sets themselves."""
+    kind = sets.schema["id"].dataType.simpleString()
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(both >= similarity * (len(x) + len(y) - both) - TINY)
+            yield pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst")], names=["src", "dst"]).filter(pa.array(near, pa.bool_()))
+
+    ids = stored(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
+    sets = stored(sets.select("id", "shingles").join(ids, "id", "left_semi"))
+    joined = pairs.join(sets.select(F.col("id").alias("src"), F.col("shingles").alias("x")), "src").join(sets.select(F.col("id").alias("dst"), F.col("shingles").alias("y")), "dst")
+    return joined.select("src", "dst", "x", "y").mapInArrow(verify, f"src {kind}, dst {kind}").distinct()
+
+
+def linked_sets(sets: DataFrame, similarity: float) -> DataFrame:
+    """Edges (src, dst) that connect what pairs of at least that Jaccard similarity connect; each edge is such a pair.
+
+    Only pairs that share a rare shingle and are not yet connected are compared.  While these are many, each key's sets
+    are compared with one of them only, so that a large group of near copies is connected before its pairs are written out.
+    """
+    spark = sets.sparkSession
+    keyed = stored(rare_shingles(sets, shingle_counts(sets), similarity))
+    ids = stored(keyed.select("id").distinct())
+    edges: DataFrame | None = None
+    last = float("inf")
+    while True:
+        label = connected_components(spark, ids, edges) if edges is not None else ids.withColumn("component", F.col("id"))
+        rows = stored(keyed.join(label, "id"))
+        groups = rows.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("within"))
+        groups = groups.filter("rows * rows > within")
+        left, n = groups.agg(F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+        every = left <= FEW * n or left > last / 2
+        last = left
+        rows = rows.join(groups.select("key"), "key", "left_semi")
+        mate = rows if every else rows.groupBy("key").agg(F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(left))).alias("m")).select("key", "m.*")
+        mate = mate.select("key", *(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component")))
+        pairs = rows.join(mate, "key").filter(F.col("component") != F.col("m_component")).filter(F.least("n", "m_n") >= similarity * F.greatest("n", "m_n") - TINY)
+        pairs = stored(pairs.select(F.least("id", "m_id").alias("src"), F.greatest("id", "m_id").alias("dst")).distinct())
+        found = stored(similar_pairs(pairs, sets, similarity))
+        edges = found if edges is None else edges.union(found)
+        if every:
+            return edges
 
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id and component_id, for near copies by their shingles of ``width`` words.
 
-    Fingerprints have 192 bits; texts link when these say a similarity of ``similarity`` or more (``bits_apart``).
-    A pair at a similarity of 0.8 shares a key of one of the nine segments with a chance of over 0.99, closer pairs with more.
+    Texts link when the Jaccard similarity of their distinct shingles is ``similarity`` or more; every such link is found, and no other.
     Rows of null ids, empty texts and repeated rows are treated as in ``simhash_groups``.
     """
-    out = groups_of(stored(fingerprints(docs, width, WIDE, id_col, text_col)), bits_apart(similarity), WIDE)
-    return out.select(F.col("id").alias(id_col), F.col("component").alias("component_id"))
+    sets = stored(shingle_sets(docs, width, id_col, text_col))
+    known = sets.filter("id is not null")
+    classes = stored(known.groupBy("digest").agg(F.min("id").alias("id")))
+    components = connected_components(docs.sparkSession, classes.select("id").distinct(), linked_sets(known, similarity))
+    named = stored(classes.join(components, "id").select("digest", "component"))
+    out = sets.select("id", "digest").join(named, "digest", "left")
+    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -205,6 +205,38 @@ def test_near_copies_of_many_changed_words(spark, monkeypatch, block):
     assert simhash.similar_groups(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("few", [8, 0])
+def test_near_copies_against_brute_force(spark, monkeypatch, few):
+    """Pairs between 0.65 and 0.9, short texts and repeated lines: linked by the exact similarity of distinct shingles, no more and no fewer."""
+    monkeypatch.setattr(simhash, "FEW", few, raising=False)
+    rng = np.random.default_rng(11)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    texts = [None, "", "a b c d e f g h", "a b c d e f g i", "a b c d e f g h i", "one two"]
+    line = "the same line again and again "
+    texts += [line * 50 + " ".join(rng.choice(vocabulary, 30)) for _ in range(3)] + [line * n + "end" for n in (2, 3, 90)]
+    for _ in range(40):
+        base = list(rng.choice(vocabulary, int(rng.integers(12, 300))))
+        texts.append(" ".join(base))
+        for share in (0.65, 0.7, 0.75, 0.79, 0.8, 0.81, 0.85, 0.9):
+            # without its last words a text keeps this share of its shingles
+            texts.append(" ".join(base[: round(share * (len(base) - 4)) + 4]))
+            copy = list(base)
+            for k in rng.choice(len(copy), max(1, round(len(copy) * (1 - share) / 9)), replace=False):
+                copy[int(k)] = f"x{rng.integers(10**9)}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := words(t)) else set() for t in texts]
+    label = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            # in whole numbers: 0.8 is 4 / 5
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                x, y = sorted((label[a], label[b]))
+                label = [x if z == y else z for z in label]
+    got = by_id(simhash.similar_groups(docs(spark, texts)))
+    assert [got[k]["component_id"] for k in range(len(texts))] == label
+    assert {r["doc_id"] for r in simhash.keep_first(docs(spark, texts)).collect()} == set(label)
+
+
 def test_decontamination(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     items = spark.createDataFrame([(7, item), (12, item + " and more words here"), (3, "short item"), (4, None), (5, "!!"), (None, "x y")], "item_id int, text string")
