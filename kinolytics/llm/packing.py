@@ -1,7 +1,7 @@
 """Packing documents into token sequences, first-fit decreasing.
 
 Each document becomes its token ids and an end id, cut into full pieces and one
-remainder.  Documents are dealt to groups by a hash of the id; within a group
+remainder.  Documents are dealt to groups by a hash of id and text; within a group
 remainders are placed in order of falling length into the first sequence with
 room.  A tournament tree over the sequences' free room finds that sequence in
 logarithmic time.  Groups are independent tasks.
@@ -30,13 +30,15 @@ GROUP_BYTES = 16 << 20
 NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Texts of these characters alone are split alike by both libraries, whatever version of Unicode they follow.
 OTHER = re.compile(r"[^ \n!-~¡-ɏ]")
+#: The faster library's pattern needs stack for each blank of a run: longer runs go to the file itself.
+BLANKS = re.compile(r"(?<![ \n])[ \n]{10000}")
 
 
 class ByteIds:
     """Ids of a byte-level tokenizer file, as little-endian unsigned 32-bit numbers.
 
     ``ranks`` names the same vocabulary as ranks: texts of plain characters without special strings
-    are then encoded by the faster library, with the same result; all others by the file itself.
+    and runs of ten thousand blanks are then encoded by the faster library, with the same result; all others by the file itself.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
@@ -53,7 +55,7 @@ class ByteIds:
             self.plain = tiktoken.Encoding(os.path.basename(ranks), pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        if self.plain is not None and not OTHER.search(text) and not any(s in text for s in self.special):
+        if self.plain is not None and not OTHER.search(text) and not any(s in text for s in self.special) and not BLANKS.search(text):
             return array("I", self.plain.encode_ordinary(text)).tobytes() if NATIVE else np.array(self.plain.encode_ordinary(text), dtype="<u4").tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -114,15 +116,16 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, capacity: i
     Every row of the input is a document of its own (repeated rows too); null and
     empty texts are the end id alone.  Each id lies in exactly one piece; pieces of
     a sequence lie gapless from offset 0.  sequence_id is unique over all groups.
-    An empty table gives no rows; other columns are not read.  Memory: one group
-    (about ``GROUP_DOCS`` documents), or one very long document.
+    An empty table gives no rows; other columns are not read.  Equal lengths are placed by id and start.
+    Null and repeated ids are spread by their texts.  Runs of blanks of any length are encoded (``BLANKS``).
+    Memory: one group (about ``GROUP_DOCS`` documents), or one very long document.
     """
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()
     groups = max(1, -(-total["n"] // GROUP_DOCS), -(-total["size"] // GROUP_BYTES))
-    rows = rows.select("id", "text", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(groups)).alias("group"))
+    rows = rows.select("id", "text", F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(groups)).alias("group"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(vocabulary, ranks)
