@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, runs, slices, small_batches, stored, utf8
+from kinolytics.llm.common import connected_components, small_batches, stored, utf8
 
 SEED = 42
 #: First bit and length of each segment of a fingerprint.
@@ -87,69 +87,74 @@ def keys_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(side)
 
 
-def mixed(h: np.ndarray, k: int) -> np.ndarray:
-    """The k-th further 64-bit hash from a first one (SplitMix64); the 0-th is the hash itself."""
-    if not k:
-        return h
-    x = h + np.uint64((k * 0x9E3779B97F4A7C15) & (1 << 64) - 1)
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
-
-
-def fingerprint(data: bytes, width: int, parts: int = 1) -> np.ndarray:
-    """SimHash of the text's shingles, ``parts`` words of 64 bits; 0 without words.  A-Z are lower-cased, ASCII white space separates words."""
+def fingerprint(data: bytes, width: int) -> int:
+    """SimHash of the text's shingles, repeats included; 0 without words.  A-Z are lower-cased, ASCII white space separates words."""
     words = data.lower().split()
     if not words:
-        return np.zeros(parts, dtype=np.uint64)
+        return 0
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = [0, *ends[: max(0, len(words) - width)].tolist()]
     stops = (ends[width - 1 :] - 1).tolist() or [len(line)]
     digest = xxhash.xxh64_intdigest
-    over = np.zeros((parts, 64), dtype=np.int64)
+    over = np.zeros(64, dtype=np.int64)
     for k in range(0, len(starts), 1 << 14):
         h = np.array([digest(line[a:b], SEED) for a, b in zip(starts[k : k + (1 << 14)], stops[k : k + (1 << 14)], strict=True)], dtype="<u8")
-        for part in range(parts):
-            over[part] += np.unpackbits(mixed(h, part).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * over > len(starts), axis=1, bitorder="little").view("<u8")[:, 0].astype(np.uint64)
+        over += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * over > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3, parts: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, f0, f1, ...) of each row's whole text, as longs; null counts as empty."""
+def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, f0) of each row's whole text, as a long; null counts as empty."""
     small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [f"f{k}" for k in range(parts)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = np.array([fingerprint(x, width, parts) for x in utf8(b.column(1))], dtype=np.uint64).reshape(b.num_rows, parts)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(prints[:, k]).view(np.int64)) for k in range(parts))], names=["id", *names])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, " + ", ".join(f"{n} long" for n in names))
-
-
-def single_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of one segment each, for fingerprints of several words that may differ in many bits: nearby indices store, own ones probe."""
-    rows, keys, side = [], [], []
-    for part in range(prints.shape[1]):
-        for s in range(3):
-            words, k = segment(np.ascontiguousarray(prints[:, part]), s), 3 * part + s
-            row, index = nearby(words, SEGMENTS[s][1])
-            rows += [row, np.arange(len(words))]
-            keys += [k << 12 | index, k << 12 | decode(words)]
-            side += [np.zeros(len(row), bool), np.ones(len(words), bool)]
-    return np.concatenate(rows), np.concatenate(keys), np.concatenate(side)
-
-
-def heads(near: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest of ``n`` nodes in each node's component; near[i, j] links the nodes a[i] and b[j].  No list of the links is made."""
-    label, most = np.arange(n, dtype=np.int32), np.int32(n)
-    while near.size:
+            prints = np.array([fingerprint(x, width) for x in utf8(b.column(1))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints.view(np.int64))], names=["id", "f0"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, f0 long")
+
+
+def whole_keys(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 1 << 16) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of a partition that is sorted by ``keys``, many keys at a time but each whole, with a number for each row's key."""
+    kept: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        kept.append(batch)
+        rows += batch.num_rows
+        if rows < least:
+            continue
+        table, number = _numbered(kept, keys)
+        cut = int(np.searchsorted(number, number[-1]))  # where the last key begins, which may go on
+        if cut:
+            yield table.slice(0, cut), number[:cut]
+        kept = table.slice(cut).to_batches()
+        rows = 0  # the rest is a bounded number of rows
+    if kept:
+        table, number = _numbered(kept, keys)
+        if table.num_rows:
+            yield table, number
+
+
+def _numbered(batches: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table, np.ndarray]:
+    table = pa.Table.from_batches(batches).combine_chunks()
+    new = np.zeros(table.num_rows, dtype=np.int64)
+    for k in keys:
+        c = table.column(k).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return table, np.cumsum(new)
+
+
+def nearest_heads(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of ``n`` nodes in each node's component, for links a[k] - b[k]."""
+    label = np.arange(n)
+    while len(a):
         low = label.copy()
-        np.minimum.at(low, a, np.where(near, label[b][None, :], most).min(axis=1))
-        np.minimum.at(low, b, np.where(near, label[a][:, None], most).min(axis=0))
-        np.minimum.at(low, label, low.copy())
+        np.minimum.at(low, a, label[b])
+        np.minimum.at(low, b, label[a])
+        np.minimum.at(low, label, low.copy())  # a component's head learns what its members have learnt
         low = np.minimum(low, low[low])
         if (low == label).all():
             break
@@ -157,263 +162,73 @@ def heads(near: np.ndarray, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return label
 
 
-def linked_prints(prints: DataFrame, most_bits: int, parts: int = 1) -> DataFrame:
-    """Edges (src, dst) between distinct fingerprints (id, f0, ...) that connect what links of at most ``most_bits`` differing bits connect.
+def linked_prints(prints: DataFrame, most_bits: int) -> DataFrame:
+    """Edges (src, dst) between distinct fingerprints (id, f0) that connect what links of at most ``most_bits`` differing bits connect.
 
-    One word and up to three bits: keys of segment pairs, which find every link.  Several words: keys of single segments.
-    A task gets whole keys, of hot keys one pair of blocks; it returns for each
+    The keys of segment pairs find every link of up to three bits.  A task gets whole keys, of hot
+    keys one pair of blocks; it compares all rows of many keys at once and returns for each
     fingerprint one edge to the head of its local component, not all pairs.
     """
-    if parts == 1 and not 0 <= most_bits <= 3:
+    if not 0 <= most_bits <= 3:
         raise ValueError("the code finds up to three differing bits")
-    names = [f"f{k}" for k in range(parts)]
     kind = prints.schema["id"].dataType.simpleString()
-    columns = ", ".join(f"{n} long" for n in names)
-
-    def matrix(b: pa.RecordBatch | pa.Table) -> np.ndarray:
-        return np.stack([b.column(n).to_numpy().view(np.uint64) for n in names], axis=1)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(0, b.num_rows, 10_000):
                 part = b.slice(k, 10_000)
-                own = matrix(part)
-                row, key, probes = keys_of(np.ascontiguousarray(own[:, 0])) if parts == 1 else single_keys(own)
+                row, key, probes = keys_of(part.column("f0").to_numpy().view(np.uint64))
                 at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(probes), *(part.column(n).take(at) for n in ("id", *names))], names=["key", "probes", "id", *names])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(probes), part.column("id").take(at), part.column("f0").take(at)], names=["key", "probes", "id", "f0"])
 
-    keyed = prints.select("id", *names).mapInArrow(spread, f"key long, probes boolean, id {kind}, {columns}")
+    keyed = prints.select("id", "f0").mapInArrow(spread, f"key long, probes boolean, id {kind}, f0 long")
     hot = stored(keyed.groupBy("key").count().filter(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
     # each stored row goes to every block of probes of its key, and each probing row to every block of stored ones
     own = F.pmod(F.xxhash64("id", "probes"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = keyed.join(hot, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).select("*", own.alias("own"), other.alias("other"))
-    dealt = dealt.select("key", F.when(F.col("probes"), F.col("other")).otherwise(F.col("own")).alias("a"), F.when(F.col("probes"), F.col("own")).otherwise(F.col("other")).alias("b"), "probes", "id", *names)
+    dealt = dealt.select("key", F.when(F.col("probes"), F.col("other")).otherwise(F.col("own")).alias("a"), F.when(F.col("probes"), F.col("own")).otherwise(F.col("other")).alias("b"), "probes", "id", "f0")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for rows in runs(batches, ["key", "a", "b"]):
-            probes = rows.column("probes").to_numpy(zero_copy_only=False)
-            if len(probes) < 2 or probes.all() or not probes.any():
-                continue
-            ids, inverse = np.unique(rows.column("id").to_numpy(), return_inverse=True)
-            if len(ids) < 2:  # a fingerprint meets itself under its own key
-                continue
-            f = matrix(rows)
-            apart = np.zeros((int((~probes).sum()), int(probes.sum())), dtype=np.uint16)
-            for k in range(parts):
-                apart += np.bitwise_count(f[~probes, k][:, None] ^ f[probes, k][None, :])
-            near = apart <= most_bits
-            rows_a, rows_b = near.any(axis=1), near.any(axis=0)
-            near, a, b = near[rows_a][:, rows_b], inverse[~probes][rows_a], inverse[probes][rows_b]
-            label = heads(near, a, b, len(ids))
+        for rows, number in whole_keys(batches, ["key", "a", "b"]):
+            probes = rows.column("probes").to_numpy()
+            f = rows.column("f0").to_numpy().view(np.uint64)
+            ids, node = np.unique(rows.column("id").to_numpy(), return_inverse=True)
+            label = np.arange(len(ids))
+            at, apart = np.arange(len(number) - 1), 1
+            while len(at):  # each row with the one that stands ``apart`` places after it under the same key
+                at = at[: np.searchsorted(at, len(number) - apart)]
+                at = at[number[at] == number[at + apart]]
+                meet = at[(probes[at] != probes[at + apart]) & (label[node[at]] != label[node[at + apart]])]
+                meet = meet[np.bitwise_count(f[meet] ^ f[meet + apart]) <= most_bits]
+                if len(meet):
+                    label = nearest_heads(label[node[meet]], label[node[meet + apart]], len(ids))[label]
+                apart += 1
             away = np.flatnonzero(label != np.arange(len(ids)))
             if len(away):
-                out.append((ids[away], ids[label[away]]))
-            if len(out) > 1000:
-                yield edges(out)
-                out = []
-        if out:
-            yield edges(out)
-
-    def edges(out: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], names=["src", "dst"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[away]), pa.array(ids[label[away]])], names=["src", "dst"])
 
     found = dealt.repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(link, f"src {kind}, dst {kind}").distinct()
-    # a fingerprint has a head under each of its keys (a few dozen at most): it keeps the smallest, and its heads are linked with that one
+    # a fingerprint has a head for each batch where one of its keys was (a few dozen at most): it keeps the smallest, and its heads are linked with that one
     least = F.min("dst").over(Window.partitionBy("src"))
     starred = found.select("src", "dst", least.alias("head"))
     ends = F.when(F.col("dst") == F.col("head"), F.col("src")).otherwise(F.col("dst"))
     return starred.select(ends.alias("src"), F.col("head").alias("dst")).distinct()
 
 
-def groups_of(prints: DataFrame, most_bits: int, parts: int) -> DataFrame:
-    """(id, f0, ..., component) for rows (id, f0, ...).  Equal fingerprints are one class before anything is compared, so that copies cost one row."""
-    names = [f"f{k}" for k in range(parts)]
-    classes = stored(prints.filter("id is not null").groupBy(*names).agg(F.min("id").alias("id")))
-    components = connected_components(prints.sparkSession, classes.select("id"), linked_prints(classes, most_bits, parts))
-    named = stored(classes.join(components, "id").select(*names, "component"))
-    return prints.join(named, names, "left").withColumn("component", F.when(F.col("id").isNotNull(), F.col("component")))
-
-
 def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, fingerprint (16 lower-case hex digits), component_id.
 
     Texts link when their fingerprints differ in at most ``most_bits`` bits;
     component_id is the smallest id reachable by links.  Texts without words
     (also null) have the fingerprint 0 and link like any other.  Rows with a
-    null id get component_id null and take no part; repeated rows stay.  Ids
-    are integers; other columns are not read.
-    """
-    out = groups_of(stored(fingerprints(docs, width, 1, id_col, text_col)), most_bits, 1)
-    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
-
-
-#: Counters of how often shingles occur, by their digests' low bits.
-COUNTERS = 1 << 20
-MOST_COUNT = (1 << 31) - 1
-#: Pairs to compare, as a multiple of the rows they come from, up to which all are compared at once.
-FEW = 8
-#: Similarities are quotients of whole numbers; this is less than what two that differ can be apart.
-TINY = 1e-9
-
-
-def shingle_set(data: bytes, width: int) -> np.ndarray:
-    """The distinct shingles of a text as sorted digests; a text of fewer words is one shingle, one without words has none.  Words as in ``fingerprint``."""
-    words = data.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = [0, *ends[: max(0, len(words) - width)].tolist()]
-    stops = (ends[width - 1 :] - 1).tolist() or [len(line)]
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts, stops, strict=True)), np.uint64, len(starts)))
-
-
-def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, digest of the set, n, shingles) of each row; the shingles as the bytes of their sorted digests."""
-    small_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in slices(iter([batch]), "text"):
-                sets = [shingle_set(x, width) for x in utf8(b.column(1))]
-                raw = [x.tobytes() for x in sets]
-                digest = np.array([xxhash.xxh3_64_intdigest(x, SEED) for x in raw], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digest), pa.array([len(x) for x in sets], pa.int64()), pa.array(raw, pa.binary())], names=["id", "digest", "n", "shingles"])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, digest long, n long, shingles binary")
-
-
-def shingle_counts(sets: DataFrame) -> np.ndarray:
-    """For each counter, the occurrences of the shingles that share it."""
-    part = COUNTERS >> 4
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for b in batches:
-            for x in b.column(0).to_pylist():
-                np.add.at(total, (np.frombuffer(x, np.uint64) & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
-        yield from chunks({k: total[k * part : (k + 1) * part] for k in range(16)})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(x, np.int32).astype(np.int64)
-        yield from chunks(total)
-
-    def chunks(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for k, x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([np.minimum(x, MOST_COUNT).astype(np.int32).tobytes()], pa.binary())], names=["k", "counts"])
-
-    out = np.zeros(COUNTERS, dtype=np.int32)
-    for k, x in sets.select("shingles").mapInArrow(count, "k int, counts binary").repartition(16, "k").mapInArrow(add, "k int, counts binary").collect():
-        out[k * part : (k + 1) * part] = np.frombuffer(bytes(x), np.int32)
-    return out
-
-
-def rare_shingles(sets: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
-    """(key, id, n): each distinct set of shingles under so many of its rarest ones that two sets of at least that similarity share one.
-
-    A set of n shingles shares at least ``similarity * n`` of them with a similar one, so in any one order of all
-    shingles the first ``n - similarity * n + 1`` of both have one in common.  Keys with one set are left out.
-    """
-    kind = sets.schema["id"].dataType.simpleString()
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
-        least: dict[int, int] = {}
-        for b in batches:
-            keys: list[np.ndarray] = []
-            if len(least) > 300_000:
-                least.clear()
-            for x, digest, id in zip(*(b.column(c).to_pylist() for c in ("shingles", "digest", "id")), strict=True):
-                if least.get(digest, id + 1) <= id:  # a copy whose keys this task has given out
-                    keys.append(np.zeros(0, dtype=np.int64))
-                    continue
-                least[digest] = id
-                own = np.frombuffer(x, np.uint64)
-                often = counts[(own & np.uint64(COUNTERS - 1)).astype(np.int64)]
-                take = min(len(own), len(own) - int(np.ceil(similarity * len(own) - TINY)) + 1)
-                at = np.lexsort((own, often))[:take]
-                keys.append(own[at][often[at] > 1].view(np.int64))
-            row = pa.array(np.repeat(np.arange(b.num_rows), [len(k) for k in keys]))
-            if len(row):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), *(b.column(c).take(row) for c in ("digest", "id", "n"))], names=["key", "digest", "id", "n"])
-
-    keyed = sets.mapInArrow(first, f"key long, digest long, id {kind}, n long").repartition("key").groupBy("key", "digest").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-    return keyed.withColumn("sets", F.count("*").over(Window.partitionBy("key"))).filter("sets > 1").select("key", "id", "n")
-
-
-def similar_pairs(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (src, dst) whose sets have the similarity, by the sets themselves."""
-    kind = sets.schema["id"].dataType.simpleString()
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(both >= similarity * (len(x) + len(y) - both) - TINY)
-            yield pa.RecordBatch.from_arrays([batch.column("src"), batch.column("dst")], names=["src", "dst"]).filter(pa.array(near, pa.bool_()))
-
-    ids = stored(pairs.select(F.explode(F.array("src", "dst")).alias("id")).distinct())
-    sets = stored(sets.select("id", "shingles").join(ids, "id", "left_semi"))
-    joined = pairs.join(sets.select(F.col("id").alias("src"), F.col("shingles").alias("x")), "src").join(sets.select(F.col("id").alias("dst"), F.col("shingles").alias("y")), "dst")
-    return joined.select("src", "dst", "x", "y").mapInArrow(verify, f"src {kind}, dst {kind}").distinct()
-
-
-def linked_sets(sets: DataFrame, similarity: float) -> DataFrame:
-    """Edges (src, dst) that connect what pairs of at least that Jaccard similarity connect; each edge is such a pair.
-
-    Only pairs that share a rare shingle and are not yet connected are compared.  While these are many, each key's sets
-    are compared with one of them only, so that a large group of near copies is connected before its pairs are written out.
-    """
-    spark = sets.sparkSession
-    keyed = stored(rare_shingles(sets, shingle_counts(sets), similarity))
-    ids = stored(keyed.select("id").distinct())
-    edges: DataFrame | None = None
-    last = float("inf")
-    while True:
-        label = connected_components(spark, ids, edges) if edges is not None else ids.withColumn("component", F.col("id"))
-        rows = stored(keyed.join(label, "id"))
-        groups = rows.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("within"))
-        groups = groups.filter("rows * rows > within")
-        left, n = groups.agg(F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        every = left <= FEW * n or left > last / 2
-        last = left
-        rows = rows.join(groups.select("key"), "key", "left_semi")
-        mate = rows if every else rows.groupBy("key").agg(F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(left))).alias("m")).select("key", "m.*")
-        mate = mate.select("key", *(F.col(c).alias(f"m_{c}") for c in ("id", "n", "component")))
-        pairs = rows.join(mate, "key").filter(F.col("component") != F.col("m_component")).filter(F.least("n", "m_n") >= similarity * F.greatest("n", "m_n") - TINY)
-        pairs = stored(pairs.select(F.least("id", "m_id").alias("src"), F.greatest("id", "m_id").alias("dst")).distinct())
-        found = stored(similar_pairs(pairs, sets, similarity))
-        edges = found if edges is None else edges.union(found)
-        if every:
-            return edges
-
-
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the id and component_id, for near copies by their shingles of ``width`` words.
-
-    Texts link when the Jaccard similarity of their distinct shingles is ``similarity`` or more; every such link is found, and no other.
-    Rows of null ids, empty texts and repeated rows are treated as in ``simhash_groups``.
+    null id get component_id null and take no part; repeated rows stay; an empty table gives no rows.  Ids
+    are integers; other columns are not read, whatever their names.  Equal fingerprints
+    are one class before anything is compared, so that copies cost one row.
     """
-    sets = stored(shingle_sets(docs, width, id_col, text_col))
-    known = sets.filter("id is not null")
-    classes = stored(known.groupBy("digest").agg(F.min("id").alias("id")))
-    components = connected_components(docs.sparkSession, classes.select("id").distinct(), linked_sets(known, similarity))
-    named = stored(classes.join(components, "id").select("digest", "component"))
-    out = sets.select("id", "digest").join(named, "digest", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
-
-
-def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows, with their own columns, without those whose group of near copies has a smaller id.  Rows of a null id stay; repeated rows of a kept id all stay."""
-    groups = similar_groups(docs.select(id_col, text_col), width, similarity, id_col, text_col)
-    later = groups.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_later")).distinct()
-    return docs.join(stored(later), docs[id_col] == F.col("_later"), "left_anti")
+    prints = stored(fingerprints(docs, width, id_col, text_col))
+    classes = stored(prints.filter("id is not null").groupBy("f0").agg(F.min("id").alias("id")))
+    components = connected_components(docs.sparkSession, classes.select("id"), linked_prints(classes, most_bits))
+    named = stored(classes.join(components, "id").select("f0", "component"))
+    out = prints.join(named, "f0", "left")
+    return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))

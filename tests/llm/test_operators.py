@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from kinolytics.llm import decontam, embed_dedup, lm_score, packing, quality, simhash, token_counts, toxicity, url_filter, warc
+from kinolytics.llm import decontam, embed_dedup, lm_score, near_text, packing, quality, simhash, token_counts, toxicity, url_filter, warc
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,38 @@ def test_token_counts(spark):
         fit = [j for j in range(len(text) + 1) if j == 0 or got[k]["prefix_tokens"][j - 1] <= 5]
         assert got[k]["fit_chars"] == max(fit)
     assert token_counts.token_counts(docs(spark, []), WORD).count() == 0
+    asked = by_id(token_counts.token_counts(docs(spark), WORD).select("doc_id", "prefix_tokens", token_counts.fits("prefix_tokens", 5).alias("fit"), token_counts.tokens_before("prefix_tokens", 7).alias("seven"), token_counts.tokens_before("prefix_tokens", 0).alias("none")))
+    for k in range(len(TEXTS)):
+        counts = asked[k]["prefix_tokens"]
+        assert asked[k]["fit"] == got[k]["fit_chars"] and asked[k]["none"] == 0 and asked[k]["seven"] == (counts[min(7, len(counts)) - 1] if counts else 0)
+
+
+def test_prefix_counts_of_characters_that_change_when_normalised():
+    from tokenizers import Tokenizer
+
+    t, counter = Tokenizer.from_file(WORD), token_counts.PrefixCounter(WORD)
+    parts = ["it's", "'", "'re", "r", "e\u0301", "\u0323", "か\u3099", "\u3000", "\xa0", "İ", "Σ", "한", "\u1112\u1161\u11ab", "<|endoftext|>", "<|end", "ﬁ", "\u212b", "\u0958", "２", "\U0001f602", "\x1c", "the", "\n", "\u212a"]
+    draw = np.random.default_rng(3)
+    texts = ["".join(draw.choice(parts, draw.integers(1, 12))) for _ in range(400)] + ["".join(draw.choice(["か", "\u3099", "は"], 200)), "".join(draw.choice(["!", "\u0301", "?"], 200))]
+    for x in texts:
+        assert counter.prefixes(x.encode()).tolist() == [len(t.encode(x[:j], add_special_tokens=False).ids) for j in range(1, len(x) + 1)], ascii(x)
+
+
+def test_prefix_counts_of_long_stretches_take_linear_time():
+    from time import process_time
+
+    from tokenizers import Tokenizer
+
+    t, counter = Tokenizer.from_file(WORD), token_counts.PrefixCounter(WORD)
+    for x in ["日本語は" * 5000 + "\u3000日本", "e\u0301" * 10000, "a" + "\u0301" * 20000, "x" * 100_000 + "İ", " " * 1_000_000 + "a"]:
+        began = process_time()
+        assert counter.prefixes(x.encode())[-1] == len(t.encode(x, add_special_tokens=False).ids)
+        assert process_time() - began < 5  # quadratic: minutes
+
+
+def test_another_vocabulary_is_refused():
+    with pytest.raises(ValueError, match="normaliser"):
+        token_counts.PrefixCounter(BYTE)
 
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/es/"), ("allow", "net/es/")]
@@ -200,15 +232,15 @@ def test_near_copies_of_many_changed_words(spark, monkeypatch, block):
             texts.append(" ".join(copy))
         want.add(len(texts))
         texts.append(" ".join(base[: len(base) // 2] + list(rng.choice(vocabulary, len(base) // 2))))
-    kept = {r["doc_id"] for r in simhash.keep_first(docs(spark, texts)).collect()}
+    kept = {r["doc_id"] for r in near_text.keep_first(docs(spark, texts)).collect()}
     assert kept == want
-    assert simhash.similar_groups(docs(spark, [])).count() == 0
+    assert near_text.similar_groups(docs(spark, [])).count() == 0
 
 
 @pytest.mark.parametrize("few", [8, 0])
 def test_near_copies_against_brute_force(spark, monkeypatch, few):
     """Pairs between 0.65 and 0.9, short texts and repeated lines: linked by the exact similarity of distinct shingles, no more and no fewer."""
-    monkeypatch.setattr(simhash, "FEW", few, raising=False)
+    monkeypatch.setattr(near_text, "FEW", few)
     rng = np.random.default_rng(11)
     vocabulary = [f"w{k}" for k in range(5000)]
     texts = [None, "", "a b c d e f g h", "a b c d e f g i", "a b c d e f g h i", "one two"]
@@ -232,9 +264,9 @@ def test_near_copies_against_brute_force(spark, monkeypatch, few):
             if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
                 x, y = sorted((label[a], label[b]))
                 label = [x if z == y else z for z in label]
-    got = by_id(simhash.similar_groups(docs(spark, texts)))
+    got = by_id(near_text.similar_groups(docs(spark, texts)))
     assert [got[k]["component_id"] for k in range(len(texts))] == label
-    assert {r["doc_id"] for r in simhash.keep_first(docs(spark, texts)).collect()} == set(label)
+    assert {r["doc_id"] for r in near_text.keep_first(docs(spark, texts)).collect()} == set(label)
 
 
 def test_decontamination(spark):
@@ -345,6 +377,12 @@ def test_first_fit_decreasing_is_first_fit():
     assert [(int(seq[k]), int(off[k])) for k in order] == want
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000 + "a", " " * 2_000_000, "\n " * 500_000 + "b", "7" * 1_000_000, "a" * 1_000_000, (" " * 9_999 + "a") * 5], ids=range(6))
+def test_long_runs_are_encoded(text):
+    coder = packing.coder_of(BYTE, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert coder.ids(text) == np.array(coder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 def test_byte_ids_equal_the_tokenizer():
     coder = packing.ByteIds(BYTE, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     rng = np.random.default_rng(4)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from kinolytics.llm import decontam, queries, simhash
+from kinolytics.llm import decontam, near_text, queries
 
 
 def test_stages(spark, sf_dir):
@@ -16,7 +16,7 @@ def test_stages(spark, sf_dir):
         a, b = {r["doc_id"] for r in seen.collect()}, {r["doc_id"] for r in out.collect()}
         assert b <= a and len(b) > len(a) / 3
         if name == "near_duplicates":
-            groups = simhash.similar_groups(seen).collect()
+            groups = near_text.similar_groups(seen).collect()
             assert b == {r["component_id"] for r in groups}
         if name == "decontamination":
             items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
