@@ -15,7 +15,7 @@ from kinolytics.llm.common import stored
 from kinolytics.llm.decontam import decontaminate
 from kinolytics.llm.packing import pack
 from kinolytics.llm.quality import fit_quality, keep_good
-from kinolytics.llm.simhash import keep_first
+from kinolytics.llm.near_text import keep_first
 from kinolytics.llm.toxicity import fit_toxicity, keep_clean
 
 
