@@ -3,8 +3,9 @@
 Categories are predicted one after the other, each by a linear model over the
 words of a text and the probabilities of the categories before it.  Those
 probabilities are out-of-fold predictions while the later models are trained,
-so that a later model sees them as unsure as they will be on new texts.  The
-categories are toxicity in each of the corpus's languages, then toxicity itself.
+so that a later model sees them as unsure as they will be on new texts.  Labels
+tell only whether a text is toxic; the categories are groups of toxic texts
+that share the words which set toxic texts apart, then toxicity itself.
 """
 
 from __future__ import annotations
@@ -25,10 +26,13 @@ from kinolytics.llm.quality import in_training
 #: Labelled rows to learn from, at most: those of the smallest hashes of the id.
 SAMPLE = 8_000
 SLOTS = 1 << 18
-FEATURES = 600
+#: Groups of toxic texts that become categories, and the texts that a group needs.
+CATEGORIES = 3
+LEAST_GROUP = 12
+#: Standard errors by which a word's shares must differ to be worth a weight.
+LEAST_Z = 7.0
 FOLDS = 4
-ROUNDS = 120
-LANGUAGES = 6
+ROUNDS = 60
 WORDS = re.compile(rb"[a-z\x80-\xff]+")
 
 
@@ -43,24 +47,40 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
-    """Weights of a logistic model (last: intercept), by accelerated gradient steps scaled by column."""
-    n, d = x.shape
-    y = y.astype(np.float32)
-    w = np.zeros(d + 1, dtype=np.float32)
-    rate = min(max(float(y.mean()), 1e-4), 1 - 1e-4)
+class Bags:
+    """Rows of set slots, held end to end: a sparse matrix of ones."""
+
+    def __init__(self, rows: list[np.ndarray], width: int):
+        self.n, self.width = len(rows), width
+        self.lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        self.flat = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
+        self.owner = np.repeat(np.arange(self.n), self.lengths)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.owner, weights=w[self.flat], minlength=self.n)
+
+    def summed(self, r: np.ndarray) -> np.ndarray:
+        return np.bincount(self.flat, weights=r[self.owner], minlength=self.width)
+
+
+def logistic(bags: Bags, dense: np.ndarray, y: np.ndarray, used: np.ndarray, penalty: float = 0.3) -> np.ndarray:
+    """Weights of a logistic model over slots, dense columns and (last) the intercept, from the ``used`` rows, by accelerated gradient steps scaled by column."""
+    m = bags.width
+    w = np.zeros(m + dense.shape[1] + 1)
+    use = used.astype(np.float64)
+    rate = min(max(float((y * use).sum() / max(use.sum(), 1)), 1e-4), 1 - 1e-4)
     w[-1] = np.log(rate / (1 - rate))
-    if y.min() == y.max():
+    if not (y * use).any() or (y * use).sum() == use.sum():
         return w
     # bounds of the curvature by column: columns that are rarely set take large steps
-    width = float(np.abs(x).sum(axis=1).mean()) + 1
-    step = (1.0 / (0.25 * width * np.r_[np.square(x).sum(axis=0), n] + penalty)).astype(np.float32)
+    width = float(((bags.lengths + np.abs(dense).sum(axis=1)) * use).sum() / use.sum()) + 1
+    step = 1.0 / (0.25 * width * np.r_[bags.summed(use), use @ np.square(dense), use.sum()] + penalty)
     ahead, last = w.copy(), w.copy()
     for k in range(1, ROUNDS + 1):
-        r = sigmoid(x @ ahead[:-1] + ahead[-1]) - y
-        g = np.r_[r @ x + penalty * ahead[:-1], r.sum()].astype(np.float32)
+        r = (sigmoid(bags.times(ahead[:m]) + dense @ ahead[m:-1] + ahead[-1]) - y) * use
+        g = np.r_[bags.summed(r) + penalty * ahead[:m], r @ dense + penalty * ahead[m:-1], r.sum()]
         w = ahead - step * g
-        momentum = np.float32((k - 1) / (k + 2)) if (w - last) @ g <= 0 else np.float32(0)  # overshot: anew
+        momentum = (k - 1) / (k + 2) if (w - last) @ g <= 0 else 0.0  # overshot: anew
         ahead, last = w + momentum * (w - last), w
     return w
 
@@ -68,23 +88,71 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
 @dataclass
 class Chain:
     categories: list[str]
-    chosen: np.ndarray  # slot -> column, or -1
-    weights: list[np.ndarray]  # per category: words, probabilities before it, intercept
+    chosen: np.ndarray  # slot -> column of the weights, or -1
+    weights: list[np.ndarray]  # per category: slots, probabilities before it, intercept
     threshold: float = 0.5
 
     def probabilities(self, rows: list[np.ndarray]) -> np.ndarray:
+        """A row for each text, a column for each category, one category after the other for all texts at once."""
+        lengths = [len(r) for r in rows]
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        at = self.chosen[np.concatenate(rows)] if rows else np.zeros(0, dtype=np.int64)
+        owner, at = owner[at >= 0], at[at >= 0]
         out = np.zeros((len(rows), len(self.categories)))
-        for k, s in enumerate(rows):
-            at = self.chosen[s]
-            at = at[at >= 0]
-            for c, w in enumerate(self.weights):
-                d = len(w) - 1 - c
-                out[k, c] = sigmoid(w[at].sum() + out[k, :c] @ w[d : d + c] + w[-1])
+        for c, w in enumerate(self.weights):
+            d = len(w) - 1 - c
+            out[:, c] = sigmoid(np.bincount(owner, weights=w[at], minlength=len(rows)) + out[:, :c] @ w[d : d + c] + w[-1])
         return out
 
 
+def toxic_groups(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """The group (0, 1, ...) of each toxic row, -1 for others and for rows in groups of fewer than ``LEAST_GROUP``; groups by size.
+
+    Spherical k-means over the slots that are more frequent in toxic than in other texts, weighted by that difference's
+    logarithm; the first centre is the mean, each further one the row least like the centres before it (ties: the first).
+    """
+    out = np.full(len(rows), -1)
+    at = np.flatnonzero(toxic)
+    if len(at) < 2 * LEAST_GROUP:
+        return out
+    n1, n0 = len(at), len(rows) - len(at)
+    c1, c0 = np.zeros(SLOTS), np.zeros(SLOTS)
+    for k, r in enumerate(rows):
+        (c1 if toxic[k] else c0)[r] += 1
+    weight = np.maximum(np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1)), 0) * (c1 >= 3)
+    own = Bags([rows[k] for k in at], SLOTS)
+    value = weight[own.flat]
+    norm = np.sqrt(np.bincount(own.owner, weights=value * value, minlength=own.n))
+    value = value / np.maximum(norm[own.owner], 1e-12)
+
+    def likeness(centre: np.ndarray) -> np.ndarray:
+        return np.bincount(own.owner, weights=value * centre[own.flat], minlength=own.n)
+
+    def centred(members: np.ndarray) -> np.ndarray:
+        c = np.bincount(own.flat, weights=value * members[own.owner], minlength=SLOTS)
+        return c / max(np.sqrt(c @ c), 1e-12)
+
+    like = likeness(centred(np.ones(own.n)))[:, None]
+    centres = []
+    for _ in range(CATEGORIES):
+        far = int(np.argmin(like.max(axis=1)))
+        centres.append(centred((np.arange(own.n) == far).astype(float)))
+        like = np.column_stack([like, likeness(centres[-1])])
+    label = np.full(own.n, -1)
+    for _ in range(20):
+        now = np.argmax(np.column_stack([likeness(c) for c in centres]), axis=1)
+        if (now == label).all():
+            break
+        label = now
+        centres = [centred((label == k).astype(float)) for k in range(CATEGORIES)]
+    size = np.bincount(label, minlength=CATEGORIES)
+    for new, k in enumerate(k for k in np.argsort(-size, kind="stable") if size[k] >= LEAST_GROUP):
+        out[at[label == k]] = new
+    return out
+
+
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Where the out-of-fold probabilities separate best (F1); in the middle of the gap, between 0.2 and 0.5."""
+    """Where the out-of-fold probabilities separate best (F1); in the middle of the gap, between 0.1 and 0.5."""
     order = np.argsort(-p, kind="stable")
     p, hit = p[order], np.cumsum(y[order])
     if not len(y) or not hit[-1]:
@@ -92,72 +160,66 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     f1 = 2 * hit / (np.arange(1, len(y) + 1) + hit[-1])
     at = int(np.argmax(f1))
     low = p[at + 1] if at + 1 < len(p) else 0.0
-    return float(np.clip((p[at] + low) / 2, 0.2, 0.5))
+    return float(np.clip((p[at] + low) / 2, 0.1, 0.5))
 
 
 def fit_chain(rows: list[np.ndarray], targets: np.ndarray, categories: list[str]) -> Chain:
-    """targets: a column for each category, the last being toxicity as such."""
+    """targets: a column for each category, the last being toxicity as such.
+
+    Each word whose share among a category's texts differs from that among the others by ``LEAST_Z`` standard errors has a weight, however many these are."""
     n = len(rows)
     chosen = np.full(SLOTS, -1, dtype=np.int32)
-    if n:
-        lengths = np.array([len(r) for r in rows])
-        flat, owner = np.concatenate(rows), np.repeat(np.arange(n), lengths)
-        total = np.bincount(flat, minlength=SLOTS)
-        share = np.zeros(SLOTS)
-        for y in targets.T:  # words whose share among a category's texts differs most from the share among the others
-            y = y.astype(bool)
-            if y.any() and not y.all():
-                p1 = np.bincount(flat[y[owner]], minlength=SLOTS)
-                p, a, b = total / n, p1 / y.sum(), (total - p1) / (~y).sum()
-                z = np.abs(a - b) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / y.sum() + 1 / (~y).sum()))
-                share = np.maximum(share, np.where(total > 1, z, 0))
-        best = np.argsort(-share, kind="stable")[:FEATURES]
-        best = best[share[best] > 0]
-        chosen[best] = np.arange(len(best))
-        x = np.zeros((n, len(best)), dtype=np.float32)
-        at = chosen[flat]
-        x[owner[at >= 0], at[at >= 0]] = 1.0
-    else:
-        x = np.zeros((0, 0), dtype=np.float32)
+    if not n:  # nothing to learn from: nothing is toxic
+        return Chain(categories, chosen, [np.r_[np.zeros(c), -10.0] for c in range(len(categories))])
+    everything = Bags(rows, SLOTS)
+    total = everything.summed(np.ones(n))
+    apart = np.zeros(SLOTS)
+    for y in targets.T:
+        if y.any() and not y.all():
+            with_it, p = everything.summed(y), total / n
+            error = np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / y.sum() + 1 / (n - y.sum())))
+            apart = np.maximum(apart, np.where(total > 1, np.abs(with_it / y.sum() - (total - with_it) / (n - y.sum())) / error, 0))
+    words = np.flatnonzero(apart >= LEAST_Z)
+    chosen[words] = np.arange(len(words))
+    bags = Bags([at[at >= 0] for at in (chosen[r] for r in rows)], len(words))
     fold = np.arange(n) % FOLDS
     before = np.zeros((n, 0))
     weights = []
-    for y in targets.T if n else ():
-        xx = np.hstack([x, before.astype(np.float32)])
-        weights.append(logistic(xx, y))
+    for y in targets.T:
+        weights.append(logistic(bags, before, y, np.ones(n, dtype=bool)))
         guess = np.zeros(n)
         for f in range(FOLDS):
-            w = logistic(xx[fold != f], y[fold != f]) if (fold != f).any() else weights[-1]
-            guess[fold == f] = sigmoid(xx[fold == f] @ w[:-1] + w[-1])
-        before = np.hstack([before, guess[:, None]])
-    threshold = best_threshold(before[:, -1], targets[:, -1]) if n else 0.5
-    if not n:  # nothing to learn from: nothing is toxic
-        weights = [np.r_[np.zeros(c), -10.0] for c in range(len(categories))]
-    return Chain(categories, chosen, weights, threshold)
+            out = fold == f
+            w = logistic(bags, before, y, ~out) if (~out).any() else weights[-1]
+            guess[out] = sigmoid(bags.times(w[: bags.width]) + before @ w[bags.width : -1] + w[-1])[out]
+        before = np.column_stack([before, guess])
+    return Chain(categories, chosen, weights, best_threshold(before[:, -1], targets[:, -1]))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str | None = "lang") -> Chain:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
     """Learn from at most ``SAMPLE`` labelled rows outside the held-out fold (crc32 of the id is no multiple of 5); their word slots come to the driver.
-    The language is used to define categories, never as an input.  Null ids and labels are skipped."""
+
+    Null ids and labels are skipped; an id with several labels counts once for each, one with several texts by one of them (that of the smallest hash).
+    Empty tables, or labels of one kind, give a chain that finds all texts alike.  Other columns are not read.
+    """
     small_batches(docs.sparkSession)
     known = labels.filter(in_training(id_col)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna().distinct()
     known = known.orderBy(F.xxhash64("id"), "id", "label").limit(SAMPLE)
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col and lang_col in docs.columns else F.lit("")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.alias("lang"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("lang"), b.column("label"), pa.array([slots(t) for t in utf8(b.column("text"))], pa.list_(pa.int32()))], names=["id", "lang", "label", "slots"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), b.column("digest"), pa.array([slots(t) for t in utf8(b.column("text"))], pa.list_(pa.int32()))], names=["id", "label", "digest", "slots"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    got = texts.join(F.broadcast(known), "id").select("id", "lang", "label", "text").mapInArrow(work, f"id {kind}, lang string, label int, slots array<int>").toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
+    # one text for each id before anything is gathered: at most SAMPLE rows reach the driver
+    found = texts.join(F.broadcast(known), "id").select("id", "label", F.xxhash64("text").alias("digest"), "text").mapInArrow(work, f"id {kind}, label int, digest long, slots array<int>")
+    got = found.groupBy("id", "label").agg(F.min_by("slots", "digest").alias("slots")).toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
     y = np.array([int(v > 0) for v in got.column("label").to_pylist()], dtype=np.float64)
-    langs = np.array(got.column("lang").to_pylist(), dtype=object)
-    common = [v for _, v in sorted(((-(langs == v).sum(), v) for v in set(langs)))][:LANGUAGES]
-    common = [v for v in common if 0 < y[langs == v].sum()] if len(common) > 1 else []
-    targets = np.stack([*(y * (langs == v) for v in common), y], axis=1) if len(y) else np.zeros((0, 1))
     rows = [np.array(r, dtype=np.int32) for r in got.column("slots").to_pylist()]
-    return fit_chain(rows, targets, [*(f"toxic_{v}" for v in common), "toxic"])
+    group = toxic_groups(rows, y > 0)
+    groups = int(group.max(initial=-1)) + 1
+    return fit_chain(rows, np.stack([*(group == k for k in range(groups)), y], axis=1).astype(np.float64), [*(f"toxic_{k}" for k in range(groups)), "toxic"])
 
 
 def toxicity_scores(chain: Chain, text: F.Column) -> F.Column:
@@ -182,6 +244,6 @@ def toxicity(docs: DataFrame, chain: Chain, threshold: float | None = None, id_c
 
 
 def keep_clean(docs: DataFrame, chain: Chain, threshold: float | None = None, text_col: str = "text") -> DataFrame:
-    """The rows that are not predicted toxic, with their own columns."""
+    """The rows that are not predicted toxic, with their own columns; repeated rows are judged alike, an empty table stays empty."""
     threshold = chain.threshold if threshold is None else threshold
     return docs.filter(toxicity_scores(chain, F.col(text_col))[len(chain.categories) - 1] < threshold)
