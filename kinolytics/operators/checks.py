@@ -20,6 +20,20 @@ def failures(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.withColumn("broken_rules", names).filter(F.size("broken_rules") > 0)
 
 
+def verdicts(counts: DataFrame, warn: set[str] = frozenset()) -> DataFrame:
+    """``broken_counts`` with a status: pass, warn for rules that only warn, else error."""
+    return counts.withColumn("status", F.when(c("broken") == 0, "pass").when(c("rule").isin(*warn) if warn else F.lit(False), "warn").otherwise("error"))
+
+
+def store_failures(df: DataFrame, rules: dict[str, Column], path: str, run_id: str, keep: list[str]) -> None:
+    """Append the broken rows' key columns and rules to a table of failures, by run."""
+    failures(df, rules).select(*keep, "broken_rules", F.lit(run_id).alias("run_id")).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def not_future(day: str, as_of: str) -> Column:
+    return c(day) <= F.lit(as_of).cast("date")
+
+
 def not_null(column: str) -> Column:
     return c(column).isNotNull()
 
@@ -68,6 +82,6 @@ def parity(online: DataFrame, offline: DataFrame, tolerance: float = 0.02, least
     return both.crossJoin(F.broadcast(totals)).filter((c("_n") >= least) & c("drifting_feature").isNotNull() & (c("_v") > c("_n") * widespread)).drop("_n", "_v")
 
 
-def run_results(spark_rows: DataFrame) -> DataFrame:
+def run_results(results: DataFrame) -> DataFrame:
     """Audit rows of a run: messages only for errors, cut to 1000 characters; seconds to three places."""
-    return spark_rows.withColumns({"error_message": F.when(c("status") == "error", F.substring("error_message", 1, 1000)), "execution_seconds": F.round("execution_seconds", 3), "rows_affected": F.coalesce("rows_affected", F.lit(0))})
+    return results.withColumns({"error_message": F.when(c("status") == "error", F.substring("error_message", 1, 1000)), "execution_seconds": F.round("execution_seconds", 3), "rows_affected": F.coalesce("rows_affected", F.lit(0))})

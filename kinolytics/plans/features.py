@@ -7,16 +7,22 @@ from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 from kinolytics.functions import expressions as X
-from kinolytics.operators.cdc import as_of
-from kinolytics.operators.timetravel import as_map, date_spine, genre_affinity, profile_windows
+from kinolytics.operators.timetravel import as_map, genre_affinity, profile_windows
 
 c = F.col
 
 
+def each_day(history: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each day of [start, end) on which an interval holds: intervals are cut to the span and their days listed, so that nothing is compared with every day."""
+    first = F.greatest(F.to_date("valid_from"), F.lit(start).cast("date"))
+    last = F.least(F.date_sub(F.coalesce(F.to_date("valid_to"), F.lit(end).cast("date")), 1), F.date_sub(F.lit(end).cast("date"), 1))
+    cut = history.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    return cut.withColumn("feature_date", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+
+
 def subscription_context(history: DataFrame, start: str, end: str) -> DataFrame:
     """(feature_date, subscriber_id, tier, tier_rank, is_active, tenure_days) as of each day; of several subscriptions the active, then the latest started."""
-    days = F.broadcast(date_spine(history, start, end))
-    valid = history.join(days, as_of(history, days["feature_date"]))
+    valid = each_day(history, start, end)
     ranked = valid.withColumns({"is_active": c("status") == "active", "tier_rank": X.tier_rank(c("tier")), "tenure_days": F.datediff("feature_date", F.to_date("started_at"))})
     w = Window.partitionBy("feature_date", "subscriber_id").orderBy(F.desc("is_active"), F.desc("started_at"), F.desc("valid_from"), F.desc("subscription_id"))
     return ranked.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("feature_date", "subscriber_id", "tier", "tier_rank", "is_active", "tenure_days")

@@ -105,6 +105,12 @@ def incident(daily: DataFrame) -> DataFrame:
     return daily.groupBy("metric_date", "cdn_provider").agg(F.count_distinct("cdn_pop").alias("pops"), F.sum("sessions").alias("sessions"), (F.sum(c("rebuffer_seconds_per_hour") * c("playback_hours")) / F.nullif(hours, F.lit(0.0))).alias("rebuffer_seconds_per_hour"))
 
 
+def incident_slices(sessions: DataFrame, by: list[str]) -> DataFrame:
+    """Quality of valid sessions by any columns (app version, hour, device), as headline ratios: which slice is worse than the others?"""
+    ratio = F.sum("rebuffer_seconds") / F.nullif(F.sum("seconds_watched") / 3600.0, F.lit(0.0))
+    return sessions.filter("is_valid_session").groupBy(*by).agg(F.count("*").alias("sessions"), ratio.alias("rebuffer_seconds_per_hour"), X.share(c("had_error")).alias("error_rate"))
+
+
 def title_activity(sessions: DataFrame) -> DataFrame:
     return sessions.filter("is_valid_session").groupBy("title_id", "session_date").agg(F.count("*").alias("sessions"), F.count_distinct("profile_id").alias("unique_viewers"), F.sum("seconds_watched").alias("seconds_watched"), X.share(c("is_completed")).alias("completion_rate"))
 

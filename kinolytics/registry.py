@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
-from kinolytics.operators import cdc, checks, timetravel
+from kinolytics.functions import expressions as X
+from kinolytics.operators import cdc, checks, ordering, timetravel
 from kinolytics.plans import embeddings as E
 from kinolytics.plans import features as FT
 from kinolytics.plans import marts as M
@@ -23,12 +24,18 @@ c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 START, END = SPINE_START, AS_OF_ORDERS
+#: Titles that a profile's list is chosen from.
+CANDIDATES = 400
 
 
 def query(sql: str | None = None):
     def add(f: Callable) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(lambda name: view(spark, sf_dir, name))
+            def v(name: str) -> DataFrame:
+                return view(spark, sf_dir, name)
+
+            v.sf_dir = sf_dir  # type: ignore[attr-defined]
+            return f(v)
 
         run.__name__, run.__doc__ = f.__name__, f.__doc__
         QUERIES[f.__name__] = run
@@ -237,10 +244,10 @@ def a12_online_upsert(v):
 
     s = M.session_grain(clean_events(v)).select("profile_id", "session_id", "session_end_ts")
     key = F.concat(F.lit("feat:session:"), c("profile_id").cast("string"))
-    table = IO.VersionedTable(s.sparkSession, shared_dir(s.sparkSession))
+    table = IO.KeyedTable(s.sparkSession, shared_dir(s.sparkSession))
     at = F.lit(EV).cast("timestamp")
-    table.upsert(IO.online_rows(s.filter(c("session_end_ts") < F.lit("2024-01-15").cast("timestamp")), key, "session_end_ts", 24, at), ["key"])
-    table.upsert(IO.online_rows(s, key, "session_end_ts", 24, at), ["key"])
+    table.upsert(IO.online_rows(s.filter(c("session_end_ts") < F.lit("2024-01-15").cast("timestamp")), key, "session_end_ts", 24, at), ["key"], "updated_ts")
+    table.upsert(IO.online_rows(s, key, "session_end_ts", 24, at), ["key"], "updated_ts")
     return table.read().select("key", F.get_json_object("value", "$.session_id").alias("session_id"), "updated_ts")
 
 
@@ -302,10 +309,10 @@ def b12_availability(v):
     return ST.title_availability(state, ORD)
 
 
-@query(dsql("SELECT title_id, CAST(licence_cost_usd AS DOUBLE) AS licence_cost_usd, greatest(licence_end - licence_start, 1) AS licence_days, round(CAST(licence_cost_usd AS DOUBLE) / greatest(licence_end - licence_start, 1), 2) AS daily_amortised_cost_usd FROM v_title_costs"))
+@query(dsql("SELECT title_id, CAST(licence_cost_usd AS DOUBLE) AS licence_cost_usd, greatest(licence_end - licence_start, 1) AS licence_days, (200 * CAST(licence_cost_usd * 100 AS BIGINT) + greatest(licence_end - licence_start, 1)) // (2 * greatest(licence_end - licence_start, 1)) / 10000.0 AS daily_amortised_cost_usd FROM v_title_costs"))
 def b13_title_costs(v):
     t = ST.title_costs(v("v_title_costs"))
-    return t.select("title_id", c("licence_cost_usd").cast("double").alias("licence_cost_usd"), c("licence_days").cast("bigint").alias("licence_days"), F.round(c("licence_cost_usd").cast("double") / c("licence_days"), 2).alias("daily_amortised_cost_usd"))
+    return t.select("title_id", c("licence_cost_usd").cast("double").alias("licence_cost_usd"), c("licence_days").cast("bigint").alias("licence_days"), c("daily_amortised_cost_usd").cast("double").alias("daily_amortised_cost_usd"))
 
 
 @query(dsql(f"""SELECT d AS date_day, CAST(year(d) AS INT) AS year, CAST(quarter(d) AS INT) AS quarter, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day_of_month, CAST(dayofweek(d) AS INT) AS day_of_week, dayname(d) AS day_name,
@@ -398,6 +405,21 @@ def f04_date_exact_baseline(v):
     return rounded(M.qoe_same_weekday_by_date(M.qoe_daily(fct(v), v("v_regions"))))
 
 
+@query(dsql("""SELECT session_date AS metric_date, cdn_pop, region_code, quantile_disc(startup_ms, 0.5) AS p50_startup_ms, quantile_disc(startup_ms, 0.95) AS p95_startup_ms, quantile_disc(startup_ms, 0.99) AS p99_startup_ms
+    FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL"""))
+def e14_approximate_percentiles(v):
+    """One sketch for each group; groups of fewer rows than its accuracy are exact."""
+    return M.qoe_daily(fct(v), v("v_regions"), approximate=True).select("metric_date", "cdn_pop", "region_code", "p50_startup_ms", "p95_startup_ms", "p99_startup_ms")
+
+
+@query(dsql("""SELECT session_date AS metric_date, app_version, CAST(hour(session_start_ts) AS INT) AS hour, count(*) AS sessions, round(CAST(sum(rebuffer_seconds) AS DOUBLE) / nullif(sum(seconds_watched) / 3600.0, 0), 6) AS rebuffer_seconds_per_hour,
+    round(avg(CASE WHEN had_error THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM fct WHERE is_valid_session GROUP BY ALL"""))
+def e25_incident_slices(v):
+    """E25 by app version and hour."""
+    sessions = fct(v).withColumns({"metric_date": c("session_date"), "hour": F.hour("session_start_ts")})
+    return rounded(M.incident_slices(sessions, ["metric_date", "app_version", "hour"]))
+
+
 @query(dsql("SELECT title_id, session_date, sessions, unique_viewers, CAST(seconds_watched AS BIGINT) AS seconds_watched, round(completion_rate, 6) AS completion_rate FROM act"))
 def e09_title_activity(v):
     return rounded(M.title_activity(v("v_watch_sessions")))
@@ -475,8 +497,7 @@ def e19_group_sizes(v):
 
 @query(dsql("SELECT 'seconds_watched' AS feature, round(quantile_cont(seconds_watched, 0.5), 6) AS median FROM v_watch_sessions UNION ALL SELECT 'completion_ratio', round(quantile_cont(completion_ratio, 0.5), 6) FROM v_watch_sessions"))
 def e20_feature_medians(v):
-    s = v("v_watch_sessions").agg(*[F.round(F.percentile(c(x).cast("double"), 0.5), 6).alias(x) for x in ("seconds_watched", "completion_ratio")])
-    return s.unpivot([], ["seconds_watched", "completion_ratio"], "feature", "median")
+    return rounded(ordering.medians(v("v_watch_sessions"), ["seconds_watched", "completion_ratio"]))
 
 
 @query(dsql("SELECT CASE WHEN session_date <= m - 14 THEN 'train' ELSE 'holdout' END AS part, count(*) AS rows FROM v_watch_sessions, (SELECT max(session_date) AS m FROM v_watch_sessions) x GROUP BY 1"))
@@ -492,49 +513,57 @@ def g03_popular_by_region(v):
     return rounded(R.popular_by_region(catalogue(v)).select("title_id", "primary_genre", "popularity_score", "region_code"))
 
 
-RANKED_SQL = """SELECT profile_id, title_id, genre AS primary_genre, score FROM (
-    SELECT p.profile_id, t.title_id, CAST(t.genre AS VARCHAR) AS genre, round(((p.profile_id * 7919 + t.title_id * 104729) % 10007) / 10007.0, 4) AS score
-    FROM (SELECT profile_id FROM v_profiles) p JOIN v_title_vectors t ON (p.profile_id + t.title_id) % 10 = 0) z"""
+BASELINE_SQL = f"""SELECT s.session_id, s.profile_id, s.engagement_label, coalesce(p.popularity_score, 0) AS score FROM v_watch_sessions s
+    LEFT JOIN pop_daily p ON p.title_id = s.title_id AND p.metric_date = s.session_date - 1 WHERE s.is_valid_session AND s.session_date BETWEEN DATE '{START}' AND DATE '{END}'"""
+
 
+def popularity_baseline(v):
+    """Sessions with their label, scored by their title's popularity of the day before: the model that a ranker has to beat."""
+    s = v("v_watch_sessions").filter("is_valid_session").filter(c("session_date").between(F.lit(START).cast("date"), F.lit(END).cast("date")))
+    pop = popularity(v).select("title_id", F.date_add("metric_date", 1).alias("session_date"), "popularity_score")
+    return s.join(pop, ["title_id", "session_date"], "left").select("session_id", "profile_id", "engagement_label", F.coalesce("popularity_score", F.lit(0.0)).alias("score"))
 
-def ranked(v):
-    p, t = v("v_profiles").select("profile_id"), v("v_title_vectors").select("title_id", c("genre").cast("string").alias("primary_genre"))
-    score = F.round(((c("profile_id") * 7919 + c("title_id") * 104729) % 10007) / 10007.0, 4)
-    keyed = t.withColumn("k", F.pmod(-c("title_id"), F.lit(10)))
-    return p.withColumn("k", c("profile_id") % 10).join(keyed, "k").drop("k").withColumns({"score": score, "reason": F.lit("ranked")})
 
+def profile_regions(v):
+    regions = v("v_regions").select("region_code", c("region_id").cast("bigint").alias("r"))
+    return v("v_profiles").select("profile_id", (c("profile_id") % 5).alias("r")).join(F.broadcast(regions), "r").drop("r")
 
-@query(dsql(f"""SELECT profile_id, rank, title_id, round(score, 4) AS score, primary_genre FROM (
-    SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, title_id) AS rank FROM (
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id, primary_genre ORDER BY score DESC, title_id) AS g FROM ({RANKED_SQL}) r
+
+@query(dsql("""SELECT profile_id, rank, title_id, round(score, 4) AS score, primary_genre FROM (
+    SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, rr, title_id) AS rank FROM (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id, primary_genre ORDER BY score DESC, rr, title_id) AS g FROM (
+            SELECT p.profile_id, x.title_id, x.primary_genre, x.popularity_score AS score, x.rr FROM v_profiles p JOIN v_regions r ON r.region_id = p.profile_id % 5 JOIN (
+                SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY popularity_score DESC, title_id) AS rr FROM (SELECT title_id, primary_genre, popularity_score, unnest(regions) AS region_code FROM cat) y QUALIFY rr <= 400) x
+                ON x.region_code = r.region_code) r
              WHERE NOT EXISTS (SELECT 1 FROM v_watch_sessions w WHERE w.profile_id = r.profile_id AND w.title_id = r.title_id)) a WHERE g <= 3) b) d WHERE rank <= 20"""))
 def l15_presentation(v):
-    """Suppress, cap each genre at three, cut at twenty."""
-    return rounded(R.presented(ranked(v), v("v_watch_sessions"), 20).drop("reason"))
+    """L15, B27, F10, G01, G02 over each profile's popular candidates: suppress what was watched, cap each genre at three, cut at twenty."""
+    cat = catalogue(v)
+    found = R.cold_start(profile_regions(v), cat, CANDIDATES).withColumnRenamed("retrieval_score", "score").join(cat.select("title_id", "primary_genre"), "title_id")
+    return rounded(R.presented(found, v("v_watch_sessions"), 20).drop("reason"))
 
 
 @query(dsql(f"""SELECT round(avg(dcg / ideal), 6) AS ndcg, count(*) AS groups FROM (
-    SELECT profile_id, sum(CASE WHEN r <= 10 THEN label / log2(r + 1.0) ELSE 0 END) AS dcg, sum(CASE WHEN b <= 10 THEN label / log2(b + 1.0) ELSE 0 END) AS ideal, count(*) AS n, sum(label) AS pos FROM (
-        SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, title_id) AS r, row_number() OVER (PARTITION BY profile_id ORDER BY label DESC, title_id) AS b
-        FROM (SELECT *, CASE WHEN (profile_id + title_id) % 7 = 0 THEN 1 ELSE 0 END AS label FROM ({RANKED_SQL}) q) x) y GROUP BY profile_id) z WHERE n >= 2 AND pos > 0"""))
+    SELECT profile_id, sum(CASE WHEN r <= 10 THEN engagement_label / log2(r + 1.0) ELSE 0 END) AS dcg, sum(CASE WHEN b <= 10 THEN engagement_label / log2(b + 1.0) ELSE 0 END) AS ideal, count(*) AS n, sum(engagement_label) AS pos FROM (
+        SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, session_id) AS r, row_number() OVER (PARTITION BY profile_id ORDER BY engagement_label DESC, session_id) AS b
+        FROM ({BASELINE_SQL}) x) y GROUP BY profile_id) z WHERE n >= 2 AND pos > 0"""))
 def l08_ndcg(v):
-    """L08, E23, G05."""
-    d = ranked(v).withColumn("label", F.when((c("profile_id") + c("title_id")) % 7 == 0, 1).otherwise(0))
-    return rounded(R.ndcg(d, 10, ("profile_id",), "label"))
+    """Of the popularity baseline."""
+    return rounded(R.ndcg(popularity_baseline(v), 10, ("profile_id",), tie="session_id"))
 
 
-@query(dsql(f"""WITH x AS (SELECT score, CASE WHEN (profile_id + title_id) % 7 = 0 THEN 1 ELSE 0 END AS label FROM ({RANKED_SQL}) q),
-    s AS (SELECT score, sum(label) AS p, sum(1 - label) AS n FROM x GROUP BY score), b AS (SELECT p, n, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
+@query(dsql(f"""WITH s AS (SELECT score, sum(engagement_label) AS p, sum(1 - engagement_label) AS n FROM ({BASELINE_SQL}) q GROUP BY score),
+    b AS (SELECT p, n, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
     SELECT round(sum(p * (below + n / 2.0)) / (sum(p) * sum(n)), 6) AS auc FROM b"""))
 def l09_auc(v):
-    d = ranked(v).withColumn("label", F.when((c("profile_id") + c("title_id")) % 7 == 0, 1).otherwise(0))
-    return rounded(R.auc(d, "label"))
+    """Of the popularity baseline."""
+    return rounded(R.auc(popularity_baseline(v)))
 
 
-@query(dsql(f"SELECT round(stddev_pop(score), 6) AS spread, count(*) AS rows, stddev_pop(score) > 0.01 AS usable FROM ({RANKED_SQL}) q"))
+@query(dsql(f"SELECT round(stddev_pop(score), 6) AS spread, count(*) AS rows, stddev_pop(score) > 0.01 AS usable FROM ({BASELINE_SQL}) q"))
 def e24_score_spread(v):
     """E24, L17."""
-    return rounded(R.score_spread(ranked(v)))
+    return rounded(R.score_spread(popularity_baseline(v)))
 
 
 UNIT_SQL = "SELECT title_id, genre, list_transform(vector, lambda x: x / sqrt(list_sum(list_transform(vector, lambda y: CAST(y AS DOUBLE) * y)))) AS vector FROM v_title_vectors"
@@ -585,40 +614,69 @@ def l04_title_embeddings(v):
     return rounded(t.crossJoin(F.broadcast(one)).select("title_id", dot(c("vector"), c("w")).alias("cosine")), 4)
 
 
+def primary_genres(v):
+    return ST.title_genres(v("v_title_genres")).filter("is_primary_genre").join(F.broadcast(v("v_genres")), "genre_id").select("title_id", c("genre_name").alias("primary_genre"))
+
+
+def scored_holdout(v):
+    """(model, feature order, defaults, all features, scored holdout rows): trees fitted on all but the last fortnight of the training set."""
+    from kinolytics.sources.shared import stored
+
+    f = stored(features(v))
+    t = FT.training_set(f, v("v_watch_sessions"), stitles(v), popularity(v), START, END)
+    t = stored(R.with_own_genre(t.join(primary_genres(v), "title_id", "left")))
+    train, valid = FT.temporal_split(t)
+    model, names, defaults = R.fit_ranker(train, valid, 20)
+    return model, names, defaults, f, R.scored(model, valid, names, defaults)
+
+
 @query()
 def l12_recommendations(v):
-    """L11–L16 for all profiles in one plan: vectors, candidates with fallback, scores, presentation."""
-    cat = catalogue(v)
-    u = unit_vectors(v)
-    regions = v("v_regions").select("region_code", (c("region_id") % 5).alias("r"))
-    profiles = v("v_profiles").select("profile_id", (c("profile_id") % 5).alias("r")).join(regions, "r").drop("r")
-    found = R.candidates(profiles, E.profile_vectors(E.history_of(v("v_watch_sessions"), ORD), u), u, cat, 100)
-    rows = found.join(cat.select("title_id", "primary_genre", "popularity_score"), "title_id").withColumn("score", c("retrieval_score") + 0.1 * c("popularity_score"))
-    return rounded(R.presented(rows, v("v_watch_sessions"), 20), 4)
+    """L11–L16, D19, D20 for all profiles in one plan: vectors, candidates with fallback, the day's features (none: defaults), the ranker's scores, presentation."""
+    model, names, defaults, f, _ = scored_holdout(v)
+    cat, u = catalogue(v), unit_vectors(v)
+    found = R.candidates(profile_regions(v), E.profile_vectors(E.history_of(v("v_watch_sessions"), ORD), u), u, cat, CANDIDATES)
+    titles = stitles(v).select("title_id", "content_type", "runtime_bucket", "is_original", "days_since_release")
+    rows = found.join(cat.select("title_id", "primary_genre", "popularity_score"), "title_id").join(titles, "title_id")
+    today = f.filter(c("feature_date") == F.date_sub(F.lit(END).cast("date"), 1))
+    ranked = R.scored(model, R.with_own_genre(R.ranking_rows(rows, today)), names, defaults)
+    return rounded(R.presented(ranked, v("v_watch_sessions"), 20), 4)
 
 
 @query()
 def l03_ranker_scores(v):
-    """Trees fitted on the first days of the spine, scores for the last."""
+    """The holdout's sessions with the ranker's score."""
+    return rounded(scored_holdout(v)[4].select("session_id", "profile_id", "title_id", "session_date", "engagement_label", "score"))
+
+
+@query()
+def l10_model_evaluation(v):
+    """L08–L10, L17 on the ranker's scores: NDCG@10, AUC, spread, and whether it may replace the popularity baseline."""
     from kinolytics.sources.shared import stored
 
-    t = stored(FT.training_set(features(v), v("v_watch_sessions"), stitles(v), popularity(v), START, END))
-    train, valid = FT.temporal_split(t, 3)
-    model, names, defaults = R.fit_ranker(train, valid, 10)
-    return rounded(R.scored(model, valid, names, defaults).select("session_id", "profile_id", "title_id", "engagement_label", "score"))
+    s = stored(scored_holdout(v)[4])
+    newest = F.lit(s.agg(F.max("session_date")).first()[0])
+    base = popularity_baseline(v).join(s.select("session_id"), "session_id", "left_semi")
+    cold = s.filter(c("profile_age_days") < 30)
+    measured = [("candidate", s, cold), ("incumbent", base, base.join(cold.select("session_id"), "session_id", "left_semi"))]
+    parts = [R.ndcg(a, 10, ("profile_id",), tie="session_id").select(F.lit(n).alias("role"), c("ndcg").alias("ndcg_at_10")).crossJoin(R.ndcg(b, 10, ("profile_id",), tie="session_id").select(c("ndcg").alias("ndcg_at_10_cold_start"))) for n, a, b in measured]
+    gate = R.promotion(stored(parts[0].unionByName(parts[1])))
+    one = R.ndcg(s, 10, ("profile_id",), tie="session_id").crossJoin(R.auc(s)).crossJoin(R.score_spread(s)).crossJoin(gate)
+    return rounded(one.withColumn("until", newest))
 
 
 # --- M: checks ----------------------------------------------------------------------------------------------------------
 @query(dsql("""SELECT 'profile_not_null' AS rule, count(*) FILTER (profile_id IS NULL) AS broken, count(*) AS rows FROM feat UNION ALL SELECT 'tier_accepted', count(*) FILTER (tier NOT IN ('basic', 'standard', 'premium')), count(*) FROM feat
-    UNION ALL SELECT 'segment_accepted', 0, count(*) FROM feat UNION ALL SELECT 'completion_in_range', count(*) FILTER (avg_completion_7d NOT BETWEEN 0 AND 1), count(*) FROM feat
+    UNION ALL SELECT 'segment_accepted', count(*) FILTER (engagement_segment NOT IN ('dormant', 'occasional', 'regular', 'daily')), count(*) FROM feat UNION ALL SELECT 'completion_in_range', count(*) FILTER (avg_completion_7d NOT BETWEEN 0 AND 1), count(*) FROM feat
     UNION ALL SELECT 'sessions_grow', count(*) FILTER (NOT (sessions_30d >= sessions_7d AND sessions_90d >= sessions_30d)), count(*) FROM feat
-    UNION ALL SELECT 'no_leak', count(*) FILTER (days_since_last_session < 1), count(*) FROM feat UNION ALL SELECT 'few_sessions', count(*) FILTER (sessions_7d > 1), count(*) FROM feat"""))
+    UNION ALL SELECT 'no_leak', count(*) FILTER (days_since_last_session < 1), count(*) FROM feat UNION ALL SELECT 'few_sessions', count(*) FILTER (sessions_7d > 1), count(*) FROM feat
+    UNION ALL SELECT 'not_in_future', count(*) FILTER (feature_date > DATE '"""+ORD+"""'), count(*) FROM feat"""))
 def m01_feature_checks(v):
     """All rules in one pass; ``few_sessions`` is made to break."""
     rules = {
         "profile_not_null": checks.not_null("profile_id"), "tier_accepted": checks.accepted("tier", S.TIERS), "segment_accepted": checks.accepted("engagement_segment", S.SEGMENTS),
         "completion_in_range": checks.in_range("avg_completion_7d", 0, 1), "sessions_grow": (c("sessions_30d") >= c("sessions_7d")) & (c("sessions_90d") >= c("sessions_30d")),
-        "no_leak": c("days_since_last_session") >= 1, "few_sessions": c("sessions_7d") <= 1,
+        "no_leak": c("days_since_last_session") >= 1, "few_sessions": c("sessions_7d") <= 1, "not_in_future": checks.not_future("feature_date", ORD),
     }
     return checks.broken_counts(features(v), rules)
 
@@ -635,10 +693,24 @@ def m06_repeated_keys(v):
     return checks.repeated(v("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query(dsql("""SELECT rule, broken, rows, CASE WHEN broken = 0 THEN 'pass' WHEN rule = 'short_span' THEN 'warn' ELSE 'error' END AS status FROM (
+    SELECT 'short_span' AS rule, count(*) FILTER (session_span_seconds > 500000) AS broken, count(*) AS rows FROM grain UNION ALL SELECT 'starts_before_it_ends', count(*) FILTER (session_start_ts > session_end_ts), count(*) FROM grain
+    UNION ALL SELECT 'few_seeks', count(*) FILTER (seek_count > 2), count(*) FROM grain) x"""))
+def m04_severity(v):
+    """Rules of which some only warn."""
+    rules = {"short_span": c("session_span_seconds") <= 500_000, "starts_before_it_ends": c("session_start_ts") <= c("session_end_ts"), "few_seeks": c("seek_count") <= 2}
+    return checks.verdicts(checks.broken_counts(M.session_grain(clean_events(v)), rules), {"short_span"})
+
+
 @query(dsql("SELECT session_id, 'long_span' AS broken FROM grain WHERE session_span_seconds > 500000"))
 def m09_failing_rows(v):
-    got = checks.failures(M.session_grain(clean_events(v)), {"long_span": c("session_span_seconds") <= 500_000})
-    return got.select("session_id", F.array_join("broken_rules", ",").alias("broken"))
+    """Written to a table of failures and read back."""
+    from kinolytics.sources.shared import shared_dir
+
+    g = M.session_grain(clean_events(v))
+    path = shared_dir(g.sparkSession)
+    checks.store_failures(g, {"long_span": c("session_span_seconds") <= 500_000}, path, "run-1", ["session_id"])
+    return g.sparkSession.read.parquet(path).select("session_id", F.array_join("broken_rules", ",").alias("broken"))
 
 
 @query(dsql(f"SELECT max(ingest_ts) AS newest, round(epoch_us(TIMESTAMP '{EV}' - max(ingest_ts)) / 3.6e9, 6) AS age_hours, CASE WHEN epoch_us(TIMESTAMP '{EV}' - max(ingest_ts)) / 3.6e9 > 48 THEN 'error' WHEN epoch_us(TIMESTAMP '{EV}' - max(ingest_ts)) / 3.6e9 > 6 THEN 'warn' ELSE 'pass' END AS status FROM v_playback_events"))
@@ -646,15 +718,45 @@ def m10_freshness(v):
     return rounded(checks.freshness(v("v_playback_events"), "ingest_ts", F.lit(EV).cast("timestamp"), 6, 48))
 
 
-@query(dsql("""SELECT session_id, seconds_watched AS offline_seconds_watched, 'seconds_watched' AS drifting_feature FROM fct WHERE is_valid_session AND profile_id % 10 = 0
-    AND (SELECT count(*) FROM fct WHERE is_valid_session) >= 40 AND (SELECT count(*) FROM fct WHERE is_valid_session AND profile_id % 10 = 0) > 0.01 * (SELECT count(*) FROM fct WHERE is_valid_session)"""))
+LAST_PART_SQL = """SELECT session_id, arg_max(seconds, start) AS seconds, arg_max(stalled, start) AS stalled FROM (
+    SELECT session_id, part, min(event_ts) AS start, count(*) FILTER (event_type = 'HEARTBEAT') * 10 AS seconds, CAST(coalesce(sum(CASE WHEN rebuffer_ms BETWEEN 0 AND 60000 THEN rebuffer_ms END), 0) / 1000.0 AS DOUBLE) AS stalled
+    FROM (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY event_ts, event_id ROWS UNBOUNDED PRECEDING) AS part FROM (
+        SELECT *, CASE WHEN event_ts >= lag(event_ts) OVER (PARTITION BY session_id ORDER BY event_ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM v_playback_events) a) b GROUP BY session_id, part) p GROUP BY session_id"""
+
+
+@query(dsql(f"""WITH j AS (SELECT f.session_id, f.seconds_watched AS off, CAST(f.rebuffer_seconds AS DOUBLE) AS off_stalled, f.completion_ratio AS off_done, o.seconds AS on_, o.stalled,
+        CASE WHEN f.runtime_seconds <> 0 THEN least(1.0, CAST(o.seconds AS DOUBLE) / f.runtime_seconds) END AS done FROM fct f JOIN ({LAST_PART_SQL}) o USING (session_id) WHERE f.is_valid_session),
+    k AS (SELECT *, CASE WHEN CASE WHEN off = 0 THEN on_ <> 0 ELSE abs(on_ - off) / CAST(off AS DOUBLE) > 0.02 END THEN 'seconds_watched' WHEN CASE WHEN off_stalled = 0 THEN stalled <> 0 ELSE abs(stalled - off_stalled) / off_stalled > 0.02 END THEN 'rebuffer_seconds'
+        WHEN abs(done - off_done) > 0.02 THEN 'completion_ratio' END AS drifting_feature FROM j)
+    SELECT session_id, off AS offline_seconds_watched, drifting_feature FROM k WHERE drifting_feature IS NOT NULL AND (SELECT count(*) FROM k) >= 40 AND (SELECT count(drifting_feature) FROM k) > 0.01 * (SELECT count(*) FROM k)"""))
 def m11_parity(v):
-    """What a stream served is off by ten seconds for every tenth profile."""
-    f = fct(v).filter("is_valid_session").select("session_id", "profile_id", "seconds_watched", "rebuffer_seconds", "completion_ratio")
-    served = f.withColumn("seconds_watched", F.when(c("profile_id") % 10 == 0, c("seconds_watched") * 2).otherwise(c("seconds_watched")))
+    """Sessions as a stream closes them (after half an hour's silence; the last part) against the warehouse's."""
+    f = fct(v).filter("is_valid_session").select("session_id", "profile_id", "seconds_watched", "rebuffer_seconds", "completion_ratio", "runtime_seconds")
+    last = batch_sessions(v("v_playback_events")).groupBy("session_id").agg(F.max_by(F.struct("seconds_watched", "rebuffer_seconds"), "session_start").alias("r"))
+    served = last.join(f.select("session_id", "profile_id", "runtime_seconds"), "session_id").select("session_id", "profile_id", "r.*", X.completion_ratio(c("r.seconds_watched"), c("runtime_seconds")).alias("completion_ratio"))
     return checks.parity(served, f, least=40).select("session_id", "offline_seconds_watched", "drifting_feature")
 
 
+@query(dsql("""SELECT stage, status, rows_affected, stamped FROM (SELECT 'staged_events' AS stage, 'success' AS status, count(*) AS rows_affected, count(*) AS stamped FROM clean_events
+    UNION ALL SELECT 'watch_sessions', CASE WHEN count(*) FILTER (session_span_seconds > 86400) > 0 THEN 'warn' ELSE 'success' END, count(*), count(*) FROM fct
+    UNION ALL SELECT 'content_performance', 'success', count(*), count(*) FROM (SELECT DISTINCT f.title_id, f.session_date FROM fct f JOIN v_titles USING (title_id) WHERE is_valid_session) x
+    UNION ALL SELECT 'qoe_daily', 'success', count(*), count(*) FROM qoe_d) y"""))
+def m13_nightly_build(v):
+    """The whole job, then its last ten days again as a backfill; rows of each stage by its audit, and by what was written with a build time."""
+    from kinolytics import job
+    from kinolytics.sources.shared import shared_dir
+
+    spark = v("v_titles").sparkSession
+    run = job.Run(spark, v.sf_dir, shared_dir(spark), EV)
+    first = job.build(run)
+    job.build(job.Run(spark, v.sf_dir, run.target, EV, "2024-01-21"))
+    stamped = None
+    for stage in job.stages():
+        n = run.built(stage.name).agg(F.lit(stage.name).alias("stage"), F.count("_built_at").alias("stamped"))
+        stamped = n if stamped is None else stamped.unionByName(n)
+    return first.select("stage", "status", "rows_affected").join(stamped, "stage")
+
+
 # --- J: streams, as tables and as streams ---------------------------------------------------------------------------------
 def windows_sql(size: int, slide: int) -> dict[str, str]:
     return {**DERIVED, "qwin": DERIVED["qwin"].replace("SIZE_", str(size)).replace("SLIDE_", str(slide))}

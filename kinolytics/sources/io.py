@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 from kinolytics.operators.cdc import routed_table
+from kinolytics.sources.shared import stored
 
 c = F.col
 
@@ -79,11 +78,15 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return reader.csv(path, header=True) if path.endswith(".csv") else reader.parquet(path)
 
 
-def route_changes(messages: DataFrame, tables: list[str], write: Callable[[str, DataFrame], None]) -> None:
-    """One filtered write for each table that a topic belongs to."""
-    named = messages.withColumn("_table", routed_table(c("topic")))
-    for t in tables:
-        write(t, named.filter(c("_table") == f"cdc.{t}").drop("_table"))
+def route_changes(messages: DataFrame, path: str) -> None:
+    """Messages of all change topics appended to one folder for each table (``_table=``), in one pass over the source."""
+    routed = messages.withColumn("_table", F.regexp_extract(routed_table(c("topic")), r"^cdc\.(.*)$", 1)).filter("_table <> ''")
+    routed.repartition("_table").write.mode("append").partitionBy("_table").parquet(path)
+
+
+def checked(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a relation if they keep its contract; writers call this before anything is written."""
+    return S.check_contract(df, S.TABLES[name])
 
 
 # --- keyed tables (online features) -----------------------------------------------------------------------------------
@@ -100,48 +103,82 @@ def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-class VersionedTable:
-    """A Parquet table that is replaced as a whole version at a time: readers see the old or the new rows, never both.
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder, whatever file system it lies in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class KeyedTable:
+    """A Parquet table by key, in buckets of the key's hash; a write replaces the buckets that it touches, as whole versions.
 
-    ``current`` names the live version in a one-row table; it is the last thing that a write changes.
+    Readers see each write wholly or not at all: ``current`` names the live version of every bucket, and a new such row is the
+    last thing that a write adds.  The version before stays for readers that began earlier; older ones are deleted.  One
+    writer at a time.  Where a table format with MERGE is at hand, use that instead.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
 
-    def _versions(self) -> list[str]:
+    def _states(self) -> list[tuple[int, dict[str, str]]]:
+        """(number, versions by bucket), the newest first; at most the two that are kept."""
         try:
-            return [r["version"] for r in self.spark.read.schema("at bigint, version string").json(f"{self.path}/current").orderBy(F.desc("at")).limit(1).collect()]
+            rows = self.spark.read.schema("at bigint, versions map<string,string>").json(f"{self.path}/current/*").orderBy(F.desc("at")).limit(2).collect()
         except Exception as e:  # noqa: BLE001
             if "PATH_NOT_FOUND" in str(e):
                 return []
             raise
+        return [(r["at"], dict(r["versions"])) for r in rows]
 
-    def read(self) -> DataFrame | None:
-        names = self._versions()
-        return self.spark.read.parquet(f"{self.path}/{names[0]}") if names else None
+    def _folders(self, versions: dict[str, str], only: set[str] | None = None) -> list[str]:
+        return [f"{self.path}/{v}/_bucket={b}" for b, v in sorted(versions.items()) if only is None or b in only]
 
-    def replace(self, rows: DataFrame, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> None:
+    def read(self) -> DataFrame | None:
+        states = self._states()
+        return self.spark.read.parquet(*self._folders(states[0][1])) if states else None
+
+    def upsert(self, rows: DataFrame, keys: list[str], updated: str | None = None) -> None:
+        """Insert or replace by key.  With ``updated``, the row of the highest value stays, so that an old batch that is written again changes nothing."""
+        states = self._states()
+        at, versions = states[0] if states else (0, {})
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("string")
+        rows = rows.persist()
+        touched = {r[0] for r in rows.select(bucket).distinct().collect()}  # as many as there are buckets
+        if not touched:
+            rows.unpersist()
+            return
+        old = self._folders(versions, touched)
+        if old:
+            held = self.spark.read.parquet(*old)
+            if updated:
+                rest = [x for x in held.columns if x not in keys]
+                best = held.unionByName(rows).groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(updated, *[x for x in rest if x != updated])).alias("_r"))
+                new = best.select(*[c(x) if x in keys else c("_r")[x].alias(x) for x in held.columns])
+            else:
+                new = merged(held, rows, keys)
+        else:
+            new = rows
         name = f"v-{uuid.uuid4().hex}"
-        if partition_by:
-            rows = rows.repartition(*partition_by)
-        if sort_by:
-            rows = rows.sortWithinPartitions(*(partition_by or []), *sort_by)
-        writer = rows.write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.path}/{name}")
-        at = self.spark.range(1).select(F.expr("coalesce(unix_micros(current_timestamp()), 0)").alias("at"), F.lit(name).alias("version"))
-        at.coalesce(1).write.mode("append").json(f"{self.path}/current")
-
-    def upsert(self, rows: DataFrame, keys: list[str], partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> None:
-        """Insert or replace by key over the whole table, so a key whose partition value moved leaves no old row behind."""
-        old = self.read()
-        self.replace(rows if old is None else merged(old, rows, keys), partition_by, sort_by)
+        new.withColumn("_bucket", bucket).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/{name}")
+        rows.unpersist()
+        now = versions | dict.fromkeys(touched, name)
+        state = self.spark.createDataFrame([(at + 1, now)], "at bigint, versions map<string,string>")
+        state.coalesce(1).write.json(f"{self.path}/current/{at + 1:012d}")
+        kept = {v for n in (now, versions) for v in n.values()}
+        for number, before in states[1:]:
+            removed(self.spark, f"{self.path}/current/{number:012d}")
+            for v in set(before.values()) - kept:
+                removed(self.spark, f"{self.path}/{v}")
 
 
 def upsert_partitions(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], partition: str) -> None:
-    """Incremental merge that rewrites only the partitions it touches: those of the new rows, and those where their keys lie now."""
+    """Incremental merge that rewrites only the partitions it touches: those of the new rows, and those where their keys lie now.
+
+    Partitions are replaced one by one: readers that must not see a mixture take ``KeyedTable`` or a table format.  A run that
+    failed on the way is repaired by running it again.
+    """
     held = spark.read.parquet(path)
-    rows = rows.select(*held.columns)
+    rows = stored(rows.select(*held.columns))  # computed once
     staged = f"{path.rstrip('/')}__staged_{uuid.uuid4().hex}"
     before = held.join(rows.select(*keys), keys, "left_semi").select(partition)
     touched = before.union(rows.select(partition)).distinct()
@@ -152,8 +189,7 @@ def upsert_partitions(spark: SparkSession, path: str, rows: DataFrame, keys: lis
     left = {r[0] for r in out.select(partition).distinct().collect()} if emptied else set()
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for value in set(emptied) - left:  # all rows of a partition have moved away
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={value}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        removed(spark, f"{path}/{partition}={value}")
 
 
 def clustered(df: DataFrame, path: str, day: str, cluster: str, mode: str = "overwrite") -> None:
@@ -173,10 +209,11 @@ def as_messages(df: DataFrame, key: str) -> DataFrame:
     return df.select(c(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def save_model(spark: SparkSession, model, path: str, version: str, names: list[str], defaults: dict[str, float], metrics: dict[str, float]) -> None:
-    """The model with a one-row table of its feature order, defaults and metrics, so that nobody keeps a second copy of them."""
+def save_model(spark: SparkSession, model, path: str, version: str, names: list[str], defaults: dict[str, float], metrics: dict[str, float], params: dict[str, str] | None = None) -> None:
+    """The model with a one-row table of its feature order, defaults, metrics and parameters, so that nobody keeps a second copy of them."""
     model.write().overwrite().save(f"{path}/model")
-    spark.createDataFrame([(version, names, defaults, metrics)], "version string, feature_names array<string>, feature_defaults map<string,double>, metrics map<string,double>").write.mode("overwrite").parquet(f"{path}/metadata")
+    kind = "version string, feature_names array<string>, feature_defaults map<string,double>, metrics map<string,double>, params map<string,string>"
+    spark.createDataFrame([(version, names, defaults, metrics, params or {})], kind).write.mode("overwrite").parquet(f"{path}/metadata")
 
 
 def load_model(spark: SparkSession, path: str):

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -48,33 +48,28 @@ def detect(windows: DataFrame, min_sessions: int = MIN_SESSIONS, z_warning: floa
     """The detector over a table: a fold over each location's windows in order.
 
     The baseline is updated with every window, in cooldown too; z uses the mean and variance before the update.
-    One location's windows are one row while it is folded: a day has 5760, so long histories are folded by stretch of time.
+    Windows stream through a task in order, batch by batch; only a location's four numbers are held, however long its history is.
     """
-    w = F.struct("window_end", "rebuffer_ratio", "sessions", "error_events", "p95_startup_ms", "region_code")
-    per = windows.groupBy("pop").agg(F.sort_array(F.collect_list(w)).alias("ws"))
-    alert = "struct<detected_at:timestamp,ratio:double,mean:double,z:double,sessions:bigint,p95:int,errors:bigint,region_code:string>"
-    start = F.struct(F.lit(None).cast("double").alias("mean"), F.lit(0.0).alias("var"), F.lit(0).alias("n"), F.lit(None).cast("timestamp").alias("quiet"), F.array().cast(f"array<{alert}>").alias("alerts"))
-
-    def step(a: Column, x: Column) -> Column:
-        ratio, first = x["rebuffer_ratio"], a["mean"].isNull()
-        delta = ratio - a["mean"]
-        z = delta / F.sqrt(F.greatest(a["var"], F.lit(1e-9)))
-        fires = ~first & (a["n"] >= WARM_UP) & (a["quiet"].isNull() | (x["window_end"] >= a["quiet"])) & (z >= z_warning) & (ratio >= min_ratio) & (x["sessions"] >= min_sessions)
-        fires = F.coalesce(fires, F.lit(False))
-        row = F.struct(x["window_end"].alias("detected_at"), ratio.alias("ratio"), a["mean"].alias("mean"), z.alias("z"), x["sessions"].alias("sessions"), x["p95_startup_ms"].alias("p95"), x["error_events"].alias("errors"), x["region_code"].alias("region_code"))
-        return F.struct(
-            F.when(first, ratio).otherwise(a["mean"] + ALPHA * delta).alias("mean"),
-            F.when(first, F.lit(0.0)).otherwise((1 - ALPHA) * (a["var"] + ALPHA * delta * delta)).alias("var"),
-            (a["n"] + 1).alias("n"),
-            F.when(fires, F.timestamp_add("SECOND", F.lit(COOLDOWN_SECONDS), x["window_end"])).otherwise(a["quiet"]).alias("quiet"),
-            F.when(fires, F.array_append(a["alerts"], row)).otherwise(a["alerts"]).alias("alerts"),
-        )
-
-    found = per.select("pop", F.explode(F.aggregate("ws", start, step)["alerts"]).alias("x"))
+    names = ["pop", "window_end", "rebuffer_ratio", "sessions", "error_events", "p95_startup_ms", "region_code"]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pop, b = None, Baseline()
+        for rows in batches:
+            out = []
+            for r in rows.itertuples(index=False):
+                if r.pop != pop:
+                    pop, b = r.pop, Baseline()
+                if got := b.see(int(r.window_end.value // 1000), r.rebuffer_ratio, r.sessions, min_sessions, z_warning, min_ratio):
+                    out.append((*r, *got))
+            yield pd.DataFrame(out, columns=[*names, "mean", "z"])
+
+    kinds = "pop string, window_end timestamp, rebuffer_ratio double, sessions bigint, error_events bigint, p95_startup_ms int, region_code string"
+    rows = windows.select(*[c(n) for n in names]).repartition("pop").sortWithinPartitions("pop", "window_end")
+    found = rows.mapInPandas(fold, f"{kinds}, mean double, z double")
     return found.select(
-        F.lit("qoe_regression").alias("alert_type"), F.when(c("x.z") >= Z_CRITICAL, "critical").otherwise("warning").alias("severity"), c("pop").alias("cdn_pop"), c("x.region_code").alias("region_code"),
-        c("x.detected_at").alias("detected_at"), F.bround("x.ratio", 4).alias("rebuffer_ratio"), F.bround("x.mean", 4).alias("baseline_ratio"), F.bround("x.z", 2).alias("z_score"),
-        c("x.sessions").alias("sessions_affected"), c("x.p95").alias("p95_startup_ms"), F.bround(c("x.errors") / F.greatest(c("x.sessions"), F.lit(1)), 4).alias("error_rate"), F.lit("docs/runbook.md#qoe-regression").alias("runbook"),
+        F.lit("qoe_regression").alias("alert_type"), F.when(c("z") >= Z_CRITICAL, "critical").otherwise("warning").alias("severity"), c("pop").alias("cdn_pop"), "region_code",
+        c("window_end").alias("detected_at"), F.bround("rebuffer_ratio", 4).alias("rebuffer_ratio"), F.bround("mean", 4).alias("baseline_ratio"), F.bround("z", 2).alias("z_score"),
+        c("sessions").alias("sessions_affected"), "p95_startup_ms", F.bround(c("error_events") / F.greatest(c("sessions"), F.lit(1)), 4).alias("error_rate"), F.lit("docs/runbook.md#qoe-regression").alias("runbook"),
     )
 
 

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from kinolytics.sources.io import VersionedTable, as_messages, online_rows
+from kinolytics.sources.io import KeyedTable, as_messages, online_rows
 
 c = F.col
 
 
-def online_sink(features: DataFrame, table: VersionedTable, checkpoint: str, key: Column, updated: str = "updated_ts", ttl_hours: float = 24, audit: str | None = None, once: bool = False) -> StreamingQuery:
-    """Batched upsert by key; the last update wins, so a batch that is run again changes nothing.
+def online_sink(features: DataFrame, table: KeyedTable, checkpoint: str, key: Column, updated: str = "updated_ts", ttl_hours: float = 24, audit: str | None = None, once: bool = False) -> StreamingQuery:
+    """Batched upsert by key; the row of the highest ``updated_ts`` stays, so a batch that is run again, or late, changes nothing.
 
     A batch that fails is dropped and counted (``errors`` on the query's sink), because a missing key falls back to
     offline features while a stalled stream does not.  ``audit``: a table that keeps what was served, for parity checks.
@@ -23,7 +23,7 @@ def online_sink(features: DataFrame, table: VersionedTable, checkpoint: str, key
         rows = online_rows(batch, key, updated, ttl_hours).persist()
         n = rows.count()
         try:
-            table.upsert(rows, ["key"])
+            table.upsert(rows, ["key"], "updated_ts")
             counts["written"] += n
             if audit:
                 audited(batch, updated).write.mode("append").parquet(audit)

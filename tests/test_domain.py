@@ -223,11 +223,17 @@ def test_upsert_follows_a_key_to_its_new_partition(spark, tmp_path):
     IO.clustered(spark.createDataFrame([(1, "a", "d1"), (2, "a", "d1"), (3, "a", "d2"), (4, "a", "d3")], kind), path, "d", "k")
     IO.upsert_partitions(spark, path, spark.createDataFrame([(3, "b", "d1"), (2, "b", "d1"), (5, "b", "d4")], kind), ["k"], "d")
     assert rows(spark.read.parquet(path), "k", "x", "d") == [(1, "a", "d1"), (2, "b", "d1"), (3, "b", "d1"), (4, "a", "d3"), (5, "b", "d4")]
-    table = IO.VersionedTable(spark, f"file://{tmp_path}/v")
+    table = IO.KeyedTable(spark, f"file://{tmp_path}/v", 4)
     assert table.read() is None
-    table.upsert(spark.createDataFrame([(1, "a", "d")], kind), ["k"])
+    table.upsert(spark.createDataFrame([(1, "a", "d"), (9, "z", "a")], kind), ["k"])
     table.upsert(spark.createDataFrame([(1, "b", "e"), (2, "c", "e")], kind), ["k"])
-    assert rows(table.read(), "k", "x", "d") == [(1, "b", "e"), (2, "c", "e")]
+    assert rows(table.read(), "k", "x", "d") == [(1, "b", "e"), (2, "c", "e"), (9, "z", "a")]
+    table.upsert(spark.createDataFrame([(1, "old", "c"), (2, "new", "f")], kind), ["k"], "d")  # the higher d stays
+    table.upsert(spark.createDataFrame([], kind), ["k"], "d")
+    assert rows(table.read(), "k", "x", "d") == [(1, "b", "e"), (2, "new", "f"), (9, "z", "a")]
+    import os
+
+    assert len(os.listdir(tmp_path / "v" / "current")) == 2
 
 
 def test_served_features_and_bounded_list(spark):
