@@ -216,7 +216,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     found = texts.join(F.broadcast(known), "id").select("id", "label", F.xxhash64("text").alias("digest"), "text").mapInArrow(work, f"id {kind}, label int, digest long, slots array<int>")
     got = found.groupBy("id", "label").agg(F.min_by("slots", "digest").alias("slots")).toArrow().sort_by([("id", "ascending"), ("label", "ascending")])
     y = np.array([int(v > 0) for v in got.column("label").to_pylist()], dtype=np.float64)
-    rows = [np.array(r, dtype=np.int32) for r in got.column("slots").to_pylist()]
+    held = got.column("slots").combine_chunks()
+    rows = np.split(held.flatten().to_numpy(), held.offsets.to_numpy()[1:-1] - held.offsets[0].as_py()) if len(held) else []
     group = toxic_groups(rows, y > 0)
     groups = int(group.max(initial=-1)) + 1
     return fit_chain(rows, np.stack([*(group == k for k in range(groups)), y], axis=1).astype(np.float64), [*(f"toxic_{k}" for k in range(groups)), "toxic"])
