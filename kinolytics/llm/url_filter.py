@@ -108,7 +108,8 @@ def url_verdicts(urls: DataFrame, rules: list[tuple[str, str]] | DataFrame, id_c
     rule.  A rule fits its host and subdomains if the path starts with the
     rule's; the longest rule wins (equal lengths: the longer host).  Without a
     rule: null and ``allow``.  Null urls and urls without ``://`` have an empty
-    host and path and are allowed.  Repeated rows stay; other columns are not read.
+    host and path and are allowed.  Lengths are those of UTF-8 bytes.  A verdict other than allow or block, or a rule without ``/``,
+    is an error; of equal rules, block holds.  Repeated rows, null ids and urls of any length stay, an empty table gives no rows; other columns are not read.
     Rules up to ``MOST_BYTES`` go to the machines as mapped files; a larger
     table of rules is joined by digest instead, with the same result.
     """
@@ -175,7 +176,10 @@ def joined_verdicts(urls: DataFrame, rules: DataFrame, id_col: str = "page_id",
     host = F.translate(F.coalesce(F.regexp_extract(rest, r"^([^/?#]*)", 1), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     path = F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
     rows = urls.select(spark_id.alias("id"), host.alias("host"), path.alias("path"))
-    rules = rules.filter(F.instr("rule", "/") > 0).groupBy("rule").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
+    fine = F.coalesce((F.instr("rule", "/") > 0) & F.col("verdict").isin(ALLOW, BLOCK), F.lit(False))
+    if (bad := rules.filter(~fine).first()) is not None:
+        raise ValueError(f"not a rule: {bad['verdict']} {bad['rule']}")
+    rules = rules.groupBy("rule").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
     lengths = [r[0] for r in rules.select((F.length("rule") - F.instr("rule", "/") + 1).alias("n")).distinct().collect()]  # path lengths: a few dozen
     labels = F.split("host", "[.]")
     keys = (
@@ -183,9 +187,9 @@ def joined_verdicts(urls: DataFrame, rules: DataFrame, id_col: str = "page_id",
         .withColumn("h", F.array_join(F.slice(labels, F.col("k"), F.size(labels)), "."))
         .withColumn("n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")))
         .filter(F.col("n") <= F.length("path"))
-        .select("host", "path", F.concat("h", F.expr("substring(path, 1, n)")).alias("key"), F.length("h").alias("h"))
+        .select("host", "path", F.concat("h", F.expr("substring(path, 1, n)")).alias("key"), F.octet_length("h").alias("h"))
         .withColumn("digest", F.xxhash64("key"))
     )
     hits = keys.join(rules.withColumn("digest", F.xxhash64("rule")), "digest").filter("key = rule")
-    best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "h")).alias("best"))
+    best = hits.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.octet_length("rule"), "h")).alias("best"))
     return rows.join(best, ["host", "path"], "left").select(F.col("id").alias(id_col), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(ALLOW)).alias("verdict"))
