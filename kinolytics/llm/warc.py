@@ -4,8 +4,9 @@ Writing: each task packs its pages into one archive in which every record is a
 gzip member of its own, and returns a manifest row for each record.  An archive that
 a lost or repeated task has left is in no manifest and is never read.
 Index: entries sorted by the reversed host of the URL are cut into compressed
-blocks; a sparse directory keeps the first key and the place of each block.
-Reading: binary search in the directory, one range read for the block, one for each record.
+blocks; a sparse directory keeps the first and last key and the place of each block.
+Reading: URL keys are sorted and dealt to tasks by range; a task reads the directory's rows of its range,
+finds each key's blocks by binary search, and blocks and records are then read by range.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
+from pyarrow import dataset, fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +29,6 @@ from kinolytics.llm.common import shared_dir, slices, small_batches, stored, utf
 #: Payloads shorter than this are always written out.
 LEAST_REVISIT = 100
 BLOCK_ENTRIES = 1000
-#: Directory rows that one process holds for searching (about one for a thousand captures).
-MOST_BLOCKS = 4_000_000
 DATE = "2024-01-01T00:00:00Z"  # the tables have no capture time
 
 
@@ -44,29 +43,37 @@ def url_key(url: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, "[.]")), ","), F.lit(")"), F.regexp_extract(rest, "^[^/?#]*(.*)$", 1))
 
 
+def record_id(page: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {digest}')}>"
+
+
 def record(page: int | None, url: str | None, kind: str, digest: str, size: int, payload: bytes, refers: int | None) -> bytes:
+    """One gzip member: a response holds an HTTP message, a revisit its header alone and the response's record id."""
+    http = "\r\n".join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {size}", "", ""]).encode()
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {url}')}>",
+        f"WARC-Record-ID: {record_id(page, digest)}",
         f"WARC-Date: {DATE}",
         "WARC-Target-URI: " + (url or "").translate({13: "%0D", 10: "%0A"}),
         f"WARC-Payload-Digest: sha256:{digest}",
-        "Content-Type: text/html; charset=utf-8",
+        "Content-Type: application/http; msgtype=response",
         f"X-Page-Id: {'' if page is None else page}",
         f"X-Payload-Length: {size}",
     ]
     if refers is not None:
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page-Id: {refers}"]
-    head = "\r\n".join([*lines, f"Content-Length: {len(payload)}", "", ""]).encode()
-    return gzip.compress(head + payload + b"\r\n\r\n", compresslevel=1, mtime=0)
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers, digest)}", f"X-Refers-To-Page-Id: {refers}"]
+    block = http + payload
+    head = "\r\n".join([*lines, f"Content-Length: {len(block)}", "", ""]).encode()
+    return gzip.compress(head + block + b"\r\n\r\n", compresslevel=1, mtime=0)
 
 
 def parsed(member: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields and payload of a record."""
     data = zlib.decompress(member, wbits=31)
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
-    return fields, rest[: int(fields["Content-Length"])]
+    return fields, rest[: int(fields["Content-Length"])].partition(b"\r\n\r\n")[2]
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -74,7 +81,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     Of rows with equal payloads of ``LEAST_REVISIT`` bytes or more, the one with the
     smallest id is a response and the others revisit it; all others are
-    responses.  Null html is an empty payload.  Repeated rows with one id are all responses if theirs is the smallest.
+    responses.  Null html is an empty payload.  Repeated rows with one id are all responses if theirs is the smallest (copies of one record, with one record id).
     """
     spark = pages.sparkSession
     small_batches(spark)
@@ -151,31 +158,37 @@ def build_index(manifest: DataFrame, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/directory")
 
 
-class CaptureIndex:
-    """Look-ups of single URLs: the sparse directory is held, blocks and records are read by range."""
-
-    def __init__(self, spark: SparkSession, folder: str):
-        directory = spark.read.parquet(f"{folder}/directory")
-        if directory.count() > MOST_BLOCKS:
-            raise ValueError("too many blocks for one process: join on the key instead (read_all)")
-        table = directory.toArrow().sort_by([("first", "ascending"), ("last", "ascending"), ("file", "ascending"), ("offset", "ascending")])
-        self.first, self.last = table.column("first").to_pylist(), table.column("last").to_pylist()
-        self.place = list(zip(*(table.column(n).to_pylist() for n in ("file", "offset", "length")), strict=True))
-        self.folder = folder
-
-    def captures(self, key: str) -> list[tuple[dict[str, str], bytes]]:
-        """All records under a key, as (header fields, payload)."""
-        system, top = opened(self.folder)
-        out = []
-        at = bisect.bisect_left(self.last, key)
-        while at < len(self.first) and self.first[at] <= key:
-            file, offset, length = self.place[at]
-            for entry in block_entries(system, f"{top}/index/{file}", offset, length):
-                if entry[0] == key:
-                    with system.open_input_file(f"{top}/archives/{entry[2]}") as f:
-                        out.append(parsed(f.read_at(entry[4], entry[3])))
+def directory_rows(folder: str, low: str, high: str) -> list[tuple[str, str, str, int, int]]:
+    """(first, last, file, offset, length) of the blocks that may hold keys from ``low`` to ``high``, in order; other parts of the directory are skipped by their statistics."""
+    system, top = opened(folder)
+    held = dataset.dataset(f"{top}/directory", filesystem=system, format="parquet")
+    found = held.to_table(columns=["first", "last", "file", "offset", "length"], filter=(dataset.field("last") >= low) & (dataset.field("first") <= high))
+    found = found.sort_by([("first", "ascending"), ("last", "ascending"), ("file", "ascending"), ("offset", "ascending")])
+    return list(zip(*(found.column(n).to_pylist() for n in ("first", "last", "file", "offset", "length")), strict=True))
+
+
+def blocks_of(keys: list[str], blocks: list[tuple[str, str, str, int, int]]) -> list[tuple[str, int, int, list[str]]]:
+    """(file, offset, length, keys) of each block where some of the sorted ``keys`` may lie, by binary search in the sorted directory rows."""
+    last = [b[1] for b in blocks]
+    wanted: dict[int, list[str]] = {}
+    for key in keys:
+        at = bisect.bisect_left(last, key)
+        while at < len(blocks) and blocks[at][0] <= key:
+            wanted.setdefault(at, []).append(key)
             at += 1
-        return out
+    return [(*blocks[at][2:], found) for at, found in wanted.items()]
+
+
+def captures(folder: str, key: str) -> list[tuple[dict[str, str], bytes]]:
+    """All records under one key, as (header fields, payload), read by one process."""
+    system, top = opened(folder)
+    out = []
+    for file, offset, length, _ in blocks_of([key], directory_rows(folder, key, key)):
+        for entry in block_entries(system, f"{top}/index/{file}", offset, length):
+            if entry[0] == key:
+                with system.open_input_file(f"{top}/archives/{entry[2]}") as f:
+                    out.append(parsed(f.read_at(entry[4], entry[3])))
+    return out
 
 
 def block_entries(system: fs.FileSystem, path: str, offset: int, length: int) -> list[list]:
@@ -183,20 +196,33 @@ def block_entries(system: fs.FileSystem, path: str, offset: int, length: int) ->
         return [json.loads(x) for x in zlib.decompress(f.read_at(length, offset), wbits=31).decode().split("\n")]
 
 
-def read_all(spark: SparkSession, folder: str, page_type: str = "bigint") -> DataFrame:
-    """(page, uri, record_type, payload_digest, payload_bytes, refers_to, payload) of every capture in the index, read back from the archives.
+def looked_up(keys: DataFrame, folder: str, page_type: str = "bigint") -> DataFrame:
+    """(page, uri, record_type, payload_digest, payload_bytes, refers_to, payload) of every capture under the table's ``key`` values, read back from the archives.
 
-    Directory rows are dealt to tasks, which read blocks by range; entries then go
+    Keys are sorted and dealt to tasks by range, where a binary search in the directory finds their blocks.  Blocks
+    are dealt anew, so that the many blocks of one key are read by many tasks; entries then go
     to the archives' tasks in the order of their offsets, so that ranges are read
     forwards.  The digest and length of a response are computed from its payload;
-    a revisit has those of its header, and no payload (null).
+    a revisit has those of its header, and no payload (null).  Keys without captures, null keys and repeated ones give nothing more.
     """
+    spark = keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column(0).to_pylist()
+            if not own:
+                continue
+            found = blocks_of(own, directory_rows(folder, own[0], own[-1]))
+            columns = zip(*found, strict=True) if found else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())), strict=True)], names=["file", "offset", "length", "keys"])
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, top = opened(folder)
         for b in batches:
-            for file, offset, length in zip(*(b.column(n).to_pylist() for n in ("file", "offset", "length")), strict=True):
-                rows = block_entries(system, f"{top}/index/{file}", offset, length)
+            for file, offset, length, wanted in zip(*(b.column(n).to_pylist() for n in ("file", "offset", "length", "keys")), strict=True):
+                wanted = set(wanted)
+                rows = [r for r in block_entries(system, f"{top}/index/{file}", offset, length) if r[0] in wanted]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in ((2, pa.string()), (3, pa.int64()), (4, pa.int64()))], names=["file", "offset", "length"])
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,16 +258,24 @@ def read_all(spark: SparkSession, folder: str, page_type: str = "bigint") -> Dat
         kinds = (page, pa.string(), pa.string(), pa.string(), pa.int64(), page, pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["page", "uri", "record_type", "payload_digest", "payload_bytes", "refers_to", "payload"])
 
-    directory = spark.read.parquet(f"{folder}/directory").select("file", "offset", "length")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = directory.repartition(parts).mapInArrow(entries, "file string, offset long, length long")
+    sorted_keys = keys.select("key").dropna().distinct().repartitionByRange(parts, "key").sortWithinPartitions("key")
+    blocks = sorted_keys.mapInArrow(search, "file string, offset long, length long, keys array<string>")
+    found = blocks.repartition(parts, "file", "offset").mapInArrow(entries, "file string, offset long, length long")
     # an archive's records may go to several tasks, by stretches of 64 MB
     found = found.repartition(parts, "file", F.floor(F.col("offset") / (64 << 20))).sortWithinPartitions("file", "offset")
     return found.mapInArrow(records, f"page {page_type}, uri string, record_type string, payload_digest string, payload_bytes long, refers_to {page_type}, payload binary")
 
 
+def read_all(spark: SparkSession, folder: str, page_type: str = "bigint") -> DataFrame:
+    """``looked_up`` for every key of the manifest."""
+    return looked_up(spark.read.parquet(f"{folder}/manifest").select("key"), folder, page_type)
+
+
 def archived(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write the rows as archives with an index into the shared folder, and read all of them back (``read_all``)."""
+    """Write the rows as archives with an index into the shared folder, and look all their URLs up again (``looked_up``): each row comes back once.
+
+    An empty table gives no rows; repeated rows come back as often as they are; null ids stay null; other columns are not read.
+    """
     folder = shared_dir(pages.sparkSession)
     build_index(write_archives(pages, folder, id_col, url_col, html_col), folder)
-    return read_all(pages.sparkSession, folder, pages.schema[id_col].dataType.simpleString())
+    return looked_up(pages.select(url_key(F.col(url_col)).alias("key")), folder, pages.schema[id_col].dataType.simpleString())
