@@ -95,19 +95,21 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(rows)
 
 
-def local_components(linked: np.ndarray) -> np.ndarray:
-    """For a symmetric boolean matrix, the smallest index in the component of each row."""
-    n = len(linked)
+def local_heads(links: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """The smallest of ``n`` nodes in each node's component, for arrays of links a[k] - b[k]."""
     label = np.arange(n)
-    a, b = np.nonzero(linked)
-    while len(a):
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, label, low.copy())  # a component's head learns what its members have learnt
-        low = np.minimum(low, low[low])
-        if (low == label).all():
-            break
-        label = low
+    for a, b in links:
+        a, b = label[a], label[b]
+        while len(a):
+            low = label.copy()
+            np.minimum.at(low, a, label[b])
+            np.minimum.at(low, b, label[a])
+            np.minimum.at(low, label, low.copy())  # a component's head learns what its members have learnt
+            low = np.minimum(low, low[low])
+            if (low == label).all():
+                break
+            label = low
+        label = label[label]
     return label
 
 
@@ -140,3 +142,14 @@ def connected_components(spark: SparkSession, nodes: DataFrame, edges: DataFrame
         if not changed:
             break
     return nodes.join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
+
+
+def smallest_ids(classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, head) for classes (key, id) of distinct keys: the smallest id of all classes that edges (src, dst) between keys lead to.  Ids may repeat."""
+    spark = classes.sparkSession
+    edges = stored(edges)
+    members = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    component = stored(connected_components(spark, members, edges).select(F.col("id").alias(key), "component"))
+    smallest = component.join(classes.select(key, "id"), key)
+    smallest = smallest.join(smallest.groupBy("component").agg(F.min("id").alias("head")), "component").select(key, "head")
+    return stored(classes.select(key, "id").join(smallest, key, "left").select(key, F.coalesce("head", "id").alias("head")))

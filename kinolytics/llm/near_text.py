@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, slices, small_batches, stored, utf8
+from kinolytics.llm.common import connected_components, slices, small_batches, smallest_ids, stored, utf8
 from kinolytics.llm.simhash import SEED, linked_prints
 
 #: Counters of how often shingles occur, by their digests' low bits: one for so many bytes of text, within these bounds (one byte each when broadcast).
@@ -246,7 +246,6 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_
     Rows with a null id get component_id null and take no part; repeated rows stay; an empty table gives no rows.  Ids
     are integers; other columns are not read, whatever their names.
     """
-    spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
     counters = min(MOST_COUNTERS, max(FEWEST_COUNTERS, 1 << (size // BYTES_FOR_A_COUNTER).bit_length()))
     rows = stored(described(docs, width, counters, id_col, text_col))
@@ -255,11 +254,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_
     classes = stored(facts.filter("id is not null").groupBy("digest").agg(F.min("id").alias("id"), *shape))
     keyed = stored(rare_shingles(docs, width, shingle_ranks(rows, counters), similarity, id_col, text_col))
     edges = linked_sets(docs, classes, keyed, width, similarity, id_col, text_col)
-    members = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    component = stored(connected_components(spark, members, edges).select(F.col("id").alias("digest"), "component"))
-    smallest = component.join(classes.select("digest", "id"), "digest")
-    smallest = smallest.join(smallest.groupBy("component").agg(F.min("id").alias("head")), "component").select("digest", "head")
-    named = stored(classes.select("digest", "id").join(smallest, "digest", "left").select("digest", F.coalesce("head", "id").alias("head")))
+    named = smallest_ids(classes, edges, "digest")
     out = facts.select("id", "digest").join(named, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("head")).alias("component_id"))
 

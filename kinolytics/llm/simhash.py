@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, small_batches, stored, utf8
+from kinolytics.llm.common import local_heads, small_batches, smallest_ids, stored, utf8
 
 SEED = 42
 #: First bit and length of each segment of a fingerprint.
@@ -147,21 +147,6 @@ def _numbered(batches: list[pa.RecordBatch], keys: list[str]) -> tuple[pa.Table,
     return table, np.cumsum(new)
 
 
-def nearest_heads(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest of ``n`` nodes in each node's component, for links a[k] - b[k]."""
-    label = np.arange(n)
-    while len(a):
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, b, label[a])
-        np.minimum.at(low, label, low.copy())  # a component's head learns what its members have learnt
-        low = np.minimum(low, low[low])
-        if (low == label).all():
-            break
-        label = low
-    return label
-
-
 def linked_prints(prints: DataFrame, most_bits: int) -> DataFrame:
     """Edges (src, dst) between distinct fingerprints (id, f0) that connect what links of at most ``most_bits`` differing bits connect.
 
@@ -202,7 +187,7 @@ def linked_prints(prints: DataFrame, most_bits: int) -> DataFrame:
                 meet = at[(probes[at] != probes[at + apart]) & (label[node[at]] != label[node[at + apart]])]
                 meet = meet[np.bitwise_count(f[meet] ^ f[meet + apart]) <= most_bits]
                 if len(meet):
-                    label = nearest_heads(label[node[meet]], label[node[meet + apart]], len(ids))[label]
+                    label = local_heads([(label[node[meet]], label[node[meet + apart]])], len(ids))[label]
                 apart += 1
             away = np.flatnonzero(label != np.arange(len(ids)))
             if len(away):
@@ -228,7 +213,6 @@ def simhash_groups(docs: DataFrame, width: int = 3, most_bits: int = 3, id_col:
     """
     prints = stored(fingerprints(docs, width, id_col, text_col))
     classes = stored(prints.filter("id is not null").groupBy("f0").agg(F.min("id").alias("id")))
-    components = connected_components(docs.sparkSession, classes.select("id"), linked_prints(classes, most_bits))
-    named = stored(classes.join(components, "id").select("f0", "component"))
-    out = prints.join(named, "f0", "left")
+    named = smallest_ids(classes, linked_prints(classes.select(F.col("f0").alias("id"), "f0"), most_bits), "f0")
+    out = prints.join(named.withColumnRenamed("head", "component"), "f0", "left")
     return out.select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("f0")), 16, "0").alias("fingerprint"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
