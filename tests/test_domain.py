@@ -268,6 +268,25 @@ def test_stream_sessions_split_by_silence_in_one_batch_and_across(spark, tmp_pat
     assert max(r["completion_ratio"] for r in first) == pytest.approx(0.5) and first[0]["sessions_last_7d"] == 1
 
 
+def test_stream_keeps_nothing_of_profiles_that_stay_away(spark, tmp_path):
+    """The last bucket leaves after seven days: state rows fall back to the profile that is still active."""
+    base = T(2024, 1, 1)
+    at = lambda day: base + dt.timedelta(days=day)
+    batches = [[(f"p{p}-{d}", f"s{p}-{d}", "HEARTBEAT", at(d), at(d), {"profile_id": p}) for p in (1, 2) for d in (0, 1)], [("p3", "s3", "START", at(12), at(12), {"profile_id": 3})], [("p3b", "s3b", "START", at(12.5), at(12.5), {"profile_id": 3})]]
+    for k, b in enumerate(batches):
+        raw_events(spark, b).coalesce(1).write.parquet(f"{tmp_path}/in/part={k}")
+    titles = spark.createDataFrame([(1, 5400, "drama")], "title_id bigint, runtime_seconds int, primary_genre string")
+    stream = spark.readStream.schema(S.PLAYBACK_EVENTS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    got: list = []
+    q = SS.session_features(stream, titles).writeStream.outputMode("update").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).foreachBatch(lambda d, n: got.extend(d.collect())).start()
+    q.awaitTermination()
+    kept = spark.read.format("statestore").option("stateVarName", "profile_v2").option("operatorId", 0).load(f"file://{tmp_path}/c").select("key.profile_id").collect()
+    assert {r["profile_id"] for r in kept} == {3}
+    assert len([r for r in got if r["final"] and r["profile_id"] in (1, 2)]) == 4
+    first = [r for r in got if r["session_id"] == "s1-1" and not r["final"]][0]
+    assert (first["sessions_last_7d"], first["distinct_titles_last_7d"], first["genre_affinity"]) == (2, 1, '{"drama": 1.0}')
+
+
 def test_stream_detector_equals_the_fold(spark, tmp_path):
     base = T(2024, 1, 1)
     w = spark.createDataFrame([("p", "EU", base + dt.timedelta(seconds=15 * k), 30, 0, 0.0, 100.0, 1, 7, 0.01 if k % 60 < 40 else 0.4) for k in range(150)], S.TABLES["qoe_windows"])
