@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors see")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
