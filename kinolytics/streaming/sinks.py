@@ -20,6 +20,7 @@ def online_sink(features: DataFrame, table: KeyedTable, checkpoint: str, key: Co
     counts = {"written": 0, "errors": 0}
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read twice, computed once
         rows = online_rows(batch, key, updated, ttl_hours).persist()
         n = rows.count()
         try:
@@ -31,6 +32,7 @@ def online_sink(features: DataFrame, table: KeyedTable, checkpoint: str, key: Co
             counts["errors"] += n
         finally:
             rows.unpersist()
+            batch.unpersist()
 
     writer = features.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     query = (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
