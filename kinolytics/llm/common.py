@@ -118,27 +118,25 @@ def local_heads(links: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarra
 def connected_components(spark: SparkSession, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id that edges (src, dst) lead to, over all ``nodes`` (id).
 
-    Each round lets every node take the smallest label among its neighbours'
-    and then the label of that label's node (pointer jumping), so that rounds
-    grow with the logarithm of a component's length.  Rounds are minimum
-    aggregations and joins; nothing is gathered by component, and each result
-    is written to the shared folder.  Nodes without an edge are their own
+    Each round lets every node take the smallest label among its neighbours',
+    tells a label's node what its members have found, and goes on to the label of the label's
+    node (pointer jumping), so that rounds grow with the logarithm of a component's
+    length.  A round is one plan of minimum aggregations and joins, whose
+    result is written to the shared folder; nothing is gathered by component.  Nodes without an edge are their own
     component and take no part in the rounds.
     """
-    both = stored(
-        edges.filter("src != dst").select("src", "dst").union(edges.filter("src != dst").select("dst", "src")).distinct(), spark
-    )
+    linked = edges.filter("src != dst")
+    both = stored(linked.select("src", "dst").union(linked.select("dst", "src")).distinct(), spark)
     label = stored(both.groupBy(F.col("src").alias("id")).agg(F.least(F.min("dst"), F.col("id")).alias("label")), spark)
     while True:
-        # heads(label of dst) reach src; and a label that is itself a node with a smaller label is replaced by it
         seen = both.join(label.select(F.col("id").alias("dst"), "label"), "dst").groupBy(F.col("src").alias("id")).agg(F.min("label").alias("near"))
         step = label.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        # what members of a head have found is told to the head
+        # what members of a label's node have found is told to that node
         told = step.filter("label < old").groupBy(F.col("old").alias("id")).agg(F.min("label").alias("told"))
         step = step.join(told, "id", "left").select("id", "old", F.least("label", F.coalesce("told", "label")).alias("label"))
-        step = stored(step, spark)
-        jump = step.select(F.col("id").alias("label"), F.col("label").alias("far"))
-        new = stored(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")), spark)
+        # a label whose node had a smaller label before this round is replaced by it
+        far = label.filter("label < id").select(F.col("id").alias("label"), F.col("label").alias("far"))
+        new = stored(step.join(far, "label", "left").select("id", "old", F.least("label", F.coalesce("far", "label")).alias("label")), spark)
         changed = new.filter("label != old").limit(1).count()
         label = new.select("id", "label")
         if not changed:

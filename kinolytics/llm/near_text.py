@@ -31,7 +31,7 @@ BYTES_FOR_A_COUNTER = 256
 FEWEST_COUNTERS, MOST_COUNTERS = 1 << 16, 1 << 24
 #: Rows of one key that one task counts; keys of more frequent shingles are dealt to several.
 HOT = 1 << 16
-#: Pairs to compare, as a multiple of the rows they come from, up to which all are compared at once.
+#: Pairs to compare, as a multiple of the sets they come from, up to which all are compared at once.
 FEW = 8
 #: Similarities are quotients of whole numbers; this is less than what two that differ can be apart.
 TINY = 1e-9
@@ -208,8 +208,8 @@ def linked_sets(docs: DataFrame, classes: DataFrame, keyed: DataFrame, width: in
     """Edges (src, dst) between set digests that connect what pairs of at least that Jaccard similarity connect; each edge is such a pair.
 
     The Golay code's candidates are verified first.  Then pairs that share a rare shingle and are not yet connected are
-    compared.  While these are many, each key's sets are compared with one of them only, so that a large group of near
-    copies is connected before its pairs are written out.
+    compared.  While these are many, each set is compared with one other only, of those that stand for its keys the one
+    of most common keys, so that a large group of near copies is connected before its pairs are written out.
     """
     spark = docs.sparkSession
 
@@ -219,20 +219,24 @@ def linked_sets(docs: DataFrame, classes: DataFrame, keyed: DataFrame, width: in
     edges = verified(golay_pairs(classes, similarity))
     ids = stored(keyed.select(F.col("digest").alias("id")).distinct())
     facts = classes.select("digest", "n", *PARITIES)
-    last = float("inf")
+    last, stalled, k = float("inf"), 0, 0
     while True:
         label = stored(connected_components(spark, ids, edges).select(F.col("id").alias("digest"), "component"))
         rows = keyed.join(label, "digest")
         groups = rows.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("within"))
         groups = stored(groups.filter("rows * rows > within"))
-        left, n = groups.agg(F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
-        if not n:
+        left = groups.agg(F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0))).first()[0]
+        if not left:
             return edges
-        every = left <= FEW * n or left > last / 2
-        last = left
         rows = stored(rows.join(groups.select("key"), "key", "left_semi").join(facts, "digest"))
-        mate = rows if every else rows.groupBy("key").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "key"]), F.xxhash64("digest", F.lit(left))).alias("m")).select("key", "m.*")
+        stalled = stalled + 1 if left > last / 2 else 0
+        every = left <= FEW * rows.select("digest").distinct().count() or stalled > 2
+        last, k = left, k + 1
+        mate = rows if every else rows.groupBy("key").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "key"]), F.xxhash64("digest", F.lit(k))).alias("m")).select("key", "m.*")
         pairs = rows.join(renamed(mate), "key").filter((F.col("component") != F.col("m_component")) & can_link(similarity))
+        if not every:
+            pairs = pairs.groupBy("digest", "m_digest").count()
+            pairs = pairs.groupBy("digest").agg(F.max_by("m_digest", F.struct("count", "m_digest")).alias("m_digest"))
         edges = edges.union(verified(pairs.select(F.least("digest", "m_digest").alias("src"), F.greatest("digest", "m_digest").alias("dst")).distinct()))
         if every:
             return edges
