@@ -27,37 +27,45 @@ URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text, by the stored counts at its prefixes; null texts count as empty."""
     counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "fit_chars")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every url; null urls have empty parts and are allowed."""
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors within their labels, cosine 0.98 or more; unusable vectors link with nothing."""
     return embedding_groups(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every text by shingles of three words, up to three differing bits; texts without words have fingerprint zero."""
     return simhash_groups(table(spark, sf_dir, "documents"), width=3, most_bits=3)
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model scores of every whole text; the model learns from rows that are not held out, null texts are the end token."""
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and benchmark items of every text, by windows of ten words; texts without words have none."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and looked up again by its URL; null html is an empty payload."""
     return archived(table(spark, sf_dir, "pages")).select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text, learnt from labels outside the held-out fold; empty texts are scored too."""
     docs = table(spark, sf_dir, "documents")
     voters = fit_quality(docs, table(spark, sf_dir, "labels"))
     held_out = F.coalesce(~in_training("doc_id"), F.lit(False))
@@ -66,12 +74,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text by the chain, learnt from labels outside the held-out fold; empty texts are scored too."""
     docs = table(spark, sf_dir, "documents")
     chain = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     return toxicity(docs, chain).select("doc_id", F.coalesce(~in_training("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all texts' ids, packed into sequences of 1024; null texts are the end id alone."""
     pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024, end_id=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
