@@ -20,34 +20,35 @@ from kinolytics.llm.toxicity import fit_toxicity, keep_clean
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.  Null texts have no terms and are judged like any other; null ids stay or go by their text; an empty table stays empty."""
     return keep_good(docs, fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")), threshold=0.3)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain finds toxic go."""
+    """Documents that the chain finds toxic go.  Null texts have no words and stay; an empty table stays empty."""
     return keep_clean(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (shingles of five words, similarity 0.8 or more), the document of the smallest id stays."""
+    """Of each group of near copies (shingles of five words, similarity 0.8 or more), the document of the smallest id stays.
+    Texts without words, null ones too, are copies of each other; rows of a null id stay; an empty table stays empty."""
     return keep_first(docs, width=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with benchmark passages go."""
+    """Documents with benchmark passages go.  Null texts have no words and stay, whatever their id; an empty table stays empty."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), remove="documents", width=10)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    """Pieces of token sequences: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.  Null texts are the end id alone; an empty table gives no rows."""
     pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024, end_id=0)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", packing)]
 
-#: The stages learn models and tokenise, which SQL cannot express; tests hold them against brute force.
+#: The stages learn models and tokenise, which SQL cannot express; tests hold each stage against plain code (tests/llm/test_pipeline.py).
 ORACLE_SQL = None
 
 
