@@ -39,9 +39,9 @@ def current_state(log: DataFrame, keys: list[str]) -> DataFrame:
 
 def history(log: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Validity intervals from every change of the log, in the order of log positions: valid_from, valid_to (null: open).
-    A deletion closes the interval before it and opens none.  Intervals of no or negative length (dates against the log's order) are kept as they are."""
+    A deletion closes the interval before it and opens none; ``__lsn`` stays, as the last order between intervals of equal dates.  Intervals of no or negative length (dates against the log's order) are kept as they are."""
     w = Window.partitionBy(key).orderBy("__lsn")
-    rows = log.select(key, *columns, F.col("updated_at").alias("valid_from"), F.lead("updated_at").over(w).alias("valid_to"), "__deleted")
+    rows = log.select(key, *columns, F.col("updated_at").alias("valid_from"), F.lead("updated_at").over(w).alias("valid_to"), "__lsn", "__deleted")
     return rows.filter(F.coalesce("__deleted", F.lit("false")) == "false").drop("__deleted")
 
 

@@ -1,8 +1,10 @@
 """Point-in-time aggregates: what was known before each day, and no later.
 
-The plain form joins every day with the sessions of the days before it.  The
-fast form never multiplies sessions by days where a running frame or a pair of
-interval ends does the same; both give the same rows (tests compare them).
+The plain form joins points (a profile and a day) with the sessions of the days before.  The fast form keeps rows in proportion
+to the sessions: each day of activity enters every window once and leaves each once, running totals of these marks
+give the windows, and between two marks nothing changes.  So features are intervals of days; days are listed only
+where rows for each day are asked for.  Totals that are no whole numbers are decimals, so that what leaves takes away exactly what entered,
+and a table built in steps equals one built at once.
 """
 
 from __future__ import annotations
@@ -12,6 +14,15 @@ from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 
+c = F.col
+EXACT = "decimal(38,12)"
+#: Sums over the sessions of a window, and of the shortest window only.
+TOTALS = {"active": "bigint", "n": "bigint", "seconds": "bigint", "ratio": EXACT, "ratio_n": "bigint", "done": "bigint", "rows": "bigint"}
+SHORT = {"rebuffer": EXACT, "rebuffer_n": "bigint"}
+#: Days of one stretch of popularity's running totals, and the half-life of its weights.
+STRETCH, HALF_LIFE = 120, 14.0
+WEIGHT = "decimal(38,18)"
+
 
 def date_spine(spark_df: DataFrame, start: str, end: str, name: str = "feature_date") -> DataFrame:
     """All days from ``start`` up to, but not including, ``end``."""
@@ -19,109 +30,204 @@ def date_spine(spark_df: DataFrame, start: str, end: str, name: str = "feature_d
     return one.select(F.explode(F.sequence(F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1))).alias(name)).filter(F.lit(start).cast("date") < F.lit(end).cast("date"))
 
 
-def profile_windows_plain(sessions: DataFrame, profiles: DataFrame, start: str, end: str, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
-    """The definition: days x profiles, left joined with the sessions of the ``max(windows)`` days before; one conditional aggregate for each window."""
+def profile_windows_at(sessions: DataFrame, points: DataFrame, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """The definition, at points (profile_id, feature_date): left joined with the sessions of the ``max(windows)`` days before; one conditional aggregate for each window."""
     longest = max(windows)
     s = sessions.filter("is_valid_session").select("profile_id", "session_date", "title_id", "seconds_watched", "completion_ratio", "is_completed", "rebuffer_seconds_per_hour")
-    days = F.broadcast(date_spine(sessions, start, end))
-    base = profiles.select("profile_id").crossJoin(days)
-    on = [base["profile_id"] == s["profile_id"], s["session_date"] < base["feature_date"], s["session_date"] >= F.date_sub(base["feature_date"], longest)]
-    joined = base.join(s, on, "left").select(base["feature_date"], base["profile_id"], *[s[c] for c in s.columns if c != "profile_id"])
+    p = points.select(c("profile_id").alias("_profile"), "feature_date")
+    on = (c("_profile") == c("profile_id")) & (c("session_date") < c("feature_date")) & (c("session_date") >= F.date_sub("feature_date", longest))
+    joined = p.join(s, on, "left").drop("profile_id").withColumnRenamed("_profile", "profile_id")
     aggs: list[Column] = []
     for w in windows:
-        near = F.col("session_date") >= F.date_sub("feature_date", w)
+        near = c("session_date") >= F.date_sub("feature_date", w)
         aggs += [
-            F.count_distinct(F.when(near, F.col("session_date"))).alias(f"active_days_{w}d"),
-            F.count(F.when(near, F.col("title_id"))).alias(f"sessions_{w}d"),
-            F.count_distinct(F.when(near, F.col("title_id"))).alias(f"distinct_titles_{w}d"),
-            F.coalesce(F.sum(F.when(near, F.col("seconds_watched"))), F.lit(0)).alias(f"seconds_watched_{w}d"),
-            F.coalesce(F.avg(F.when(near, F.col("completion_ratio"))), F.lit(0.0)).alias(f"avg_completion_{w}d"),
-            F.coalesce(F.avg(F.when(near, F.when(F.col("is_completed"), 1.0).otherwise(0.0))), F.lit(0.0)).alias(f"completion_rate_{w}d"),
+            F.count_distinct(F.when(near, c("session_date"))).alias(f"active_days_{w}d"),
+            F.count(F.when(near, c("title_id"))).alias(f"sessions_{w}d"),
+            F.count_distinct(F.when(near, c("title_id"))).alias(f"distinct_titles_{w}d"),
+            F.coalesce(F.sum(F.when(near, c("seconds_watched"))), F.lit(0)).alias(f"seconds_watched_{w}d"),
+            F.coalesce(F.avg(F.when(near, c("completion_ratio"))), F.lit(0.0)).alias(f"avg_completion_{w}d"),
+            F.coalesce(F.avg(F.when(near, F.when(c("is_completed"), 1.0).otherwise(0.0))), F.lit(0.0)).alias(f"completion_rate_{w}d"),
         ]
     aggs += [
-        F.coalesce(F.avg(F.when(F.col("session_date") >= F.date_sub("feature_date", min(windows)), F.col("rebuffer_seconds_per_hour"))), F.lit(0.0)).alias(f"avg_rebuffer_per_hour_{min(windows)}d"),
-        F.datediff(F.any_value("feature_date"), F.max("session_date")).alias("days_since_last_session"),
+        F.coalesce(F.avg(F.when(c("session_date") >= F.date_sub("feature_date", min(windows)), c("rebuffer_seconds_per_hour"))), F.lit(0.0)).alias(f"avg_rebuffer_per_hour_{min(windows)}d"),
+        F.max("session_date").alias("last_session_date"),
         F.min("session_date").alias("first_session_date"),
     ]
     return joined.groupBy("feature_date", "profile_id").agg(*aggs)
 
 
-def profile_windows(sessions: DataFrame, profiles: DataFrame, start: str, end: str, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
-    """The same rows: one row for each profile and active day, range frames over day numbers, and, for distinct titles,
-    +1 / -1 where the stretch of days that a title's watches cover begins and ends."""
-    longest, day = max(windows), F.unix_date
-    s = sessions.filter("is_valid_session").filter((F.col("session_date") < F.lit(end).cast("date")) & (F.col("session_date") >= F.date_sub(F.lit(start).cast("date"), longest)))
-    number = day("session_date")
-    active = s.groupBy("profile_id", number.alias("day")).agg(
-        F.count("title_id").alias("n"), F.sum("seconds_watched").alias("seconds"), F.sum("completion_ratio").alias("ratio"), F.count("completion_ratio").alias("ratio_n"),
-        F.sum(F.when(F.col("is_completed"), 1).otherwise(0)).alias("done"), F.count("*").alias("rows"), F.sum("rebuffer_seconds_per_hour").alias("rebuffer"), F.count("rebuffer_seconds_per_hour").alias("rebuffer_n"),
-    )
-    watched = s.filter("title_id is not null").select("profile_id", "title_id", number.alias("day")).distinct()
+def change_days(sessions: DataFrame, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """(profile_id, feature_date): the days on which a session's day enters or leaves a window."""
+    days = sessions.filter("is_valid_session").select("profile_id", "session_date").distinct()
+    return days.select("profile_id", F.explode(F.array(*[F.date_add("session_date", k) for k in (1, *(w + 1 for w in windows))])).alias("feature_date")).distinct()
+
+
+def window_marks(sessions: DataFrame, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """(profile_id, at, d_<total>_<window>..., seen, follows): what the windows gain and lose on day ``at``.
+
+    A title counts once in a window: +1 where its watches begin to cover days, -1 where they cease to.  ``seen`` is the day that enters,
+    ``follows`` the active day after the one that leaves the longest window.
+    """
+    longest, shortest = max(windows), min(windows)
+    s = sessions.filter("is_valid_session and session_date is not null").withColumn("day", F.unix_date("session_date"))
+    whole = lambda x, kind: F.coalesce(x, F.lit(0)).cast(kind)
+    sums = {"n": F.count("title_id"), "seconds": F.sum("seconds_watched"), "ratio": F.sum(c("completion_ratio").cast(EXACT)), "ratio_n": F.count("completion_ratio"), "done": F.count_if("is_completed"), "rows": F.count("*"), "rebuffer": F.sum(c("rebuffer_seconds_per_hour").cast(EXACT)), "rebuffer_n": F.count("rebuffer_seconds_per_hour")}
+    active = s.groupBy("profile_id", "day").agg(*[whole(x, (TOTALS | SHORT)[n]).alias(n) for n, x in sums.items()]).withColumn("active", F.lit(1).cast("bigint"))
+    active = active.withColumn("next", F.lead("day").over(Window.partitionBy("profile_id").orderBy("day")))
+    moved = active.withColumn("w", F.explode(F.array(*[F.lit(w) for w in (0, *windows)])))
+
+    def step(total: str, w: int, kind: str) -> Column:
+        zero = F.lit(0).cast(kind)
+        return F.when(c("w") == 0, c(total)).when(c("w") == w, F.negative(c(total))).otherwise(zero).alias(f"d_{total}_{w}")
+
+    steps = [step(t, w, kind) for w in windows for t, kind in TOTALS.items()] + [step(t, shortest, kind) for t, kind in SHORT.items()]
+    moved = moved.select("profile_id", (c("day") + 1 + c("w")).alias("at"), *steps, F.when(c("w") == 0, c("day")).alias("seen"), F.when(c("w") == longest, c("next")).alias("follows"))
+
     own = Window.partitionBy("profile_id", "title_id").orderBy("day")
-    watched = watched.select("profile_id", "day", F.lag("day").over(own).alias("before"), F.lead("day").over(own).alias("after"))
+    watched = s.filter("title_id is not null").select("profile_id", "title_id", "day").distinct().select("profile_id", "day", F.lag("day").over(own).alias("before"), F.lead("day").over(own).alias("after"))
     marks = []
     for w in windows:
-        begins = F.when(F.col("before").isNull() | (F.col("day") > F.col("before") + w), F.struct((F.col("day") + 1).alias("day"), F.lit(w).alias("w"), F.lit(1).alias("step")))
-        ends = F.when(F.col("after").isNull() | (F.col("after") > F.col("day") + w), F.struct((F.col("day") + w + 1).alias("day"), F.lit(w).alias("w"), F.lit(-1).alias("step")))
-        marks += [begins, ends]
-    edges = watched.select("profile_id", F.explode(F.array_compact(F.array(*marks))).alias("m")).select("profile_id", "m.*")
-    edges = edges.groupBy("profile_id", "day").agg(*[F.sum(F.when(F.col("w") == w, F.col("step")).otherwise(0)).alias(f"step_{w}") for w in windows])
-    spine = profiles.select("profile_id").crossJoin(F.broadcast(date_spine(sessions, start, end))).select("profile_id", day("feature_date").alias("day"), F.lit(True).alias("wanted"))
-    rows = spine.unionByName(active, allowMissingColumns=True).unionByName(edges, allowMissingColumns=True)
-
-    frame = Window.partitionBy("profile_id").orderBy("day")
+        mark = lambda at, n: F.struct(at.alias("at"), F.lit(w).alias("w"), F.lit(n).cast("bigint").alias("step"))  # noqa: E731, B023
+        marks += [F.when(c("before").isNull() | (c("day") > c("before") + w), mark(c("day") + 1, 1)), F.when(c("after").isNull() | (c("after") > c("day") + w), mark(c("day") + w + 1, -1))]
+    edges = watched.select("profile_id", F.explode(F.array_compact(F.array(*marks))).alias("m")).select("profile_id", "m.at", *[F.when(c("m.w") == w, c("m.step")).otherwise(F.lit(0)).alias(f"d_titles_{w}") for w in windows])
+    both = moved.unionByName(edges, allowMissingColumns=True)
+    names = [x for x in both.columns if x.startswith("d_")]
+    kinds = {x: both.schema[x].dataType.simpleString() for x in names}
+    return both.groupBy("profile_id", "at").agg(*[whole(F.sum(x), kinds[x]).alias(x) for x in names], F.max("seen").alias("seen"), F.max("follows").alias("follows"))
+
+
+def running_windows(marks: DataFrame, latest: tuple[str, ...] = (), flags: tuple[str, ...] = ()) -> DataFrame:
+    """(profile_id, at, until, t_<total>_<window>..., seen, follows, latest, flags): the windows' totals from day ``at`` until (not including) ``until``; the last row has no end.
+
+    Other rows may be mixed in with the marks: those of ``latest`` columns bring values that hold until the next, ``flags`` stay with their row.  All rows
+    of a day see the whole day; only its last has an ``until`` beyond it.
+    """
+    w = Window.partitionBy("profile_id").orderBy("at")
+    sofar = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = [F.coalesce(F.sum(x).over(sofar), F.lit(0)).cast(marks.schema[x].dataType).alias("t" + x[1:]) for x in marks.columns if x.startswith("d_")]
+    last = [F.last(x, True).over(sofar).alias(x) for x in latest]
+    return marks.select("profile_id", "at", F.lead("at").over(w).alias("until"), *totals, F.max("seen").over(sofar).alias("seen"), F.coalesce(F.max("follows").over(sofar), F.min("seen").over(sofar)).alias("follows"), *last, *flags)
+
+
+def last_of_day(totals: DataFrame) -> DataFrame:
+    return totals.filter("until is null or until > at")
+
+
+def window_values(windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> list[Column]:
+    """The features of a row of totals."""
+    longest, shortest = max(windows), min(windows)
+    mean = lambda a, b: F.coalesce(F.try_divide(c(a).cast("double"), c(b).cast("double")), F.lit(0.0))
     out: list[Column] = []
     for w in windows:
-        f = frame.rangeBetween(-w, -1)
-        total = {c: F.coalesce(F.sum(c).over(f), F.lit(0)) for c in ("n", "seconds", "ratio", "ratio_n", "done", "rows")}
-        out += [
-            F.count("rows").over(f).alias(f"active_days_{w}d"),
-            total["n"].alias(f"sessions_{w}d"),
-            F.coalesce(F.sum(f"step_{w}").over(frame.rangeBetween(Window.unboundedPreceding, 0)), F.lit(0)).alias(f"distinct_titles_{w}d"),
-            total["seconds"].alias(f"seconds_watched_{w}d"),
-            F.coalesce(F.try_divide(total["ratio"], total["ratio_n"]), F.lit(0.0)).alias(f"avg_completion_{w}d"),
-            F.coalesce(F.try_divide(total["done"].cast("double"), total["rows"]), F.lit(0.0)).alias(f"completion_rate_{w}d"),
-        ]
-    short, long = frame.rangeBetween(-min(windows), -1), frame.rangeBetween(-longest, -1)
-    seen = F.when(F.col("rows").isNotNull(), F.col("day"))
-    out += [
-        F.coalesce(F.try_divide(F.sum("rebuffer").over(short), F.sum("rebuffer_n").over(short)), F.lit(0.0)).alias(f"avg_rebuffer_per_hour_{min(windows)}d"),
-        (F.col("day") - F.max(seen).over(long)).alias("days_since_last_session"),
-        F.date_from_unix_date(F.min(seen).over(long).cast("int")).alias("first_session_date"),
-    ]
-    return rows.select(F.date_from_unix_date("day").alias("feature_date"), "profile_id", *out, "wanted").filter("wanted").drop("wanted")
+        out += [c(f"t_active_{w}").alias(f"active_days_{w}d"), c(f"t_n_{w}").alias(f"sessions_{w}d"), c(f"t_titles_{w}").alias(f"distinct_titles_{w}d"), c(f"t_seconds_{w}").alias(f"seconds_watched_{w}d")]
+        out += [mean(f"t_ratio_{w}", f"t_ratio_n_{w}").alias(f"avg_completion_{w}d"), mean(f"t_done_{w}", f"t_rows_{w}").alias(f"completion_rate_{w}d")]
+    known = lambda x: F.when(c(f"t_rows_{longest}") > 0, F.date_from_unix_date(x))
+    return [*out, mean(f"t_rebuffer_{shortest}", f"t_rebuffer_n_{shortest}").alias(f"avg_rebuffer_per_hour_{shortest}d"), known(c("seen").cast("int")).alias("last_session_date"), known(c("follows").cast("int")).alias("first_session_date")]
+
 
+def profile_intervals(sessions: DataFrame, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """(profile_id, valid_from, valid_to, features): the windows' features from each day on which one changes to the next (not included; null: for good).  Before a profile's first row all its windows are empty."""
+    totals = running_windows(window_marks(sessions, windows))
+    return totals.select("profile_id", F.date_from_unix_date(c("at").cast("int")).alias("valid_from"), F.date_from_unix_date(c("until").cast("int")).alias("valid_to"), *window_values(windows))
 
-def affected_days(day: Column, start: str, end: str, length: int) -> Column:
-    """The feature dates that see this day: the ``length`` days after it, inside the spine.  Makes a range join an equality."""
-    first = F.greatest(F.date_add(day, 1), F.lit(start).cast("date"))
-    last = F.least(F.date_add(day, length), F.date_sub(F.lit(end).cast("date"), 1))
-    return F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<date>")))
+
+def listed(intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """One row for each day of [start, end) that an interval (valid_from, valid_to) covers, as feature_date."""
+    first = F.greatest("valid_from", F.lit(start).cast("date"))
+    last = F.date_sub(F.least(F.coalesce("valid_to", F.lit(end).cast("date")), F.lit(end).cast("date")), 1)
+    return intervals.filter(first <= last).withColumn("feature_date", F.explode(F.sequence(first, last))).drop("valid_from", "valid_to")
+
+
+def profile_windows(sessions: DataFrame, profiles: DataFrame, start: str, end: str, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """A row for each profile and day of [start, end): ``profile_windows_at`` every day, from intervals."""
+    s = sessions.filter((c("session_date") < F.lit(end).cast("date")) & (c("session_date") >= F.date_sub(F.lit(start).cast("date"), max(windows))))
+    marks = window_marks(s, windows).join(profiles.select("profile_id").distinct(), "profile_id", "left_semi")
+    nothing = profiles.select("profile_id", F.unix_date(F.lit(start).cast("date")).alias("at")).distinct()
+    totals = last_of_day(running_windows(marks.unionByName(nothing, allowMissingColumns=True)))
+    days = totals.select("profile_id", F.date_from_unix_date(c("at").cast("int")).alias("valid_from"), F.date_from_unix_date(c("until").cast("int")).alias("valid_to"), *window_values(windows))
+    return listed(days, start, end)
+
+
+def genre_affinity(sessions: DataFrame, title_genres: DataFrame, genres: DataFrame, length: int = 90) -> DataFrame:
+    """(profile_id, valid_from, valid_to, genre_name, share): share of watch time in the ``length`` days before; a title of several genres counts fully for each.
+
+    Intervals end wherever the profile's watch time changes.  Each genre's own running sum is cut at the profile's change days, which are an array of at most two entries for each active day.
+    """
+    s = sessions.filter("is_valid_session and session_date is not null").join(title_genres, "title_id").join(genres, "genre_id")
+    daily = s.groupBy("profile_id", "genre_name", F.unix_date("session_date").alias("day")).agg(F.coalesce(F.sum("seconds_watched"), F.lit(0)).alias("seconds"), F.count("*").alias("rows"))
+    both = F.array(F.struct((c("day") + 1).alias("at"), F.lit(1).alias("sign")), F.struct((c("day") + length + 1).alias("at"), F.lit(-1).alias("sign")))
+    marks = daily.withColumn("m", F.explode(both)).groupBy("profile_id", "genre_name", "m.at").agg(F.sum(c("m.sign") * c("seconds")).alias("seconds"), F.sum(c("m.sign") * c("rows")).alias("rows"))
+    own, all_ = (Window.partitionBy(*k).orderBy("at") for k in (("profile_id", "genre_name"), ("profile_id",)))
+    sofar = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    genre = marks.select("profile_id", "genre_name", "at", F.lead("at").over(own).alias("until"), F.sum("seconds").over(sofar(own)).alias("seconds"), F.sum("rows").over(sofar(own)).alias("rows")).filter("rows > 0")
+    total = marks.groupBy("profile_id", "at").agg(F.sum("seconds").alias("seconds"))
+    total = total.select("profile_id", "at", F.sum("seconds").over(sofar(all_)).alias("total"), F.lead("at").over(all_).alias("next"))
+    changes = total.groupBy("profile_id").agg(F.sort_array(F.collect_list(F.struct("at", "next", "total"))).alias("changes"))
+    place = lambda day: F.array_position(F.transform("changes", lambda x: x["at"]), c(day))
+    cut = genre.join(changes, "profile_id").select("profile_id", "genre_name", "seconds", F.explode(F.slice("changes", place("at").cast("int"), (place("until") - place("at")).cast("int"))).alias("x"))
+    share = F.round(F.try_divide(c("seconds").cast("double"), F.nullif(c("x.total"), F.lit(0))), 4)
+    held = cut.select("profile_id", c("x.at").alias("at"), c("x.next").alias("next"), "genre_name", share.alias("share"))
+    day = lambda x: F.date_from_unix_date(c(x).cast("int"))
+    return held.select("profile_id", day("at").alias("valid_from"), day("next").alias("valid_to"), "genre_name", "share")
+
+
+def popularity_totals(activity: DataFrame, start: str, end: str) -> DataFrame:
+    """(title_id, part, origin, at, next, totals): a title's totals of the 60, 30 and 7 days before the days from ``at`` until (not including) ``next``.
+
+    A day's sessions count 2 ** (age / -14): relative to a fixed day their weight does not change, so it is entered once, left once, and scaled for
+    each day at the end.  Fixed days are the beginnings of stretches of ``STRETCH`` days, so that weights stay small and their decimal sums exact.
+    """
+    until = F.unix_date(F.lit(end).cast("date"))
+    a = activity.withColumn("day", F.unix_date("session_date")).filter((c("day") >= F.unix_date(F.lit(start).cast("date")) - 60) & (c("day") < until))
+    stretch = lambda x: F.floor(x / F.lit(STRETCH)).cast("int")
+    a = a.withColumn("part", F.explode(F.array_distinct(F.array(stretch(c("day") + 1), stretch(c("day") + 60))))).withColumn("origin", c("part") * STRETCH)
+    marks = []
+    for length in (7, 30, 60):
+        first, last = F.greatest(c("day") + 1, c("origin")), F.least(c("day") + length + 1, c("origin") + STRETCH)
+        mark = lambda at, sign: F.struct(at.alias("at"), F.lit(length).alias("length"), F.lit(sign).alias("sign"))  # noqa: E731, B023
+        marks += [F.when(first < last, mark(first, 1)), F.when((first < last) & (last < c("origin") + STRETCH), mark(last, -1))]
+    a = a.withColumn("m", F.explode(F.array_compact(F.array(*marks))))
+    weight = (c("sessions") * F.pow(F.lit(2.0), (c("day") - c("origin")) / HALF_LIFE)).cast(WEIGHT)
+    parts = {"weight": (60, weight, WEIGHT), "live": (60, F.lit(1), "bigint"), "sessions_7d": (7, c("sessions"), "bigint"), "viewers_7d": (7, c("unique_viewers"), "bigint"), "seconds_watched_7d": (7, c("seconds_watched"), "bigint"), "done": (30, c("completion_rate").cast(EXACT), EXACT), "done_n": (30, F.lit(1), "bigint")}
+    signed = lambda x: F.when(c("m.sign") > 0, x).otherwise(F.negative(x))  # noqa: E731  a product of decimals would lose digits
+    step = lambda length, x, kind: F.sum(F.when(c("m.length") == length, signed(x.cast(kind))).otherwise(F.lit(0).cast(kind)))
+    marks = a.groupBy("title_id", "part", "origin", "m.at").agg(*[step(*p).alias(n) for n, p in parts.items()])
+    w = Window.partitionBy("title_id", "part").orderBy("at")
+    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
+    return marks.select("title_id", "part", "origin", "at", F.coalesce(F.lead("at").over(w), c("origin") + STRETCH).alias("next"), *[F.sum(n).over(sofar).alias(n) for n in parts])
 
 
-def genre_affinity(sessions: DataFrame, title_genres: DataFrame, genres: DataFrame, start: str, end: str, length: int = 90) -> DataFrame:
-    """(feature_date, profile_id, genre_name, share): share of watch time in the days before; a title of several genres counts fully for each."""
-    s = sessions.filter("is_valid_session").join(title_genres, "title_id").join(genres, "genre_id")
-    daily = s.groupBy("profile_id", "session_date", "genre_name").agg(F.sum("seconds_watched").alias("seconds"))
-    seen = daily.select("profile_id", "genre_name", "seconds", affected_days(F.col("session_date"), start, end, length).alias("feature_date"))
-    sums = seen.groupBy("feature_date", "profile_id", "genre_name").agg(F.sum("seconds").alias("seconds"))
-    total = F.sum("seconds").over(Window.partitionBy("feature_date", "profile_id"))
-    return sums.select("feature_date", "profile_id", "genre_name", F.round(F.try_divide(F.col("seconds").cast("double"), F.nullif(total, F.lit(0))), 4).alias("share"))
+def popularity_days(totals: DataFrame, start: str, end: str) -> DataFrame:
+    """A row for each title and day of [start, end) on which it has sessions in the 60 days before, with the day's number ``x`` and the decayed sessions."""
+    first, last = F.greatest("at", F.unix_date(F.lit(start).cast("date"))), F.least("next", F.unix_date(F.lit(end).cast("date"))) - 1
+    days = totals.filter("live > 0").filter(first <= last).withColumn("x", F.explode(F.sequence(first, last)))
+    return days.withColumn("weighted_sessions", _scaled(c("x")))
 
 
-def as_map(shares: DataFrame) -> DataFrame:
-    entries = F.sort_array(F.collect_list(F.struct("genre_name", "share")))
-    return shares.groupBy("feature_date", "profile_id").agg(F.map_from_entries(entries).alias("genre_affinity"))
+def _scaled(x: Column) -> Column:
+    return c("weight").cast("double") * F.pow(F.lit(2.0), (c("origin") - x) / HALF_LIFE)
 
 
 def popularity_windows(activity: DataFrame, start: str, end: str) -> DataFrame:
-    """Per day and title, from the 60 days before: decayed sessions (half-life 14 days), 7-day sums, 30-day completion.
+    """Per day of [start, end) and title, from the 60 days before: decayed sessions (half-life 14 days), 7-day sums, 30-day completion.
     viewers_7d adds up daily unique viewers; it is no distinct count."""
-    seen = activity.select("*", affected_days(F.col("session_date"), start, end, 60).alias("metric_date"))
-    age = F.datediff("metric_date", "session_date")
-    last = lambda n, c: F.when(age <= n, F.col(c))
-    return seen.groupBy("metric_date", "title_id").agg(
-        F.sum(F.col("sessions") * F.pow(F.lit(0.5), age / 14.0)).alias("weighted_sessions"),
-        F.sum(last(7, "sessions")).alias("sessions_7d"), F.sum(last(7, "unique_viewers")).alias("viewers_7d"),
-        F.sum(last(7, "seconds_watched")).alias("seconds_watched_7d"), F.avg(last(30, "completion_rate")).alias("completion_rate_30d"),
-    )
+    days = popularity_days(popularity_totals(activity, start, end), start, end)
+    rate = F.try_divide(c("done").cast("double"), c("done_n").cast("double"))
+    return days.select(F.date_from_unix_date("x").alias("metric_date"), "title_id", "weighted_sessions", "sessions_7d", "viewers_7d", "seconds_watched_7d", rate.alias("completion_rate_30d"))
+
+
+def popularity_at(activity: DataFrame, points: DataFrame, start: str, end: str) -> DataFrame:
+    """(title_id, metric_date, popularity_score) at points (title_id, metric_date) inside [start, end): the title's weight by the greatest of that day.
+
+    No row is listed for title and day but to find each day's greatest, which is reduced where it is made; points are merged with the totals in one order.
+    Titles without sessions in the 60 days before have no row.
+    """
+    totals = popularity_totals(activity, start, end)
+    best = popularity_days(totals, start, end).groupBy("x").agg(F.max("weighted_sessions").alias("best"))
+    x = F.unix_date("metric_date")
+    asked = points.select("title_id", F.floor(x / F.lit(STRETCH)).cast("int").alias("part"), x.alias("at"), F.lit(True).alias("asked")).distinct()
+    held = totals.select("title_id", "part", "at", F.struct("weight", "live", "origin").alias("held"))
+    sofar = Window.partitionBy("title_id", "part").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = held.unionByName(asked, allowMissingColumns=True).withColumn("held", F.last("held", True).over(sofar)).filter("asked").select("title_id", c("at").alias("x"), "held.*").filter("live > 0")
+    score = F.round(_scaled(c("x")) / F.nullif(c("best"), F.lit(0.0)), 6)
+    return found.join(best, "x").select("title_id", F.date_from_unix_date("x").alias("metric_date"), score.alias("popularity_score"))

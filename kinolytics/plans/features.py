@@ -2,54 +2,158 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import heapq
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 from kinolytics.functions import expressions as X
-from kinolytics.operators.timetravel import as_map, genre_affinity, profile_windows
+from kinolytics.operators.timetravel import genre_affinity, last_of_day, listed, running_windows, window_marks, window_values
+from kinolytics.sources.shared import stored
 
 c = F.col
-
-
-def each_day(history: DataFrame, start: str, end: str) -> DataFrame:
-    """A row for each day of [start, end) on which an interval holds: intervals are cut to the span and their days listed, so that nothing is compared with every day."""
-    first = F.greatest(F.to_date("valid_from"), F.lit(start).cast("date"))
-    last = F.least(F.date_sub(F.coalesce(F.to_date("valid_to"), F.lit(end).cast("date")), 1), F.date_sub(F.lit(end).cast("date"), 1))
-    cut = history.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-    return cut.withColumn("feature_date", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
-
-
-def subscription_context(history: DataFrame, start: str, end: str) -> DataFrame:
-    """(feature_date, subscriber_id, tier, tier_rank, is_active, tenure_days) as of each day; of several subscriptions the active, then the latest started."""
-    valid = each_day(history, start, end)
-    ranked = valid.withColumns({"is_active": c("status") == "active", "tier_rank": X.tier_rank(c("tier")), "tenure_days": F.datediff("feature_date", F.to_date("started_at"))})
-    w = Window.partitionBy("feature_date", "subscriber_id").orderBy(F.desc("is_active"), F.desc("started_at"), F.desc("valid_from"), F.desc("subscription_id"))
-    return ranked.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("feature_date", "subscriber_id", "tier", "tier_rank", "is_active", "tenure_days")
-
-
-def profile_features(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, start: str, end: str) -> DataFrame:
-    """One row for each profile and day of [start, end); everything is known strictly before the day."""
-    p = profile_windows(sessions, profiles, start, end).join(profiles.select("profile_id", "subscriber_id"), "profile_id")
-    affinity = as_map(genre_affinity(sessions, title_genres, genres, start, end))
-    context = subscription_context(history, start, end)
-    f = p.join(affinity, ["feature_date", "profile_id"], "left").join(context, ["feature_date", "subscriber_id"], "left")
-    windows = [f"{n}_{w}d" for w in S.FEATURE_WINDOWS for n in ("active_days", "sessions", "distinct_titles", "seconds_watched", "avg_completion", "completion_rate")]
-    return f.select(
-        "feature_date", "profile_id", "subscriber_id", *windows, "avg_rebuffer_per_hour_7d",
-        F.coalesce("days_since_last_session", F.lit(999)).alias("days_since_last_session"),
-        F.coalesce(F.datediff("feature_date", "first_session_date"), F.lit(0)).alias("profile_age_days"),
-        F.coalesce("genre_affinity", F.create_map().cast("map<string,double>")).alias("genre_affinity"),
-        "tier", "tier_rank", c("is_active").alias("subscription_active"), F.coalesce("tenure_days", F.lit(0)).alias("tenure_days"),
-        X.engagement_segment(c("sessions_7d"), c("active_days_7d")).alias("engagement_segment"),
-    )
+#: A day after all days.
+NEVER = (1 << 31) - 1
+
+
+def subscription_segments(history: DataFrame) -> DataFrame:
+    """(subscriber_id, valid_from, valid_to, tier, tier_rank, is_active, started_on, known): days of one answer to which subscription holds.
+
+    Intervals of a subscriber may overlap; of those that hold on a day the active one wins, then the latest started, the latest begun, and the last
+    written.  A sweep over a subscriber's intervals in the order of their begin keeps the open ones in a heap: a segment ends where the winner
+    ends or another begins, equal neighbours are merged, and a stretch on which none holds is a segment that is not ``known``.
+    Rows stream through a sorted partition; a task holds the open intervals of one subscriber.
+    """
+    kind = history.schema["subscriber_id"].dataType.simpleString()
+    micros = lambda x: F.coalesce(F.unix_micros(x), F.lit(-(1 << 62)))
+    rows = history.select(
+        "subscriber_id", F.unix_date(F.to_date("valid_from")).alias("first"), F.coalesce(F.unix_date(F.to_date("valid_to")), F.lit(NEVER)).alias("until"),
+        F.coalesce(c("status") == "active", F.lit(False)).alias("active"), micros("started_at").alias("started"), micros("valid_from").alias("begun"), "__lsn", "tier", F.unix_date(F.to_date("started_at")).alias("started_on"),
+    ).filter("first < until")
+    rows = rows.repartition("subscriber_id").sortWithinPartitions("subscriber_id", "first")
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list[tuple] = []  # smallest first: the winner's fields with their order turned round
+        out: list[list] = []
+        who, day, number = None, 0, 0
+
+        def put(first: int, until: int, value: tuple) -> None:
+            if first >= until:
+                return
+            if out and out[-1][0] == who and out[-1][2] == first and tuple(out[-1][3:]) == value:
+                out[-1][2] = until
+            else:
+                out.append([who, first, until, *value])
+
+        def advance(to: int) -> None:
+            """Segments from ``day`` up to the day ``to``."""
+            nonlocal day
+            while day < to:
+                while open_ and open_[0][4] <= day:
+                    heapq.heappop(open_)
+                end = min(to, open_[0][4]) if open_ else to
+                put(day, end, open_[0][6] if open_ else (None, None, None, False))
+                day = end
+
+        def table(held: list[list]) -> pa.RecordBatch:
+            columns = list(zip(*held, strict=True)) or [()] * 7
+            types = [schema.types[0], pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32(), pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=["subscriber_id", "first", "until", "tier", "is_active", "started_on", "known"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            for one, first, until, active, started, begun, lsn, tier, started_on in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                if one != who:
+                    advance(NEVER) if who is not None else None
+                    open_.clear()
+                    who, day = one, first
+                advance(first)
+                number += 1
+                heapq.heappush(open_, (not active, -started, -begun, -(lsn or 0), until, number, (tier, active, started_on, True)))
+            if len(out) > 10_000:
+                yield table(out[:-1])
+                del out[:-1]
+        if schema is not None:
+            advance(NEVER) if who is not None else None
+            yield table(out)
+
+    found = rows.filter("subscriber_id is not null").mapInArrow(sweep, f"subscriber_id {kind}, first int, until int, tier string, is_active boolean, started_on int, known boolean")
+    return found.select("subscriber_id", F.date_from_unix_date("first").alias("valid_from"), F.when(c("until") < NEVER, F.date_from_unix_date("until")).alias("valid_to"), "tier", X.tier_rank(c("tier")).alias("tier_rank"), "is_active", F.date_from_unix_date("started_on").alias("started_on"), "known")
+
+
+def affinity_maps(sessions: DataFrame, title_genres: DataFrame, genres: DataFrame) -> DataFrame:
+    """(profile_id, at, genre_affinity): each profile's map of shares from day ``at`` until its next row."""
+    shares = genre_affinity(sessions, title_genres, genres)
+    ends = shares.select("profile_id", c("valid_to").alias("valid_from")).distinct()  # a day after which no genre is left has an empty map
+    entries = F.sort_array(F.collect_list(F.when(c("genre_name").isNotNull(), F.struct("genre_name", "share"))))
+    return shares.unionByName(ends, allowMissingColumns=True).groupBy("profile_id", F.unix_date("valid_from").alias("at")).agg(F.map_from_entries(entries).alias("genre_affinity"))
+
+
+def feature_rows(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, asked: DataFrame, affinity: bool = True) -> DataFrame:
+    """What is known of each profile on every day on which something changes, and on the days of ``asked`` (profile_id, at; its rows are flagged ``asked``).
+
+    Marks of the windows, days of new affinities, segments of the subscription and what is asked for are rows of one order for each profile: no day is joined with a span of days.
+    Maps are looked up last, by the day from which they hold.
+    """
+    every = window_marks(sessions)
+    segments = profiles.select("profile_id", "subscriber_id").join(subscription_segments(history), "subscriber_id")
+    context = segments.select("profile_id", F.unix_date("valid_from").alias("at"), F.struct("tier", "tier_rank", "is_active", "started_on").alias("context"))
+    every = every.unionByName(context, allowMissingColumns=True).unionByName(asked.select("profile_id", "at", F.lit(True).alias("asked")), allowMissingColumns=True)
+    if affinity:
+        maps = stored(affinity_maps(sessions, title_genres, genres))
+        every = every.unionByName(maps.select("profile_id", "at", c("at").alias("shares_at")), allowMissingColumns=True)
+    known = running_windows(every.join(profiles.select("profile_id"), "profile_id", "left_semi"), ("context", "shares_at") if affinity else ("context",), ("asked",))
+    if affinity:
+        known = known.join(maps.withColumnRenamed("at", "shares_at"), ["profile_id", "shares_at"], "left")
+    return known.withColumns({"valid_from": F.date_from_unix_date("at"), "valid_to": F.date_from_unix_date("until")}).join(profiles.select("profile_id", "subscriber_id"), "profile_id")
+
+
+def _columns(known: DataFrame, day: Column | None) -> list[Column]:
+    """The features of rows of ``feature_rows``; with ``day``, ages on that day, without it the days from which they count."""
+    *windows, last, first = window_values()
+    since = c("context.started_on")
+    if day is None:
+        ages = [last, first, since.alias("started_on")]
+    else:
+        ages = [F.coalesce(F.datediff(day, last), F.lit(999)).alias("days_since_last_session"), F.coalesce(F.datediff(day, first), F.lit(0)).alias("profile_age_days"), F.coalesce(F.datediff(day, since), F.lit(0)).alias("tenure_days")]
+    maps = [F.coalesce("genre_affinity", F.create_map().cast("map<string,double>")).alias("genre_affinity")] if "genre_affinity" in known.columns else []
+    return [
+        *windows, *ages, *maps, c("context.tier").alias("tier"), c("context.tier_rank").alias("tier_rank"), c("context.is_active").alias("subscription_active"),
+        X.engagement_segment(c("t_n_7"), c("t_active_7")).alias("engagement_segment"),
+    ]
+
+
+def feature_intervals(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, affinity: bool = True) -> DataFrame:
+    """(profile_id, subscriber_id, valid_from, valid_to, features): all of each profile's history, a row from each change to the next; the last row has no end."""
+    nothing = profiles.limit(0).select("profile_id", F.lit(0).alias("at"))
+    known = last_of_day(feature_rows(sessions, profiles, title_genres, genres, history, nothing, affinity))
+    return known.select("profile_id", "subscriber_id", "valid_from", "valid_to", *_columns(known, None))
+
+
+def features_at(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, points: DataFrame) -> DataFrame:
+    """The features at given points (profile_id, feature_date), each known strictly before its day."""
+    known = feature_rows(sessions, profiles, title_genres, genres, history, points.select("profile_id", F.unix_date("feature_date").alias("at")).distinct()).filter("asked")
+    return known.select(c("valid_from").alias("feature_date"), "profile_id", "subscriber_id", *_columns(known, c("valid_from")))
+
+
+def profile_features(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, start: str, end: str, affinity: bool = True) -> DataFrame:
+    """One row for each profile and day of [start, end); everything is known strictly before the day.  Reads the sessions from 90 days before ``start`` on."""
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    near = sessions.filter((c("session_date") < last) & (c("session_date") >= F.date_sub(first, max(S.FEATURE_WINDOWS))))
+    known = last_of_day(feature_rows(near, profiles, title_genres, genres, history, profiles.select("profile_id", F.unix_date(first).alias("at")), affinity))
+    days = listed(known, start, end)
+    return days.select("feature_date", "profile_id", "subscriber_id", *_columns(days, c("feature_date")))
 
 
 def training_set(features: DataFrame, sessions: DataFrame, titles: DataFrame, popularity: DataFrame, start: str, end: str) -> DataFrame:
     """Labels with the features of their own day (which know only the days before) and the popularity of the day before."""
     s = sessions.filter("is_valid_session").filter(c("session_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    s = s.select("profile_id", "session_id", "title_id", "engagement_label", "session_date")
-    joined = features.join(s, (features["profile_id"] == s["profile_id"]) & (features["feature_date"] == s["session_date"])).drop(s["profile_id"])
+    s = s.select("profile_id", "session_id", "title_id", "engagement_label", "session_date", c("session_date").alias("feature_date"))
+    joined = features.join(s, ["profile_id", "feature_date"])
     pop = popularity.select("title_id", F.date_add("metric_date", 1).alias("session_date"), "popularity_score")
     return joined.join(titles.select("title_id", "content_type", "runtime_bucket", "is_original", "days_since_release"), "title_id", "left").join(pop, ["title_id", "session_date"], "left")
 

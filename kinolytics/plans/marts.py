@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 from kinolytics.functions import expressions as X
-from kinolytics.operators.timetravel import popularity_windows
+from kinolytics.operators.timetravel import popularity_at, popularity_windows
 
 c = F.col
 
@@ -126,3 +126,8 @@ def title_popularity(sessions: DataFrame, start: str, end: str) -> DataFrame:
         F.round(weight, 4).alias("weighted_sessions"), F.round(weight / F.nullif(F.max(weight).over(day), F.lit(0.0)), 6).alias("popularity_score"),
         F.row_number().over(day.orderBy(F.desc(F.round(weight, 9)), "title_id")).alias("popularity_rank"),
     )
+
+
+def title_popularity_at(sessions: DataFrame, points: DataFrame, start: str, end: str) -> DataFrame:
+    """The score of ``title_popularity`` for given (title_id, metric_date) alone."""
+    return popularity_at(title_activity(sessions), points, start, end)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,14 @@ from kinolytics.plans import marts as M
 from kinolytics.plans import recommend as R
 from kinolytics.plans import staging as ST
 from kinolytics.sources import io as IO
-from kinolytics.sources.views import AS_OF_EVENTS, AS_OF_ORDERS, SPINE_START, duck, view
+from kinolytics.sources.views import AS_OF_EVENTS, AS_OF_ORDERS, duck, view
 from kinolytics.streaming import qoe
 from kinolytics.streaming.sessions import batch_sessions
 
 c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-START, END = SPINE_START, AS_OF_ORDERS
+EV, ORD = AS_OF_EVENTS, AS_OF_ORDERS
 #: Titles that a profile's list is chosen from.
 CANDIDATES = 400
 
@@ -56,18 +57,31 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*[one(f) for f in df.schema])
 
 
-def dsql(text: str) -> str:
-    return duck(text, DERIVED)
+def dsql(text: str, points: str = "SELECT d, profile_id FROM spine CROSS JOIN v_profiles") -> str:
+    """The query over the relations below; features are taken at ``points`` (d, profile_id)."""
+    return duck(text, {**DERIVED, "points": points})
+
+
+#: Points: the days on which a window changes, on which the profile's genres change, on which anything does; days of sessions; yesterday.
+CHANGES = "SELECT DISTINCT profile_id, CAST(session_date + k AS DATE) AS d FROM v_watch_sessions, (SELECT unnest([1, 8, 31, 91]) AS k) t WHERE is_valid_session"
+GENRE_CHANGES = "SELECT DISTINCT profile_id, CAST(session_date + k AS DATE) AS d FROM v_watch_sessions JOIN v_title_genres USING (title_id), (SELECT unnest([1, 91]) AS k) t WHERE is_valid_session"
+ALL_CHANGES = f"{CHANGES} UNION SELECT profile_id, valid_from FROM segs JOIN v_profiles USING (subscriber_id) UNION SELECT profile_id, valid_to FROM segs JOIN v_profiles USING (subscriber_id) WHERE valid_to IS NOT NULL"
+SESSION_DAYS = "SELECT DISTINCT profile_id, session_date AS d FROM v_watch_sessions WHERE is_valid_session"
+
+
+YESTERDAY = f"SELECT profile_id, CAST(DATE '{ORD}' - 1 AS DATE) AS d FROM v_profiles"
+def mean_sql(x: str, w: int) -> str:
+    """A window's mean of ``x`` to twelve decimals each, rounded half up."""
+    mean = f"CAST(sum(CASE WHEN session_date >= d - {w} THEN CAST({x} AS DECIMAL(28, 12)) END) AS DOUBLE) / count(CASE WHEN session_date >= d - {w} THEN {x} END)"
+    return f"CAST(round(CAST({mean} AS DECIMAL(30, 15)), 6) AS DOUBLE)"
 
 
-EV, ORD = AS_OF_EVENTS, AS_OF_ORDERS
-SPINE = f"SELECT CAST(unnest(generate_series(DATE '{START}', DATE '{END}' - 1, INTERVAL 1 DAY)) AS DATE) AS d"
 WINDOWS_SQL = ",\n".join(
     f"""count(DISTINCT CASE WHEN session_date >= d - {w} THEN session_date END) AS active_days_{w}d,
         count(CASE WHEN session_date >= d - {w} THEN title_id END) AS sessions_{w}d,
         count(DISTINCT CASE WHEN session_date >= d - {w} THEN title_id END) AS distinct_titles_{w}d,
         CAST(coalesce(sum(CASE WHEN session_date >= d - {w} THEN seconds_watched END), 0) AS BIGINT) AS seconds_watched_{w}d,
-        round(coalesce(avg(CASE WHEN session_date >= d - {w} THEN completion_ratio END), 0), 6) AS avg_completion_{w}d,
+        coalesce({mean_sql('completion_ratio', w)}, 0) AS avg_completion_{w}d,
         round(coalesce(avg(CASE WHEN session_date >= d - {w} THEN (CASE WHEN is_completed THEN 1.0 ELSE 0.0 END) END), 0), 6) AS completion_rate_{w}d"""
     for w in S.FEATURE_WINDOWS
 )
@@ -106,30 +120,45 @@ DERIVED = {
         FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL""",
     "subs_now": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id ORDER BY __lsn DESC) AS rn FROM v_subscriptions_log) r WHERE rn = 1 AND coalesce(__deleted, 'false') = 'false'",
     "hist": """
-        SELECT * FROM (SELECT subscription_id, subscriber_id, tier, status, started_at, updated_at AS valid_from, lead(updated_at) OVER (PARTITION BY subscription_id ORDER BY __lsn) AS valid_to, __deleted
+        SELECT * FROM (SELECT subscription_id, subscriber_id, tier, status, started_at, __lsn, updated_at AS valid_from, lead(updated_at) OVER (PARTITION BY subscription_id ORDER BY __lsn) AS valid_to, __deleted
                        FROM v_subscriptions_log) h WHERE coalesce(__deleted, 'false') = 'false'""",
-    "spine": SPINE,
+    "spine": "SELECT CAST(unnest(generate_series(min(session_date), max(session_date) + 1, INTERVAL 1 DAY)) AS DATE) AS d FROM v_watch_sessions",
     "pw": f"""
         SELECT d AS feature_date, profile_id, {WINDOWS_SQL},
-               round(coalesce(avg(CASE WHEN session_date >= d - 7 THEN rebuffer_seconds_per_hour END), 0), 6) AS avg_rebuffer_per_hour_7d,
-               CAST(d - max(session_date) AS INT) AS days_since_last_session, min(session_date) AS first_session_date
-        FROM (SELECT d, p.profile_id, s.* EXCLUDE (profile_id) FROM spine CROSS JOIN v_profiles p LEFT JOIN (SELECT * FROM v_watch_sessions WHERE is_valid_session) s
+               coalesce({mean_sql('rebuffer_seconds_per_hour', 7)}, 0) AS avg_rebuffer_per_hour_7d,
+               max(session_date) AS last_session_date, min(session_date) AS first_session_date
+        FROM (SELECT d, p.profile_id, s.* EXCLUDE (profile_id) FROM points p LEFT JOIN (SELECT * FROM v_watch_sessions WHERE is_valid_session) s
                    ON s.profile_id = p.profile_id AND s.session_date < d AND s.session_date >= d - 90) j
         GROUP BY d, profile_id""",
     "aff": """
         SELECT d AS feature_date, profile_id, genre_name, round(CAST(x AS DOUBLE) / nullif(sum(x) OVER (PARTITION BY d, profile_id), 0), 4) AS share
-        FROM (SELECT d, profile_id, genre_name, sum(seconds_watched) AS x FROM v_watch_sessions s JOIN v_title_genres USING (title_id) JOIN v_genres USING (genre_id)
-                   JOIN spine ON session_date < d AND session_date >= d - 90 WHERE is_valid_session GROUP BY d, profile_id, genre_name) g""",
+        FROM (SELECT d, p.profile_id, genre_name, sum(seconds_watched) AS x FROM points p JOIN v_watch_sessions s ON s.profile_id = p.profile_id AND session_date < d AND session_date >= d - 90
+                   JOIN v_title_genres USING (title_id) JOIN v_genres USING (genre_id) WHERE is_valid_session GROUP BY d, p.profile_id, genre_name) g""",
+    "day_hist": "SELECT subscriber_id, tier, status, started_at, __lsn, valid_from AS since, CAST(valid_from AS DATE) AS a, CAST(valid_to AS DATE) AS b FROM hist WHERE valid_to IS NULL OR CAST(valid_from AS DATE) < CAST(valid_to AS DATE)",
+    "borders": "SELECT subscriber_id, x, lead(x) OVER (PARTITION BY subscriber_id ORDER BY x) AS y FROM (SELECT subscriber_id, a AS x FROM day_hist UNION SELECT subscriber_id, b FROM day_hist WHERE b IS NOT NULL) e",
+    "winners": """
+        SELECT * FROM (SELECT h.subscriber_id, x, y, tier, status = 'active' AS is_active, CAST(started_at AS DATE) AS started_on,
+                     row_number() OVER (PARTITION BY h.subscriber_id, x ORDER BY status = 'active' DESC, started_at DESC, since DESC, __lsn DESC) AS rn
+              FROM borders e LEFT JOIN day_hist h ON h.subscriber_id = e.subscriber_id AND x >= a AND (b IS NULL OR x < b)) q WHERE rn = 1 AND subscriber_id IS NOT NULL""",
+    "segs": """
+        SELECT subscriber_id, min(x) AS valid_from, CASE WHEN bool_or(y IS NULL) THEN NULL ELSE max(y) END AS valid_to, tier, CASE tier WHEN 'basic' THEN 1 WHEN 'standard' THEN 2 WHEN 'premium' THEN 3 END AS tier_rank, is_active, started_on
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY subscriber_id ORDER BY x ROWS UNBOUNDED PRECEDING) AS island
+              FROM (SELECT *, CASE WHEN lag(y) OVER w IS DISTINCT FROM x OR lag(tier) OVER w IS DISTINCT FROM tier OR lag(is_active) OVER w IS DISTINCT FROM is_active OR lag(started_on) OVER w IS DISTINCT FROM started_on THEN 1 ELSE 0 END AS fresh
+                    FROM winners WINDOW w AS (PARTITION BY subscriber_id ORDER BY x)) v) u
+        GROUP BY subscriber_id, island, tier, is_active, started_on""",
     "ctx": """
-        SELECT * FROM (SELECT d AS feature_date, subscriber_id, tier, CASE tier WHEN 'basic' THEN 1 WHEN 'standard' THEN 2 WHEN 'premium' THEN 3 END AS tier_rank, status = 'active' AS is_active,
-                              CAST(d - CAST(started_at AS DATE) AS INT) AS tenure_days,
-                              row_number() OVER (PARTITION BY d, subscriber_id ORDER BY status = 'active' DESC, started_at DESC, valid_from DESC, subscription_id DESC) AS rn
-                       FROM hist JOIN spine ON d >= CAST(valid_from AS DATE) AND (valid_to IS NULL OR d < CAST(valid_to AS DATE))) q WHERE rn = 1""",
+        SELECT * FROM (SELECT d AS feature_date, profile_id, tier, CASE tier WHEN 'basic' THEN 1 WHEN 'standard' THEN 2 WHEN 'premium' THEN 3 END AS tier_rank, status = 'active' AS is_active, CAST(started_at AS DATE) AS started_on,
+                              row_number() OVER (PARTITION BY d, profile_id ORDER BY status = 'active' DESC, started_at DESC, valid_from DESC, __lsn DESC) AS rn
+                       FROM hist JOIN v_profiles USING (subscriber_id) JOIN points USING (profile_id) WHERE d >= CAST(valid_from AS DATE) AND (valid_to IS NULL OR d < CAST(valid_to AS DATE))) q WHERE rn = 1""",
     "feat": """
-        SELECT pw.* EXCLUDE (days_since_last_session, first_session_date), p.subscriber_id, coalesce(days_since_last_session, 999) AS days_since_last_session,
-               coalesce(CAST(pw.feature_date - first_session_date AS INT), 0) AS profile_age_days, tier, tier_rank, is_active AS subscription_active, coalesce(tenure_days, 0) AS tenure_days,
+        SELECT pw.* EXCLUDE (last_session_date, first_session_date), p.subscriber_id, last_session_date, first_session_date, started_on, coalesce(CAST(pw.feature_date - last_session_date AS INT), 999) AS days_since_last_session,
+               coalesce(CAST(pw.feature_date - first_session_date AS INT), 0) AS profile_age_days, tier, tier_rank, is_active AS subscription_active, coalesce(CAST(pw.feature_date - started_on AS INT), 0) AS tenure_days,
                CASE WHEN sessions_7d = 0 THEN 'dormant' WHEN active_days_7d >= 5 THEN 'daily' WHEN active_days_7d >= 2 THEN 'regular' ELSE 'occasional' END AS engagement_segment
-        FROM pw JOIN v_profiles p USING (profile_id) LEFT JOIN ctx ON ctx.subscriber_id = p.subscriber_id AND ctx.feature_date = pw.feature_date""",
+        FROM pw JOIN v_profiles p USING (profile_id) LEFT JOIN ctx USING (profile_id, feature_date)""",
+    "feat_daily": """
+        SELECT p.d AS feature_date, p.profile_id, f.* EXCLUDE (feature_date, profile_id, days_since_last_session, profile_age_days, tenure_days, engagement_segment), coalesce(engagement_segment, 'dormant') AS engagement_segment,
+               coalesce(CAST(p.d - last_session_date AS INT), 999) AS days_since_last_session, coalesce(CAST(p.d - first_session_date AS INT), 0) AS profile_age_days, coalesce(CAST(p.d - started_on AS INT), 0) AS tenure_days
+        FROM (SELECT d, profile_id FROM spine CROSS JOIN v_profiles) p ASOF LEFT JOIN feat f ON f.profile_id = p.profile_id AND p.d >= f.feature_date""",
     "act": """
         SELECT title_id, session_date, count(*) AS sessions, count(DISTINCT profile_id) AS unique_viewers, sum(seconds_watched) AS seconds_watched, avg(CASE WHEN is_completed THEN 1.0 ELSE 0.0 END) AS completion_rate
         FROM v_watch_sessions WHERE is_valid_session GROUP BY ALL""",
@@ -176,12 +205,41 @@ def subscription_history(v):
     return cdc.history(v("v_subscriptions_log"), "subscription_id", ["subscriber_id", "tier", "status", "started_at"])
 
 
-def popularity(v):
-    return M.title_popularity(v("v_watch_sessions"), START, END)
+def span(v) -> tuple[str, str]:
+    """The days that can have features: from the first session's to the one after the last session's (and the day where they end)."""
+    low, high = v("v_watch_sessions").agg(F.min("session_date"), F.date_add(F.max("session_date"), 2)).first()
+    return (str(low), str(high)) if low else ("1970-01-01", "1970-01-01")
+
+
+def popularity(v, start: str | None = None, end: str | None = None):
+    """Every day of the span, or [start, end)."""
+    return M.title_popularity(v("v_watch_sessions"), *((start, end) if start else span(v)))
+
+
+def day_before(day: str) -> str:
+    return str(dt.date.fromisoformat(day) - dt.timedelta(days=1))
+
+
+def feature_tables(v) -> list[DataFrame]:
+    return [v("v_watch_sessions"), v("v_profiles"), v("v_title_genres"), v("v_genres"), subscription_history(v)]
 
 
-def features(v):
-    return FT.profile_features(v("v_watch_sessions"), v("v_profiles"), v("v_title_genres"), v("v_genres"), subscription_history(v), START, END)
+def features(v, start: str, end: str, affinity: bool = True):
+    """A row for each profile and day of [start, end)."""
+    return FT.profile_features(*feature_tables(v), start, end, affinity)
+
+
+def training_set(v):
+    """All sessions with the features of their day and their title's popularity of the day before."""
+    s = v("v_watch_sessions")
+    features_ = FT.features_at(*feature_tables(v), s.filter("is_valid_session").select("profile_id", c("session_date").alias("feature_date")))
+    return FT.training_set(features_, s, stitles(v), popularity_before(v), *span(v))
+
+
+def popularity_before(v):
+    """Titles' scores of the days before their sessions."""
+    s = v("v_watch_sessions")
+    return M.title_popularity_at(s, s.filter("is_valid_session").select("title_id", F.date_sub("session_date", 1).alias("metric_date")), *span(v))
 
 
 def stitles(v):
@@ -189,7 +247,7 @@ def stitles(v):
 
 
 def catalogue(v):
-    return E.catalogue(stitles(v), ST.title_genres(v("v_title_genres")), v("v_genres"), popularity(v), v("v_title_availability"), v("v_regions"), ORD)
+    return E.catalogue(stitles(v), ST.title_genres(v("v_title_genres")), v("v_genres"), popularity(v, day_before(ORD), ORD), v("v_title_availability"), v("v_regions"), ORD)
 
 
 # --- A: sources and sinks -------------------------------------------------------------------------------------------
@@ -251,11 +309,10 @@ def a12_online_upsert(v):
     return table.read().select("key", F.get_json_object("value", "$.session_id").alias("session_id"), "updated_ts")
 
 
-@query(dsql(f"SELECT concat('feat:daily:', profile_id) AS key, sessions_7d, engagement_segment, TIMESTAMP '{ORD}' + INTERVAL 30 HOUR AS expires_at FROM feat WHERE feature_date = DATE '{ORD}' - 1"))
+@query(dsql(f"SELECT concat('feat:daily:', profile_id) AS key, sessions_7d, engagement_segment, TIMESTAMP '{ORD}' + INTERVAL 30 HOUR AS expires_at FROM feat", YESTERDAY))
 def a15_publish_daily(v):
-    day = F.date_sub(F.lit(ORD).cast("date"), 1)
-    f = features(v).filter(c("feature_date") == day)
-    rows = IO.publish_daily(f, "1997-12-31", 30, F.lit(ORD).cast("timestamp"))
+    day = day_before(ORD)
+    rows = IO.publish_daily(features(v, day, ORD), day, 30, F.lit(ORD).cast("timestamp"))
     return rows.select("key", F.get_json_object("value", "$.sessions_7d").cast("bigint").alias("sessions_7d"), F.get_json_object("value", "$.engagement_segment").alias("engagement_segment"), "expires_at")
 
 
@@ -431,41 +488,56 @@ def e10_title_popularity(v):
     return rounded(popularity(v))
 
 
-@query(dsql("SELECT * FROM pw"))
+UNTIL = "lead(feature_date) OVER (PARTITION BY profile_id ORDER BY feature_date)"
+
+
+@query(dsql(f"SELECT * EXCLUDE (feature_date), feature_date AS valid_from, {UNTIL} AS valid_to FROM pw", CHANGES))
 def e05_profile_windows(v):
-    """E05, E06, D05, D06, B30 in the fast form."""
-    return rounded(timetravel.profile_windows(v("v_watch_sessions"), v("v_profiles"), START, END))
+    """E05, E06, D05, D06, B30 over all of the history, as intervals from each change to the next."""
+    return rounded(timetravel.profile_intervals(v("v_watch_sessions")))
 
 
-@query(dsql("SELECT * FROM pw"))
+@query(dsql("SELECT * FROM pw", CHANGES))
 def d06_point_in_time_join(v):
-    """The same in the plain form: the join itself."""
-    return rounded(timetravel.profile_windows_plain(v("v_watch_sessions"), v("v_profiles"), START, END))
+    """The same in the plain form: the join itself, at the days on which something changes."""
+    s = v("v_watch_sessions")
+    return rounded(timetravel.profile_windows_at(s, timetravel.change_days(s)))
 
 
-@query(dsql("SELECT * FROM aff"))
+@query(dsql("""SELECT profile_id, feature_date AS valid_from, d AS valid_to, genre_name, share FROM aff JOIN (SELECT profile_id, d AS feature_date, lead(d) OVER (PARTITION BY profile_id ORDER BY d) AS d FROM points) n USING (profile_id, feature_date)""", GENRE_CHANGES))
 def e07_genre_affinity(v):
-    """E07, D07, D08, F08."""
-    return rounded(timetravel.genre_affinity(v("v_watch_sessions"), v("v_title_genres"), v("v_genres"), START, END))
+    """E07, D07, D08, F08 over all of the history, as intervals from each change to the next."""
+    return rounded(timetravel.genre_affinity(v("v_watch_sessions"), v("v_title_genres"), v("v_genres")))
 
 
-@query(dsql("SELECT * EXCLUDE (rn) FROM ctx"))
+@query(dsql("SELECT * FROM segs"))
 def d09_subscription_as_of(v):
-    return FT.subscription_context(subscription_history(v), START, END)
+    """D09 over all of the history: the subscription that holds on each day, as intervals."""
+    return FT.subscription_segments(subscription_history(v)).filter("known").drop("known")
 
 
-@query(dsql("SELECT * FROM feat"))
+@query(dsql(f"SELECT * EXCLUDE (feature_date, days_since_last_session, profile_age_days, tenure_days), feature_date AS valid_from, {UNTIL} AS valid_to FROM feat", ALL_CHANGES))
 def d10_profile_features(v):
-    """D10, B22, B23, B30; the affinity map is compared in e07."""
-    return rounded(features(v).drop("genre_affinity"))
+    """D10, B22, B23, B30 over all of the history, as intervals from each change to the next; ages as the days from which they count.  The affinity map is compared in e07."""
+    return rounded(FT.feature_intervals(*feature_tables(v), affinity=False))
 
 
-@query(dsql(f"""SELECT s.session_id, s.profile_id, s.title_id, s.session_date, s.engagement_label, f.sessions_30d, f.avg_completion_90d, f.engagement_segment, t.runtime_bucket, t.days_since_release, p.popularity_score
+DAILY = [f"{n}_{w}d" for w in S.FEATURE_WINDOWS for n in ("active_days", "sessions", "distinct_titles", "seconds_watched", "avg_completion", "completion_rate")] + ["avg_rebuffer_per_hour_7d", "days_since_last_session", "profile_age_days", "tenure_days", "tier_rank"]
+
+
+@query(dsql("SELECT feature_date, count(*) AS profiles, count(*) FILTER (subscription_active) AS subscribed, " + ", ".join(f"CAST(coalesce(sum(CAST({x} AS DECIMAL(18, 6))), 0) AS DOUBLE) AS {x}" for x in DAILY) + " FROM feat_daily GROUP BY feature_date", ALL_CHANGES))
+def d10_features_by_day(v):
+    """Every profile's row of every day of the span, added up for each day."""
+    sums = [F.coalesce(F.sum(c(x).cast("decimal(18,6)")).cast("double"), F.lit(0.0)).alias(x) for x in DAILY]
+    return rounded(features(v, *span(v), affinity=False)).groupBy("feature_date").agg(F.count("*").alias("profiles"), F.count_if("subscription_active").alias("subscribed"), *sums)
+
+
+@query(dsql("""SELECT s.session_id, s.profile_id, s.title_id, s.session_date, s.engagement_label, f.sessions_30d, f.avg_completion_90d, f.engagement_segment, t.runtime_bucket, t.days_since_release, p.popularity_score
     FROM feat f JOIN v_watch_sessions s ON s.profile_id = f.profile_id AND s.session_date = f.feature_date LEFT JOIN stitles t ON t.title_id = s.title_id
-         LEFT JOIN pop_daily p ON p.title_id = s.title_id AND p.metric_date = s.session_date - 1 WHERE s.is_valid_session AND s.session_date BETWEEN DATE '{START}' AND DATE '{END}'"""))
+         LEFT JOIN pop_daily p ON p.title_id = s.title_id AND p.metric_date = s.session_date - 1 WHERE s.is_valid_session""", SESSION_DAYS))
 def d12_training_set(v):
-    """D12, D13, L01."""
-    t = FT.training_set(features(v), v("v_watch_sessions"), stitles(v), popularity(v), START, END)
+    """All sessions with the features of their day."""
+    t = training_set(v)
     return rounded(t.select("session_id", "profile_id", "title_id", "session_date", "engagement_label", "sessions_30d", "avg_completion_90d", "engagement_segment", "runtime_bucket", "days_since_release", "popularity_score"))
 
 
@@ -513,34 +585,39 @@ def g03_popular_by_region(v):
     return rounded(R.popular_by_region(catalogue(v)).select("title_id", "primary_genre", "popularity_score", "region_code"))
 
 
-BASELINE_SQL = f"""SELECT s.session_id, s.profile_id, s.engagement_label, coalesce(p.popularity_score, 0) AS score FROM v_watch_sessions s
-    LEFT JOIN pop_daily p ON p.title_id = s.title_id AND p.metric_date = s.session_date - 1 WHERE s.is_valid_session AND s.session_date BETWEEN DATE '{START}' AND DATE '{END}'"""
+BASELINE_SQL = """SELECT s.session_id, s.profile_id, s.engagement_label, coalesce(p.popularity_score, 0) AS score FROM v_watch_sessions s
+    LEFT JOIN pop_daily p ON p.title_id = s.title_id AND p.metric_date = s.session_date - 1 WHERE s.is_valid_session"""
 
 
 def popularity_baseline(v):
     """Sessions with their label, scored by their title's popularity of the day before: the model that a ranker has to beat."""
-    s = v("v_watch_sessions").filter("is_valid_session").filter(c("session_date").between(F.lit(START).cast("date"), F.lit(END).cast("date")))
-    pop = popularity(v).select("title_id", F.date_add("metric_date", 1).alias("session_date"), "popularity_score")
+    s = v("v_watch_sessions").filter("is_valid_session")
+    pop = popularity_before(v).select("title_id", F.date_add("metric_date", 1).alias("session_date"), "popularity_score")
     return s.join(pop, ["title_id", "session_date"], "left").select("session_id", "profile_id", "engagement_label", F.coalesce("popularity_score", F.lit(0.0)).alias("score"))
 
 
+def watched_before(v):
+    """What a list of the day may know: sessions of the days before."""
+    return v("v_watch_sessions").filter(c("session_date") < F.lit(ORD).cast("date"))
+
+
 def profile_regions(v):
     regions = v("v_regions").select("region_code", c("region_id").cast("bigint").alias("r"))
     return v("v_profiles").select("profile_id", (c("profile_id") % 5).alias("r")).join(F.broadcast(regions), "r").drop("r")
 
 
-@query(dsql("""SELECT profile_id, rank, title_id, round(score, 4) AS score, primary_genre FROM (
+@query(dsql("""SELECT profile_id, rank, title_id, CAST(round(CAST(score AS DECIMAL(18, 6)), 4) AS DOUBLE) AS score, primary_genre FROM (
     SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY score DESC, rr, title_id) AS rank FROM (
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id, primary_genre ORDER BY score DESC, rr, title_id) AS g FROM (
             SELECT p.profile_id, x.title_id, x.primary_genre, x.popularity_score AS score, x.rr FROM v_profiles p JOIN v_regions r ON r.region_id = p.profile_id % 5 JOIN (
                 SELECT *, row_number() OVER (PARTITION BY region_code ORDER BY popularity_score DESC, title_id) AS rr FROM (SELECT title_id, primary_genre, popularity_score, unnest(regions) AS region_code FROM cat) y QUALIFY rr <= 400) x
                 ON x.region_code = r.region_code) r
-             WHERE NOT EXISTS (SELECT 1 FROM v_watch_sessions w WHERE w.profile_id = r.profile_id AND w.title_id = r.title_id)) a WHERE g <= 3) b) d WHERE rank <= 20"""))
+             WHERE NOT EXISTS (SELECT 1 FROM v_watch_sessions w WHERE w.profile_id = r.profile_id AND w.title_id = r.title_id AND w.session_date < DATE '"""+ORD+"""')) a WHERE g <= 3) b) d WHERE rank <= 20"""))
 def l15_presentation(v):
-    """L15, B27, F10, G01, G02 over each profile's popular candidates: suppress what was watched, cap each genre at three, cut at twenty."""
+    """L15, B27, F10, G01, G02 over each profile's popular candidates: suppress what was watched before the day, cap each genre at three, cut at twenty."""
     cat = catalogue(v)
     found = R.cold_start(profile_regions(v), cat, CANDIDATES).withColumnRenamed("retrieval_score", "score").join(cat.select("title_id", "primary_genre"), "title_id")
-    return rounded(R.presented(found, v("v_watch_sessions"), 20).drop("reason"))
+    return rounded(R.presented(found, watched_before(v), 20).drop("reason"))
 
 
 @query(dsql(f"""SELECT round(avg(dcg / ideal), 6) AS ndcg, count(*) AS groups FROM (
@@ -619,34 +696,32 @@ def primary_genres(v):
 
 
 def scored_holdout(v):
-    """(model, feature order, defaults, all features, scored holdout rows): trees fitted on all but the last fortnight of the training set."""
+    """(model, feature order, defaults, scored holdout rows): trees fitted on all but the last fortnight of the training set."""
     from kinolytics.sources.shared import stored
 
-    f = stored(features(v))
-    t = FT.training_set(f, v("v_watch_sessions"), stitles(v), popularity(v), START, END)
-    t = stored(R.with_own_genre(t.join(primary_genres(v), "title_id", "left")))
+    t = stored(R.with_own_genre(training_set(v).join(primary_genres(v), "title_id", "left")))
     train, valid = FT.temporal_split(t)
     model, names, defaults = R.fit_ranker(train, valid, 20)
-    return model, names, defaults, f, R.scored(model, valid, names, defaults)
+    return model, names, defaults, R.scored(model, valid, names, defaults)
 
 
 @query()
 def l12_recommendations(v):
     """L11–L16, D19, D20 for all profiles in one plan: vectors, candidates with fallback, the day's features (none: defaults), the ranker's scores, presentation."""
-    model, names, defaults, f, _ = scored_holdout(v)
+    model, names, defaults, _ = scored_holdout(v)
     cat, u = catalogue(v), unit_vectors(v)
     found = R.candidates(profile_regions(v), E.profile_vectors(E.history_of(v("v_watch_sessions"), ORD), u), u, cat, CANDIDATES)
     titles = stitles(v).select("title_id", "content_type", "runtime_bucket", "is_original", "days_since_release")
     rows = found.join(cat.select("title_id", "primary_genre", "popularity_score"), "title_id").join(titles, "title_id")
-    today = f.filter(c("feature_date") == F.date_sub(F.lit(END).cast("date"), 1))
+    today = features(v, day_before(ORD), ORD)
     ranked = R.scored(model, R.with_own_genre(R.ranking_rows(rows, today)), names, defaults)
-    return rounded(R.presented(ranked, v("v_watch_sessions"), 20), 4)
+    return rounded(R.presented(ranked, watched_before(v), 20), 4)
 
 
 @query()
 def l03_ranker_scores(v):
     """The holdout's sessions with the ranker's score."""
-    return rounded(scored_holdout(v)[4].select("session_id", "profile_id", "title_id", "session_date", "engagement_label", "score"))
+    return rounded(scored_holdout(v)[3].select("session_id", "profile_id", "title_id", "session_date", "engagement_label", "score"))
 
 
 @query()
@@ -654,7 +729,7 @@ def l10_model_evaluation(v):
     """L08–L10, L17 on the ranker's scores: NDCG@10, AUC, spread, and whether it may replace the popularity baseline."""
     from kinolytics.sources.shared import stored
 
-    s = stored(scored_holdout(v)[4])
+    s = stored(scored_holdout(v)[3])
     newest = F.lit(s.agg(F.max("session_date")).first()[0])
     base = popularity_baseline(v).join(s.select("session_id"), "session_id", "left_semi")
     cold = s.filter(c("profile_age_days") < 30)
@@ -666,11 +741,11 @@ def l10_model_evaluation(v):
 
 
 # --- M: checks ----------------------------------------------------------------------------------------------------------
-@query(dsql("""SELECT 'profile_not_null' AS rule, count(*) FILTER (profile_id IS NULL) AS broken, count(*) AS rows FROM feat UNION ALL SELECT 'tier_accepted', count(*) FILTER (tier NOT IN ('basic', 'standard', 'premium')), count(*) FROM feat
-    UNION ALL SELECT 'segment_accepted', count(*) FILTER (engagement_segment NOT IN ('dormant', 'occasional', 'regular', 'daily')), count(*) FROM feat UNION ALL SELECT 'completion_in_range', count(*) FILTER (avg_completion_7d NOT BETWEEN 0 AND 1), count(*) FROM feat
-    UNION ALL SELECT 'sessions_grow', count(*) FILTER (NOT (sessions_30d >= sessions_7d AND sessions_90d >= sessions_30d)), count(*) FROM feat
-    UNION ALL SELECT 'no_leak', count(*) FILTER (days_since_last_session < 1), count(*) FROM feat UNION ALL SELECT 'few_sessions', count(*) FILTER (sessions_7d > 1), count(*) FROM feat
-    UNION ALL SELECT 'not_in_future', count(*) FILTER (feature_date > DATE '"""+ORD+"""'), count(*) FROM feat"""))
+@query(dsql("""SELECT 'profile_not_null' AS rule, count(*) FILTER (profile_id IS NULL) AS broken, count(*) AS rows FROM feat_daily UNION ALL SELECT 'tier_accepted', count(*) FILTER (tier NOT IN ('basic', 'standard', 'premium')), count(*) FROM feat_daily
+    UNION ALL SELECT 'segment_accepted', count(*) FILTER (engagement_segment NOT IN ('dormant', 'occasional', 'regular', 'daily')), count(*) FROM feat_daily UNION ALL SELECT 'completion_in_range', count(*) FILTER (avg_completion_7d NOT BETWEEN 0 AND 1), count(*) FROM feat_daily
+    UNION ALL SELECT 'sessions_grow', count(*) FILTER (NOT (sessions_30d >= sessions_7d AND sessions_90d >= sessions_30d)), count(*) FROM feat_daily
+    UNION ALL SELECT 'no_leak', count(*) FILTER (days_since_last_session < 1), count(*) FROM feat_daily UNION ALL SELECT 'few_sessions', count(*) FILTER (sessions_7d > 1), count(*) FROM feat_daily
+    UNION ALL SELECT 'not_in_future', count(*) FILTER (feature_date > DATE '"""+ORD+"""'), count(*) FROM feat_daily""", ALL_CHANGES))
 def m01_feature_checks(v):
     """All rules in one pass; ``few_sessions`` is made to break."""
     rules = {
@@ -678,7 +753,7 @@ def m01_feature_checks(v):
         "completion_in_range": checks.in_range("avg_completion_7d", 0, 1), "sessions_grow": (c("sessions_30d") >= c("sessions_7d")) & (c("sessions_90d") >= c("sessions_30d")),
         "no_leak": c("days_since_last_session") >= 1, "few_sessions": c("sessions_7d") <= 1, "not_in_future": checks.not_future("feature_date", ORD),
     }
-    return checks.broken_counts(features(v), rules)
+    return checks.broken_counts(features(v, *span(v), affinity=False), rules)
 
 
 @query(dsql("SELECT l_orderkey, count(*) AS rows FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P') GROUP BY ALL"))

@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: "Now" for views over events, and for views over orders; feature days of the latter are the year before, as one build of it would take.
+#: "Now" for views over events, and for views over orders (the day after their last session).
 AS_OF_EVENTS = "2024-01-31"
-AS_OF_ORDERS = "1998-01-01"
-SPINE_START = "1997-01-01"
+AS_OF_ORDERS = "2001-11-05"
 
 #: Both engines run the same select lists; what differs between their dialects is filled in.
 _SPARK = {

@@ -100,21 +100,29 @@ def sessions_on(spark, ages, day):
 def test_window_edges(spark):
     day = DAY(2024, 6, 1)
     s, p = sessions_on(spark, [0, 1, 7, 8, 90, 91], day), spark.createDataFrame([(1,), (2,)], "profile_id bigint")
-    for f in (timetravel.profile_windows, timetravel.profile_windows_plain):
+    for f in (timetravel.profile_windows, plain_windows):
         got = f(s, p, "2024-06-01", "2024-06-02")
-        assert rows(got, "profile_id", "sessions_7d", "sessions_30d", "sessions_90d", "days_since_last_session") == [(1, 2, 3, 4, 1), (2, 0, 0, 0, None)]
+        assert rows(got, "profile_id", "sessions_7d", "sessions_30d", "sessions_90d", "last_session_date") == [(1, 2, 3, 4, DAY(2024, 5, 31)), (2, 0, 0, 0, None)]
 
 
-@settings(max_examples=8, deadline=None)
+def plain_windows(sessions, profiles, start, end):
+    return timetravel.profile_windows_at(sessions, profiles.crossJoin(timetravel.date_spine(sessions, start, end)))
+
+
+def near(df):
+    return sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in (r[n] for n in sorted(df.columns))) for r in df.collect())
+
+
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 4), st.integers(0, 120)), max_size=25))
 def test_fast_windows_equal_plain_ones(spark, entries):
     day = DAY(2024, 6, 1)
     s = spark.createDataFrame([(p, f"s{k}", t, day - dt.timedelta(days=a), 60 * t, t / 4, t > 3, True, float(a)) for k, (p, t, a) in enumerate(entries)], SESSION)
     p = spark.createDataFrame([(1,), (2,), (3,)], "profile_id bigint")
-    order = sorted(timetravel.profile_windows_plain(s, p, "2024-05-20", "2024-06-01").columns)
-    plain, fast = (f(s, p, "2024-05-20", "2024-06-01") for f in (timetravel.profile_windows_plain, timetravel.profile_windows))
-    near = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else str(v) for v in (r[n] for n in order)) for r in df.collect())
-    assert near(plain) == near(fast)
+    assert near(plain_windows(s, p, "2024-05-20", "2024-06-01")) == near(timetravel.profile_windows(s, p, "2024-05-20", "2024-06-01"))
+    # intervals of the whole history, listed by day, are the same rows wherever there are sessions in the longest window
+    every = timetravel.listed(timetravel.profile_intervals(s), "2024-01-01", "2024-12-01").filter("sessions_90d > 0")
+    assert near(every) == near(plain_windows(s, p, "2024-01-01", "2024-12-01").filter("sessions_90d > 0"))
 
 
 def test_a_session_changes_no_feature_up_to_its_day(spark):
@@ -127,8 +135,84 @@ def test_a_session_changes_no_feature_up_to_its_day(spark):
 def test_two_subscriptions_give_one_context(spark):
     t = T(2024, 1, 1)
     h = spark.createDataFrame([(1, 7, "basic", "active", t, t, None), (2, 7, "premium", "cancelled", T(2024, 2, 1), T(2024, 2, 1), None), (3, 7, "standard", "active", T(2024, 1, 15), T(2024, 1, 15), T(2024, 3, 2))], "subscription_id bigint, subscriber_id bigint, tier string, status string, started_at timestamp, valid_from timestamp, valid_to timestamp")
-    got = FT.subscription_context(h, "2024-03-01", "2024-03-03")
-    assert rows(got, "feature_date", "tier", "is_active", "tenure_days") == [(DAY(2024, 3, 1), "standard", True, 46), (DAY(2024, 3, 2), "basic", True, 61)]
+    got = FT.subscription_segments(h.withColumn("__lsn", c("subscription_id")))
+    march = timetravel.listed(got, "2024-03-01", "2024-03-03").withColumn("tenure_days", F.datediff("feature_date", "started_on"))
+    assert rows(march, "feature_date", "tier", "is_active", "tenure_days") == [(DAY(2024, 3, 1), "standard", True, 46), (DAY(2024, 3, 2), "basic", True, 61)]
+    assert rows(got, "valid_from", "valid_to", "tier") == [(DAY(2024, 1, 1), DAY(2024, 1, 15), "basic"), (DAY(2024, 1, 15), DAY(2024, 3, 2), "standard"), (DAY(2024, 3, 2), None, "basic")]
+
+
+HISTORY = "subscriber_id bigint, tier string, status string, started_at timestamp, valid_from timestamp, valid_to timestamp, __lsn bigint"
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.sampled_from(["basic", "premium"]), st.booleans(), st.integers(0, 3), st.integers(0, 30), st.one_of(st.none(), st.integers(-2, 12))), max_size=20))
+def test_segments_equal_a_choice_on_every_day(spark, entries):
+    day = lambda k: T(2024, 1, 1) + dt.timedelta(days=k)
+    held = [(who, tier, "active" if on else "paused", day(s), day(a), None if n is None else day(a + n), k) for k, (who, tier, on, s, a, n) in enumerate(entries)]
+    want = set()
+    for who in (1, 2, 3):
+        for d in range(60):
+            live = [h for h in held if h[0] == who and h[4] <= day(d) and (h[5] is None or day(d) < h[5])]
+            if live:
+                best = max(live, key=lambda h: (h[2] == "active", h[3], h[4], h[6]))
+                want.add((who, day(d).date(), best[1], best[2] == "active", best[3].date()))
+    segments = FT.subscription_segments(spark.createDataFrame(held, HISTORY))
+    got = timetravel.listed(segments.filter("known"), "2024-01-01", "2024-03-01")
+    assert set(rows(got, "subscriber_id", "feature_date", "tier", "is_active", "started_on")) == want and got.count() == len(want)
+    s = sorted((r for r in segments.collect()), key=lambda r: (r["subscriber_id"], r["valid_from"]))
+    for a, b in zip(s, s[1:], strict=False):  # contiguous, and neighbours differ
+        assert a["subscriber_id"] != b["subscriber_id"] or (a["valid_to"] == b["valid_from"] and tuple(a)[3:] != tuple(b)[3:])
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 2), st.integers(0, 3), st.integers(0, 200)), max_size=15))
+def test_features_of_days_points_and_intervals_agree(spark, entries):
+    """Each form against the plain one: windows by the join, affinity by loops."""
+    start = DAY(2024, 1, 1)
+    s = spark.createDataFrame([(p, f"s{k}", t, start + dt.timedelta(days=a), 60 + 10 * t, t / 4, t > 2, True, 1.0) for k, (p, t, a) in enumerate(entries)], SESSION)
+    p = spark.createDataFrame([(1, 1), (2, 2)], "profile_id bigint, subscriber_id bigint")
+    tg, g = spark.createDataFrame([(0, 1), (1, 1), (1, 2), (2, 2)], "title_id bigint, genre_id int"), spark.createDataFrame([(1, "a"), (2, "b")], "genre_id int, genre_name string")
+    h = spark.createDataFrame([(1, "basic", "active", T(2024, 1, 5), T(2024, 2, 1), T(2024, 3, 1), 1)], HISTORY)
+    days = FT.profile_features(s, p, tg, g, h, "2024-04-01", "2024-04-20")
+    points = p.crossJoin(timetravel.date_spine(s, "2024-04-01", "2024-04-20")).select("profile_id", "feature_date")
+    assert near(days) == near(FT.features_at(s, p, tg, g, h, points)) and days.count() == 38
+    names = [x for x in plain_windows(s, p, "2024-04-01", "2024-04-20").columns if x in days.columns]
+    assert near(days.select(*names)) == near(plain_windows(s, p.select("profile_id"), "2024-04-01", "2024-04-20").select(*names))
+    genres = {0: "a", 1: "ab", 2: "b", 3: ""}
+    for r in days.collect():
+        seen: dict = {}
+        for who, t, a in entries:
+            if who == r["profile_id"] and 0 < (r["feature_date"] - start).days - a <= 90:
+                for x in genres[t]:
+                    seen[x] = seen.get(x, 0) + 60 + 10 * t
+        assert r["genre_affinity"] == {x: pytest.approx(n / sum(seen.values()), abs=6e-5) for x, n in seen.items()}
+    spans = FT.feature_intervals(s, p, tg, g, h)
+    listed = timetravel.listed(spans, "2024-04-01", "2024-04-20").filter("sessions_90d > 0").select("profile_id", "feature_date", "sessions_7d", "genre_affinity", "tier", "last_session_date")
+    other = days.filter("sessions_90d > 0").select("profile_id", "feature_date", "sessions_7d", "genre_affinity", "tier", F.date_sub("feature_date", c("days_since_last_session")).alias("last_session_date"))
+    assert near(listed) == near(other)
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 300), st.integers(1, 9)), min_size=1, max_size=25, unique_by=lambda x: x[:2]))
+def test_popularity_by_marks_equals_sums_over_days(spark, entries):
+    start = DAY(2024, 1, 1)
+    a = spark.createDataFrame([(t, start + dt.timedelta(days=d), n, n + 1, 10 * n, n / 10) for t, d, n in entries], "title_id bigint, session_date date, sessions bigint, unique_viewers bigint, seconds_watched bigint, completion_rate double")
+    want = {}
+    for x in range(20, 200):
+        for t in (1, 2, 3):
+            seen = [(x - d, n) for u, d, n in entries if u == t and 0 < x - d <= 60]
+            if seen:
+                month = [n / 10 for age, n in seen if age <= 30]
+                want[(t, start + dt.timedelta(days=x))] = (sum(n * 0.5 ** (age / 14) for age, n in seen), sum(n for age, n in seen if age <= 7), sum(month) / len(month) if month else None)
+    low, high = str(start + dt.timedelta(days=20)), str(start + dt.timedelta(days=200))
+    got = {(r["title_id"], r["metric_date"]): (r["weighted_sessions"], r["sessions_7d"], r["completion_rate_30d"]) for r in timetravel.popularity_windows(a, low, high).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    points = spark.createDataFrame([(t, start + dt.timedelta(days=x)) for t in (1, 2, 3) for x in range(20, 200, 7)], "title_id bigint, metric_date date")
+    score = {(r["title_id"], r["metric_date"]): r["popularity_score"] for r in timetravel.popularity_at(a, points, low, high).collect()}
+    best: dict = {}
+    for (_, day), v in want.items():
+        best[day] = max(best.get(day, 0), v[0])
+    assert score == {k: pytest.approx(v[0] / best[k[1]], abs=1e-6) for k, v in want.items() if (k[1] - start).days % 7 == 6}
 
 
 def test_missing_day_shifts_rows_but_not_dates(spark):

@@ -259,7 +259,8 @@ def test_days_of_intervals_equal_the_range_join(spark):
     t = lambda d, h=0: T(2024, 1, d, h)
     h = spark.createDataFrame([(1, t(1), t(3)), (2, t(5, 13), None), (3, t(4), t(4, 9)), (4, T(2023, 1, 1), T(2025, 1, 1)), (5, t(9), t(20)), (6, t(7), t(5))], "k int, valid_from timestamp, valid_to timestamp")
     days = timetravel.date_spine(h, "2024-01-02", "2024-01-10")
-    assert rows(FT.each_day(h, "2024-01-02", "2024-01-10"), "k", "feature_date") == rows(h.join(days, cdc.as_of(h, days["feature_date"])), "k", "feature_date")
+    cut = h.withColumns({x: F.to_date(x) for x in ("valid_from", "valid_to")})
+    assert rows(timetravel.listed(cut, "2024-01-02", "2024-01-10"), "k", "feature_date") == rows(h.join(days, cdc.as_of(h, days["feature_date"])), "k", "feature_date")
 
 
 def test_job_gates_backfills_and_audits(spark, sf_dir, tmp_path):
