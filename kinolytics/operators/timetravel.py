@@ -113,6 +113,24 @@ def last_of_day(totals: DataFrame) -> DataFrame:
     return totals.filter("until is null or until > at")
 
 
+def totals_on(marks: DataFrame, day: str, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """The state of a day: (profile_id, d_<total>_<window>..., seen, follows) of every profile whose longest window is not empty then."""
+    names = [x for x in marks.columns if x.startswith("d_")]
+    until = marks.filter(c("at") <= F.unix_date(F.lit(day).cast("date")))
+    sums = until.groupBy("profile_id").agg(*[F.coalesce(F.sum(x), F.lit(0)).cast(marks.schema[x].dataType).alias(x) for x in names], F.max("seen").alias("seen"), F.coalesce(F.max("follows"), F.min("seen")).alias("follows"))
+    return sums.filter(c(f"d_rows_{max(windows)}") > 0)
+
+
+def resumed(state: DataFrame, sessions: DataFrame, day: str, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
+    """Marks after ``day`` on top of the state of that day: what ``window_marks`` over all sessions would go on with.
+
+    What enters or leaves a window after the day lies in sessions from its longest window on; nothing older is read.
+    """
+    first = F.lit(day).cast("date")
+    marks = window_marks(sessions.filter(c("session_date") >= F.date_sub(first, max(windows))), windows).filter(c("at") > F.unix_date(first))
+    return state.withColumn("at", F.unix_date(first)).unionByName(marks)
+
+
 def window_values(windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> list[Column]:
     """The features of a row of totals."""
     longest, shortest = max(windows), min(windows)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
 from kinolytics.functions import expressions as X
-from kinolytics.operators.timetravel import genre_affinity, last_of_day, listed, running_windows, window_marks, window_values
+from kinolytics.operators.timetravel import genre_affinity, last_of_day, listed, resumed, running_windows, totals_on, window_marks, window_values
 from kinolytics.sources.shared import stored
 
 c = F.col
@@ -93,13 +94,13 @@ def affinity_maps(sessions: DataFrame, title_genres: DataFrame, genres: DataFram
     return shares.unionByName(ends, allowMissingColumns=True).groupBy("profile_id", F.unix_date("valid_from").alias("at")).agg(F.map_from_entries(entries).alias("genre_affinity"))
 
 
-def feature_rows(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, asked: DataFrame, affinity: bool = True) -> DataFrame:
+def feature_rows(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, asked: DataFrame, affinity: bool = True, marks: DataFrame | None = None) -> DataFrame:
     """What is known of each profile on every day on which something changes, and on the days of ``asked`` (profile_id, at; its rows are flagged ``asked``).
 
     Marks of the windows, days of new affinities, segments of the subscription and what is asked for are rows of one order for each profile: no day is joined with a span of days.
-    Maps are looked up last, by the day from which they hold.
+    Maps are looked up last, by the day from which they hold.  ``marks`` are the windows' marks where they are known already.
     """
-    every = window_marks(sessions)
+    every = window_marks(sessions) if marks is None else marks
     segments = profiles.select("profile_id", "subscriber_id").join(subscription_segments(history), "subscriber_id")
     context = segments.select("profile_id", F.unix_date("valid_from").alias("at"), F.struct("tier", "tier_rank", "is_active", "started_on").alias("context"))
     every = every.unionByName(context, allowMissingColumns=True).unionByName(asked.select("profile_id", "at", F.lit(True).alias("asked")), allowMissingColumns=True)
@@ -140,15 +141,52 @@ def features_at(sessions: DataFrame, profiles: DataFrame, title_genres: DataFram
     return known.select(c("valid_from").alias("feature_date"), "profile_id", "subscriber_id", *_columns(known, c("valid_from")))
 
 
-def profile_features(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, start: str, end: str, affinity: bool = True) -> DataFrame:
-    """One row for each profile and day of [start, end); everything is known strictly before the day.  Reads the sessions from 90 days before ``start`` on."""
+def profile_features(sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame, start: str, end: str, affinity: bool = True, marks: DataFrame | None = None) -> DataFrame:
+    """One row for each profile and day of [start, end); everything is known strictly before the day.  Reads the sessions from 90 days before ``start`` on (``marks``: see ``feature_rows``)."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     near = sessions.filter((c("session_date") < last) & (c("session_date") >= F.date_sub(first, max(S.FEATURE_WINDOWS))))
-    known = last_of_day(feature_rows(near, profiles, title_genres, genres, history, profiles.select("profile_id", F.unix_date(first).alias("at")), affinity))
+    known = last_of_day(feature_rows(near, profiles, title_genres, genres, history, profiles.select("profile_id", F.unix_date(first).alias("at")), affinity, marks))
     days = listed(known, start, end)
     return days.select("feature_date", "profile_id", "subscriber_id", *_columns(days, c("feature_date")))
 
 
+class FeatureTable:
+    """The daily feature table as folders of days, built once and then extended by the days that are missing.
+
+    Beside the features lies the windows' state of the last day that was built.  An extension adds to it what enters and takes away what leaves; it reads the sessions of the
+    longest window before the first new day and of the new days, whatever lies before.  State is written before the features' newest day is (the high-water mark), and a repeated
+    run writes the same days again, so a run that was lost is simply started anew.
+    """
+
+    def __init__(self, path: str):
+        self.features, self.states = f"{path}/features", f"{path}/states"
+
+    def begin(self, sessions: DataFrame, day: str) -> None:
+        """The state of ``day`` from all sessions before it: features begin the day after."""
+        totals_on(window_marks(sessions.filter(c("session_date") < F.lit(day).cast("date"))), day).write.mode("overwrite").parquet(f"{self.states}/{day}")
+
+    def extend(self, day: str, until: str, sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame) -> None:
+        """Features of the days after ``day``, whose state is there, up to and including ``until``."""
+        spark = sessions.sparkSession
+        first = F.lit(day).cast("date")
+        near = sessions.filter((c("session_date") >= F.date_sub(first, max(S.FEATURE_WINDOWS))) & (c("session_date") < F.lit(until).cast("date")))
+        marks = resumed(spark.read.parquet(f"{self.states}/{day}"), near, day)
+        totals_on(marks, until).write.mode("overwrite").parquet(f"{self.states}/{until}")
+        new = profile_features(near, profiles, title_genres, genres, history, _after(day), _after(until), marks=marks)
+        new.repartition("feature_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("feature_date").parquet(self.features)
+
+    def newest(self, spark: SparkSession) -> str:
+        """The last day that has features."""
+        return str(spark.read.parquet(self.features).agg(F.max("feature_date")).first()[0])
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.features).withColumn("feature_date", c("feature_date").cast("date"))
+
+
+def _after(day: str) -> str:
+    return str(dt.date.fromisoformat(day) + dt.timedelta(days=1))
+
+
 def training_set(features: DataFrame, sessions: DataFrame, titles: DataFrame, popularity: DataFrame, start: str, end: str) -> DataFrame:
     """Labels with the features of their own day (which know only the days before) and the popularity of the day before."""
     s = sessions.filter("is_valid_session").filter(c("session_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))

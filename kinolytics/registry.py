@@ -562,6 +562,28 @@ def e18_high_water_mark(v):
     return v("v_watch_sessions").agg(F.coalesce(F.max("session_date"), F.lit("1900-01-01").cast("date")).alias("mark"))
 
 
+LAST_MONTH = "SELECT profile_id, d FROM v_profiles CROSS JOIN (SELECT CAST(unnest(generate_series(max(session_date) - 29, max(session_date) + 1, INTERVAL 1 DAY)) AS DATE) AS d FROM v_watch_sessions) m"
+
+
+@query(dsql("SELECT * EXCLUDE (last_session_date, first_session_date, started_on) FROM feat", LAST_MONTH))
+def e18_incremental_features(v):
+    """E18 and the incremental feature table: the state of a month before the end from all of the history, then three extensions, each of which reads its own days and the 90 before."""
+    from kinolytics.sources.shared import shared_dir
+
+    sessions, *tables = feature_tables(v)
+    spark = sessions.sparkSession
+    landed, last = shared_dir(spark), dt.date.fromisoformat(span(v)[1]) - dt.timedelta(days=1)
+    table, day = FT.FeatureTable(shared_dir(spark)), str(last - dt.timedelta(days=31))
+    table.begin(sessions, day)
+    sessions.filter(c("session_date") >= F.date_sub(F.lit(day).cast("date"), 90)).repartition("session_date").write.partitionBy("session_date").parquet(landed)
+    by_day = spark.read.parquet(landed)
+    for n in (20, 1, 0):
+        until = str(last - dt.timedelta(days=n))
+        table.extend(day, until, by_day, *tables)
+        day = table.newest(spark)
+    return rounded(table.read(spark).drop("genre_affinity"))
+
+
 @query(dsql("SELECT profile_id, session_date, count(*) AS rows FROM v_watch_sessions WHERE is_valid_session GROUP BY ALL"))
 def e19_group_sizes(v):
     return v("v_watch_sessions").filter("is_valid_session").groupBy("profile_id", "session_date").agg(F.count("*").alias("rows"))

@@ -192,6 +192,31 @@ def test_features_of_days_points_and_intervals_agree(spark, entries):
     assert near(listed) == near(other)
 
 
+def test_a_table_built_in_steps_equals_one_built_at_once(spark, tmp_path):
+    import random
+
+    draw = random.Random(5)
+    start = DAY(2024, 1, 1)
+    entries = [(draw.randint(1, 6), draw.randint(0, 4), draw.choice([draw.randint(0, 240), draw.randint(150, 200)])) for _ in range(160)] + [(7, 1, 3), (8, 1, 120)]
+    s = spark.createDataFrame([(p, f"s{k}", t, start + dt.timedelta(days=a), 60 + 10 * t, t / 3, t > 2, True, t / 7) for k, (p, t, a) in enumerate(entries)], SESSION)
+    s.repartition("session_date").write.partitionBy("session_date").parquet(f"{tmp_path}/s")
+    by_day = spark.read.parquet(f"{tmp_path}/s")
+    p = spark.createDataFrame([(k, k) for k in range(1, 10)], "profile_id bigint, subscriber_id bigint")
+    tg, g = spark.createDataFrame([(t, 1 + t % 2) for t in range(5)], "title_id bigint, genre_id int"), spark.createDataFrame([(1, "a"), (2, "b")], "genre_id int, genre_name string")
+    h = spark.createDataFrame([(k, "basic", "active", T(2024, 1, 5), T(2024, 2, 1), T(2024, 7, 20), k) for k in range(1, 9)], HISTORY)
+    table = FT.FeatureTable(f"file://{tmp_path}/t")
+    day = "2024-06-30"
+    table.begin(by_day, day)
+    for until in ("2024-07-01", "2024-07-18", "2024-07-19", "2024-07-31"):
+        table.extend(day, until, by_day, p, tg, g, h)
+        assert table.newest(spark) == until
+        day = until
+    # a run that is repeated changes nothing, and one day's needs no session older than the 90 days before it
+    table.extend("2024-07-18", "2024-07-19", by_day.filter("session_date between date'2024-04-19' and date'2024-07-18'"), p, tg, g, h)
+    whole = FT.profile_features(by_day, p, tg, g, h, "2024-07-01", "2024-08-01")
+    assert near(table.read(spark).select(*sorted(whole.columns))) == near(whole) and whole.count() == 31 * 9
+
+
 @settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 300), st.integers(1, 9)), min_size=1, max_size=25, unique_by=lambda x: x[:2]))
 def test_popularity_by_marks_equals_sums_over_days(spark, entries):
