@@ -36,7 +36,7 @@ class DigestArray:
 
     def __init__(self, folder: str):
         load = lambda name: np.load(os.path.join(folder, name), mmap_mode="r")
-        self.digests, self.offsets, self.strings, self.verdicts, self.lengths = (load(f"{n}.npy") for n in ("digests", "offsets", "strings", "verdicts", "lengths"))
+        self.digests, self.offsets, self.strings, self.verdicts, self.lengths, self.hosts = (load(f"{n}.npy") for n in ("digests", "offsets", "strings", "verdicts", "lengths", "hosts"))
 
     @staticmethod
     def write(folder: str, rules: dict[bytes, bool]) -> None:
@@ -51,6 +51,9 @@ class DigestArray:
         np.save(f"{folder}/strings.npy", np.frombuffer(b"".join(keys), dtype=np.uint8))
         np.save(f"{folder}/verdicts.npy", np.array([rules[k] for k in keys], dtype=bool))
         np.save(f"{folder}/lengths.npy", np.unique(np.array([len(k) - k.index(b"/") for k in keys], dtype=np.int64)))
+        hosts = [k[: k.index(b"/")] for k in keys]
+        #: The most labels and the most bytes of a rule's host.
+        np.save(f"{folder}/hosts.npy", np.array([max((h.count(b".") + 1 for h in hosts), default=0), max(map(len, hosts), default=0)], dtype=np.int64))
 
     def find(self, keys: list[bytes]) -> np.ndarray:
         """The place of each key, or -1."""
@@ -84,11 +87,12 @@ def split_url(url: str | None) -> tuple[str, str]:
 LOWER = {k: k + 32 for k in range(65, 91)}
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[bytes]:
-    """All keys that a rule for this URL can have: domains above the host, times path starts of the lengths in use.  Longest first, ties: longer host."""
-    labels = host.split(".")
+def candidates(host: str, path: str, lengths: list[int], most_labels: int, most_bytes: int) -> list[bytes]:
+    """All keys that a rule for this URL can have: domains above the host of no more labels and bytes than a rule's, times path starts of the lengths in use.  Longest first, ties: longer host."""
+    labels = host.rsplit(".", most_labels)[-most_labels:] if most_labels else []
     path_b = path.encode()
-    keys = [(".".join(labels[k:]).encode(), path_b[:n]) for k in range(len(labels)) for n in lengths if n <= len(path_b)]
+    ends = [".".join(labels[k:]).encode() for k in range(len(labels))]
+    keys = [(h, path_b[:n]) for h in ends if len(h) <= most_bytes for n in lengths if n <= len(path_b)]
     return [h + p for h, p in sorted(keys, key=lambda x: (-len(x[0]) - len(x[1]), -len(x[0])))]
 
 
@@ -109,7 +113,7 @@ def url_verdicts(urls: DataFrame, rules: list[tuple[str, str]] | DataFrame, id_c
     rule's; the longest rule wins (equal lengths: the longer host).  Without a
     rule: null and ``allow``.  Null urls and urls without ``://`` have an empty
     host and path and are allowed.  Lengths are those of UTF-8 bytes.  A verdict other than allow or block, or a rule without ``/``,
-    is an error; of equal rules, block holds.  Repeated rows, null ids and urls of any length stay, an empty table gives no rows; other columns are not read.
+    is an error; of equal rules, block holds.  Repeated rows, null ids and urls of any length stay (of a long host only as many labels as the longest rule's are looked up), an empty table gives no rows; other columns are not read.
     Rules up to ``MOST_BYTES`` go to the machines as mapped files; a larger
     table of rules is joined by digest instead, with the same result.
     """
@@ -128,12 +132,12 @@ def url_verdicts(urls: DataFrame, rules: list[tuple[str, str]] | DataFrame, id_c
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = shipped.open()
-        lengths = sorted(array.lengths.tolist(), reverse=True)
+        lengths, hosts = sorted(array.lengths.tolist(), reverse=True), array.hosts.tolist()
         for batch in batches:
             parts = [split_url(u) for u in batch.column(1).to_pylist()]
             keys, owner = [], []
             for k, (host, path) in enumerate(parts):
-                own = candidates(host, path, lengths)
+                own = candidates(host, path, lengths, *hosts)
                 keys += own
                 owner += [k] * len(own)
             at = array.find(keys)
@@ -181,9 +185,10 @@ def joined_verdicts(urls: DataFrame, rules: DataFrame, id_col: str = "page_id",
         raise ValueError(f"not a rule: {bad['verdict']} {bad['rule']}")
     rules = rules.groupBy("rule").agg(F.max("verdict").alias("verdict"))  # 'block' > 'allow'
     lengths = [r[0] for r in rules.select((F.length("rule") - F.instr("rule", "/") + 1).alias("n")).distinct().collect()]  # path lengths: a few dozen
+    most = rules.agg(F.max(F.size(F.split(F.substring_index("rule", "/", 1), "[.]"))).alias("n")).first()["n"] or 1  # labels of a rule's host
     labels = F.split("host", "[.]")
     keys = (
-        rows.select("host", "path").distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.size(labels))))
+        rows.select("host", "path").distinct().withColumn("k", F.explode(F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels))))
         .withColumn("h", F.array_join(F.slice(labels, F.col("k"), F.size(labels)), "."))
         .withColumn("n", F.explode(F.array(*map(F.lit, lengths)).cast("array<int>")))
         .filter(F.col("n") <= F.length("path"))
