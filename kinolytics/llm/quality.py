@@ -87,13 +87,18 @@ class Voters:
         self.idf = np.log1p(len(counts) / np.maximum(seen, 1)).astype(np.float32)
         self.axes = leading_axes(self.weighted(counts), DIMENSIONS)
         self.vectors = self.unit(self.weighted(counts) @ self.axes)
-        self.labels = labels.astype(np.float32)
+        self.exact = self.latent(counts)
+        self.labels = labels.astype(np.float64)
         self.prior = float(labels.mean()) if len(labels) else 0.5
 
     def weighted(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts) * self.idf
         return self.unit(np.hstack([self.unit(x[:, :FORM]), GRAM_WEIGHT * self.unit(x[:, FORM:])]))
 
+    def latent(self, counts: np.ndarray) -> np.ndarray:
+        """Latent unit vectors in double precision."""
+        return self.unit(self.weighted(counts.astype(np.float64)) @ self.axes.astype(np.float64))
+
     @staticmethod
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
@@ -101,14 +106,18 @@ class Voters:
     def scores(self, counts: np.ndarray) -> np.ndarray:
         if not len(self.labels):
             return np.full(len(counts), self.prior)
-        v = self.unit(self.weighted(counts) @ self.axes)
+        v = self.latent(counts)
         out = np.empty(len(v))
         k = min(NEIGHBOURS, len(self.labels))
         for a in range(0, len(v), 256):
-            cosine = v[a : a + 256] @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(np.float64) ** SHARPNESS + 1e-9
-            out[a : a + 256] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+            # products of blocks differ in their last digits with the block's shape: rounded, they are the same for a row alone
+            cosine = np.round(v[a : a + 256] @ self.exact.T, 9)
+            last = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+            sure, edge = cosine > last, cosine == last
+            votes = sure | (edge & (np.cumsum(edge, axis=1) <= k - sure.sum(axis=1, keepdims=True)))
+            near = np.nonzero(votes)[1].reshape(-1, k)
+            weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0) ** SHARPNESS + 1e-9
+            out[a : a + 256] = np.round((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 9)
         return np.clip(out, 0.0, 1.0)
 
 
@@ -143,7 +152,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 def quality_score(voters: Voters, text: F.Column) -> F.Column:
     """Chance of label 1, between 0 and 1; null and empty texts have no terms and are scored like any other.  Of voters at the same cosine as the last
-    of the nearest, those first in the sample's order vote; a row's score does not depend on other rows."""
+    of the nearest, those first in the sample's order vote.  Cosines are compared to nine decimals, so that a row's score does not depend on the rows of its batch.  Very long texts are read whole."""
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf("double")

@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from kinolytics.llm import infill, queries, substring_dedup, vector_codes
+from kinolytics.llm import infill, quality, queries, substring_dedup, url_filter, vector_codes
 
 DOCS = "doc_id bigint, text string, id string, block string, n string, form string, label string, kept string"
 UNIT = re.compile("[ \t\n\v\f\r]*[^ \t\n\v\f\r]+|[ \t\n\v\f\r]+")
@@ -201,3 +201,25 @@ def test_queries_on_the_smallest_tables(spark, sf_dir, name):
 def test_anchor_hashes_are_cut_to_their_width():
     assert substring_dedup.ANCHOR_BYTES <= 8
     assert substring_dedup.scheme(13) == (7, (0, 1, 3), 7)
+
+
+def test_hosts_of_any_length_cost_a_rules_labels(spark):
+    rules = [("block", "a.b.c.d.example.com/x"), ("allow", "example.com/"), ("block", "/nohost")]
+    long = "a." * 400_000 + "example.com"
+    urls = [(1, f"http://{long}/y"), (2, "http://q.a.b.c.d.example.com/xy"), (3, f"http://{long}x/y"), (4, "http://" + "z" * 500_000 + "/"), (5, "http:///nohost"), (6, "http://x./nohost/z"), (7, "http://com/"), (8, None)]
+    d = spark.createDataFrame(urls, "page_id int, url string")
+    want = {1: "example.com/", 2: "a.b.c.d.example.com/x", 3: None, 4: None, 5: "/nohost", 6: "/nohost", 7: None, 8: None}
+    assert {r["page_id"]: r["rule"] for r in url_filter.url_verdicts(d, rules).collect()} == want
+    table = spark.createDataFrame(rules, "verdict string, rule string")
+    assert {r["page_id"]: r["rule"] for r in url_filter.joined_verdicts(d, table).collect()} == want
+    assert len(url_filter.candidates("a.b.c.d", "/", [1], 2, 9)) == 2 and url_filter.candidates("a", "/", [1], 0, 0) == []
+
+
+def test_quality_of_a_row_does_not_depend_on_its_batch():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(["alpha", "beta", "gamma!", "d3lta", "| x"], int(rng.integers(1, 12)))).encode() for _ in range(300)]
+    x = np.array([quality.terms(t) for t in texts + texts[:150] + texts[:150]], dtype=np.float32)  # voters that tie
+    v = quality.Voters(x, rng.integers(0, 2, len(x)).astype(float))
+    whole = v.scores(x)
+    assert whole.tolist() == np.concatenate([v.scores(x[k : k + 1]) for k in range(len(x))]).tolist() == np.concatenate([v.scores(x[a : a + 37]) for a in range(0, len(x), 37)]).tolist()
+    assert v.scores(x[::-1])[::-1].tolist() == whole.tolist()
