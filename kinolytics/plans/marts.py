@@ -111,6 +111,15 @@ def incident_slices(sessions: DataFrame, by: list[str]) -> DataFrame:
     return sessions.filter("is_valid_session").groupBy(*by).agg(F.count("*").alias("sessions"), ratio.alias("rebuffer_seconds_per_hour"), X.share(c("had_error")).alias("error_rate"))
 
 
+def incident_same_hour(sessions: DataFrame, days: int = 7) -> DataFrame:
+    """Each location's hour of a day against the same hour of the ``days`` days before: is this bad, or is it always so at that hour?  Days without sessions then do not count."""
+    ratio = F.sum("rebuffer_seconds").cast("double") / F.nullif(F.sum("seconds_watched") / 3600.0, F.lit(0.0))
+    hourly = sessions.filter("is_valid_session and cdn_pop is not null").groupBy(c("session_date").alias("metric_date"), "cdn_pop", F.hour("session_start_ts").alias("hour")).agg(F.count("*").alias("sessions"), ratio.alias("rebuffer_seconds_per_hour"))
+    before = Window.partitionBy("cdn_pop", "hour").orderBy(F.unix_date("metric_date")).rangeBetween(-days, -1)
+    usual = F.avg("rebuffer_seconds_per_hour").over(before)
+    return hourly.select("*", F.count("metric_date").over(before).alias("days_before"), usual.alias("same_hour_before"), F.try_divide(c("rebuffer_seconds_per_hour"), F.nullif(usual, F.lit(0.0))).alias("times"))
+
+
 def title_activity(sessions: DataFrame) -> DataFrame:
     return sessions.filter("is_valid_session").groupBy("title_id", "session_date").agg(F.count("*").alias("sessions"), F.count_distinct("profile_id").alias("unique_viewers"), F.sum("seconds_watched").alias("seconds_watched"), X.share(c("is_completed")).alias("completion_rate"))
 

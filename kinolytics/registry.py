@@ -14,7 +14,9 @@ from kinolytics.operators import cdc, checks, ordering, timetravel
 from kinolytics.plans import embeddings as E
 from kinolytics.plans import features as FT
 from kinolytics.plans import marts as M
+from kinolytics.plans import pairwise as P
 from kinolytics.plans import recommend as R
+from kinolytics.plans import sketches as SK
 from kinolytics.plans import staging as ST
 from kinolytics.sources import io as IO
 from kinolytics.sources.views import AS_OF_EVENTS, AS_OF_ORDERS, duck, view
@@ -118,6 +120,9 @@ DERIVED = {
                avg(CASE WHEN had_error THEN 1.0 ELSE 0.0 END) AS error_rate, avg(CASE WHEN explicitly_abandoned THEN 1.0 ELSE 0.0 END) AS abandon_rate, avg(cdn_pop_switches) AS avg_pop_switches,
                quantile_cont(startup_ms, 0.5) AS p50_startup_ms, quantile_cont(startup_ms, 0.95) AS p95_startup_ms, quantile_cont(startup_ms, 0.99) AS p99_startup_ms
         FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL""",
+    "hourly": """
+        SELECT session_date AS metric_date, cdn_pop, CAST(hour(session_start_ts) AS INT) AS hour, count(*) AS sessions, CAST(sum(rebuffer_seconds) AS DOUBLE) / nullif(sum(seconds_watched) / 3600.0, 0) AS x
+        FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL""",
     "subs_now": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subscription_id ORDER BY __lsn DESC) AS rn FROM v_subscriptions_log) r WHERE rn = 1 AND coalesce(__deleted, 'false') = 'false'",
     "hist": """
         SELECT * FROM (SELECT subscription_id, subscriber_id, tier, status, started_at, __lsn, updated_at AS valid_from, lead(updated_at) OVER (PARTITION BY subscription_id ORDER BY __lsn) AS valid_to, __deleted
@@ -469,6 +474,37 @@ def e14_approximate_percentiles(v):
     return M.qoe_daily(fct(v), v("v_regions"), approximate=True).select("metric_date", "cdn_pop", "region_code", "p50_startup_ms", "p95_startup_ms", "p99_startup_ms")
 
 
+SKETCH_SQL = "count(*) AS sessions, count(DISTINCT profile_id) AS unique_viewers, quantile_disc(CAST(startup_ms AS BIGINT), 0.5) AS p50_startup_ms, quantile_disc(CAST(startup_ms AS BIGINT), 0.95) AS p95_startup_ms"
+
+
+@query(dsql(" UNION ALL ".join(f"""
+    SELECT {w} AS days, g.metric_date, g.cdn_pop, count(session_id) AS sessions, count(DISTINCT profile_id) AS unique_viewers, quantile_disc(CAST(startup_ms AS BIGINT), 0.5) AS p50_startup_ms, quantile_disc(CAST(startup_ms AS BIGINT), 0.95) AS p95_startup_ms
+    FROM (SELECT cdn_pop, CAST(unnest(generate_series(min(session_date), max(session_date), INTERVAL 1 DAY)) AS DATE) AS metric_date FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY cdn_pop) g
+         LEFT JOIN (SELECT * FROM fct WHERE is_valid_session) f ON f.cdn_pop = g.cdn_pop AND f.session_date <= g.metric_date AND f.session_date > g.metric_date - {w} GROUP BY g.metric_date, g.cdn_pop""" for w in (7, 30, 90))))
+def e14_sketch_windows(v):
+    """E14, E15 opt-in: viewers and startup percentiles of 7, 30 and 90 days from daily sketches, the sessions read once; groups within a sketch's exact size, as in the small tables, are exact."""
+    from kinolytics.sources.shared import stored
+
+    daily = stored(SK.daily_sketches(fct(v).filter("cdn_pop is not null"), ("cdn_pop", "region_code")))
+    pops = SK.merged(daily, ("metric_date", "cdn_pop"))
+    parts = [SK.estimates(SK.windows_of(pops, ("cdn_pop",), w)).select(F.lit(w).alias("days"), "*") for w in (7, 30, 90)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(dsql(f"SELECT session_date AS metric_date, cdn_provider, {SKETCH_SQL} FROM fct LEFT JOIN v_regions USING (region_code) WHERE is_valid_session GROUP BY ALL"))
+def e15_sketch_providers(v):
+    """E15, E25 opt-in: providers' viewers and startup percentiles from the locations' daily sketches."""
+    daily = SK.daily_sketches(fct(v)).join(v("v_regions").select("region_code", "cdn_provider"), "region_code", "left")
+    return SK.estimates(SK.merged(daily, ("metric_date", "cdn_provider")))
+
+
+@query(dsql("""SELECT a.metric_date, a.cdn_pop, a.hour, a.sessions, round(a.x, 6) AS rebuffer_seconds_per_hour, count(b.metric_date) AS days_before, round(avg(b.x), 6) AS same_hour_before, round(CAST(a.x AS DOUBLE) / nullif(avg(b.x), 0), 6) AS times
+    FROM hourly a LEFT JOIN hourly b ON b.cdn_pop = a.cdn_pop AND b.hour = a.hour AND b.metric_date < a.metric_date AND b.metric_date >= a.metric_date - 7 GROUP BY a.metric_date, a.cdn_pop, a.hour, a.sessions, a.x"""))
+def e25_same_hour(v):
+    """Each location's hour against the same hour of the seven days before."""
+    return rounded(M.incident_same_hour(fct(v)))
+
+
 @query(dsql("""SELECT session_date AS metric_date, app_version, CAST(hour(session_start_ts) AS INT) AS hour, count(*) AS sessions, round(CAST(sum(rebuffer_seconds) AS DOUBLE) / nullif(sum(seconds_watched) / 3600.0, 0), 6) AS rebuffer_seconds_per_hour,
     round(avg(CASE WHEN had_error THEN 1.0 ELSE 0.0 END), 6) AS error_rate FROM fct WHERE is_valid_session GROUP BY ALL"""))
 def e25_incident_slices(v):
@@ -684,6 +720,26 @@ def l05_nearest_titles(v):
     return rounded(E.nearest(q, u, 20, "query_id"))
 
 
+@query()
+def l06_cell_recall(v):
+    """Nearest titles through cells against the exact ones, all titles as queries: for each number of cells that are looked into, recall@20 and the share of all products that is made."""
+    from kinolytics.sources.shared import stored
+
+    u = stored(unit_vectors(v))
+    n = u.count()
+    q = u.withColumnRenamed("title_id", "query_id")
+    exact = stored(E.nearest(q, u, 20, "query_id"))
+    centres = E.fit_cells(u, max(1, round(n**0.5)))
+    lists = stored(E.in_cells(u, centres, "title_id"))
+    sizes = lists.groupBy("cell").agg(F.count("*").alias("n"))
+    out = None
+    for probes in (1, 2, 4, 8, 16, max(1, len(centres))):
+        made = E.in_cells(q, centres, "query_id", probes).groupBy("cell").agg(F.count("*").alias("asked")).join(sizes, "cell").agg((F.sum(c("asked") * c("n")) / F.lit(float(max(n, 1)) ** 2)).alias("share_of_products"))
+        one = E.recall(exact, E.nearest_in_cells(q, lists, centres, 20, probes, "query_id"), 20, "query_id").select(F.lit(probes).alias("probes"), F.lit(len(centres)).alias("cells"), "recall").crossJoin(made)
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)
+
+
 HISTORY_SQL = f"""SELECT profile_id, title_id, completion_ratio FROM (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY session_date DESC, session_id DESC) AS n FROM v_watch_sessions
     WHERE is_valid_session AND session_date < DATE '{ORD}') h WHERE n <= 50"""
 
@@ -727,6 +783,19 @@ def scored_holdout(v):
     return model, names, defaults, R.scored(model, valid, names, defaults)
 
 
+@query()
+def l03_pairwise_ranker(v):
+    """L03 with a ranking loss: NDCG@10 and AUC on the last fortnight of a ranker of NDCG-weighted pairs of each profile's sessions, and NDCG@10 of the popularity baseline there."""
+    from kinolytics.sources.shared import stored
+
+    t = stored(R.with_own_genre(training_set(v).join(primary_genres(v), "title_id", "left")))
+    train, valid = FT.temporal_split(t)
+    s = stored(P.fit_pairwise(train, valid).scored(valid))
+    base = popularity_baseline(v).join(s.select("session_id"), "session_id", "left_semi")
+    plain = R.ndcg(base, 10, ("profile_id",), tie="session_id").select(c("ndcg").alias("ndcg_of_popularity"))
+    return rounded(R.ndcg(s, 10, ("profile_id",), tie="session_id").crossJoin(R.auc(s)).crossJoin(plain))
+
+
 @query()
 def l12_recommendations(v):
     """L11–L16, D19, D20 for all profiles in one plan: vectors, candidates with fallback, the day's features (none: defaults), the ranker's scores, presentation."""
