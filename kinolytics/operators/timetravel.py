@@ -30,6 +30,11 @@ def date_spine(spark_df: DataFrame, start: str, end: str, name: str = "feature_d
     return one.select(F.explode(F.sequence(F.lit(start).cast("date"), F.date_sub(F.lit(end).cast("date"), 1))).alias(name)).filter(F.lit(start).cast("date") < F.lit(end).cast("date"))
 
 
+def mean_of(where: Column, x: str) -> Column:
+    """The mean of ``x``, to twelve decimals each, over the rows of a condition; 0 without any."""
+    return F.coalesce(F.try_divide(F.sum(F.when(where, c(x).cast(EXACT))).cast("double"), F.count(F.when(where, c(x))).cast("double")), F.lit(0.0))
+
+
 def profile_windows_at(sessions: DataFrame, points: DataFrame, windows: tuple[int, ...] = S.FEATURE_WINDOWS) -> DataFrame:
     """The definition, at points (profile_id, feature_date): left joined with the sessions of the ``max(windows)`` days before; one conditional aggregate for each window."""
     longest = max(windows)
@@ -45,11 +50,11 @@ def profile_windows_at(sessions: DataFrame, points: DataFrame, windows: tuple[in
             F.count(F.when(near, c("title_id"))).alias(f"sessions_{w}d"),
             F.count_distinct(F.when(near, c("title_id"))).alias(f"distinct_titles_{w}d"),
             F.coalesce(F.sum(F.when(near, c("seconds_watched"))), F.lit(0)).alias(f"seconds_watched_{w}d"),
-            F.coalesce(F.avg(F.when(near, c("completion_ratio"))), F.lit(0.0)).alias(f"avg_completion_{w}d"),
+            mean_of(near, "completion_ratio").alias(f"avg_completion_{w}d"),
             F.coalesce(F.avg(F.when(near, F.when(c("is_completed"), 1.0).otherwise(0.0))), F.lit(0.0)).alias(f"completion_rate_{w}d"),
         ]
     aggs += [
-        F.coalesce(F.avg(F.when(c("session_date") >= F.date_sub("feature_date", min(windows)), c("rebuffer_seconds_per_hour"))), F.lit(0.0)).alias(f"avg_rebuffer_per_hour_{min(windows)}d"),
+        mean_of(c("session_date") >= F.date_sub("feature_date", min(windows)), "rebuffer_seconds_per_hour").alias(f"avg_rebuffer_per_hour_{min(windows)}d"),
         F.max("session_date").alias("last_session_date"),
         F.min("session_date").alias("first_session_date"),
     ]
