@@ -9,18 +9,24 @@ without it), and leaves a row in ``run_results``.  A broken rule of severity err
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinolytics import schemas as S
-from kinolytics.operators import checks
+from kinolytics.operators import cdc, checks
+from kinolytics.plans import features as FT
 from kinolytics.plans import marts as M
 from kinolytics.plans import staging as ST
+from kinolytics.sources import io as IO
+from kinolytics.sources.shared import stored
 from kinolytics.sources.views import view
 
 c = F.col
@@ -55,22 +61,55 @@ class Stage:
     warn: set[str] = field(default_factory=set)
 
 
+def from_start(run: Run, df: DataFrame, day: str, before: int = 0) -> DataFrame:
+    """The days that the run builds, and ``before`` days before them."""
+    return df.filter(c(day) >= F.date_sub(F.lit(run.start).cast("date"), before)) if run.start else df
+
+
+def days_of(run: Run) -> tuple[str, str]:
+    """The first day that the run builds (of all sessions, without a start), and the day after as_of."""
+    first = run.start or str(run.built("watch_sessions").agg(F.min("session_date")).first()[0] or run.as_of)
+    return first, str(dt.date.fromisoformat(run.as_of) + dt.timedelta(days=1))
+
+
 def staged_events(run: Run) -> DataFrame:
-    return ST.playback_events(run.raw("v_playback_events_raw"), run.as_of).withColumn("event_date", F.to_date("event_ts"))
+    return ST.playback_events(from_start(run, run.raw("v_playback_events_raw"), "event_ts"), run.as_of).withColumn("event_date", F.to_date("event_ts"))
 
 
 def watch_sessions(run: Run) -> DataFrame:
-    return M.watch_sessions(run.built("staged_events").drop("_built_at"), run.raw("v_titles"))
+    """A session that began before the start keeps its day: all events of the sessions that the new days touch are read."""
+    events = run.built("staged_events").drop("_built_at")
+    if run.start:
+        touched = from_start(run, events, "event_date").select("session_id").distinct()
+        events = events.join(touched, "session_id", "left_semi")
+    return M.watch_sessions(events, run.raw("v_titles"))
 
 
 def content_performance(run: Run) -> DataFrame:
-    return M.content_performance(run.built("watch_sessions"), run.raw("v_titles"), run.raw("v_title_costs"), run.as_of, approximate=True)
+    return M.content_performance(from_start(run, run.built("watch_sessions"), "session_date"), run.raw("v_titles"), run.raw("v_title_costs"), run.as_of, approximate=True)
 
 
 def qoe_daily(run: Run) -> DataFrame:
+    """Its baselines count rows, however long ago, so all sessions are read."""
     return M.qoe_daily(run.built("watch_sessions"), run.raw("v_regions"), approximate=True)
 
 
+def title_popularity(run: Run) -> DataFrame:
+    return M.title_popularity(from_start(run, run.built("watch_sessions"), "session_date", 60), *days_of(run))
+
+
+def profile_features(run: Run) -> DataFrame:
+    history = cdc.history(run.raw("v_subscriptions_log"), "subscription_id", ["subscriber_id", "tier", "status", "started_at"])
+    sessions = from_start(run, run.built("watch_sessions"), "session_date", max(S.FEATURE_WINDOWS))
+    return FT.profile_features(sessions, run.raw("v_profiles"), run.raw("v_title_genres"), run.raw("v_genres"), history, *days_of(run))
+
+
+def published_features(run: Run) -> DataFrame:
+    """The rows of as_of for the online store."""
+    at = F.lit(run.as_of).cast("timestamp")
+    return IO.publish_daily(run.built("profile_features").drop("_built_at"), run.as_of, 30, at).withColumn("feature_date", F.lit(run.as_of).cast("date"))
+
+
 def stages() -> list[Stage]:
     """In the order in which they run."""
     return [
@@ -78,15 +117,15 @@ def stages() -> list[Stage]:
         Stage("watch_sessions", ["staged_events"], watch_sessions, "session_date", {"session_id_not_null": checks.not_null("session_id"), "completion_in_range": checks.in_range("completion_ratio", 0, 1), "spans_are_short": c("session_span_seconds") <= 86_400}, {"spans_are_short"}),
         Stage("content_performance", ["watch_sessions"], content_performance, "metric_date", {"rate_in_range": checks.in_range("completion_rate", 0, 1)}),
         Stage("qoe_daily", ["watch_sessions"], qoe_daily, "metric_date", {"sessions_positive": c("sessions") > 0}),
+        Stage("title_popularity", ["watch_sessions"], title_popularity, "metric_date", {"score_in_range": checks.in_range("popularity_score", 0, 1)}),
+        Stage("profile_features", ["watch_sessions"], profile_features, "feature_date", {"profile_not_null": checks.not_null("profile_id"), "no_leak": c("days_since_last_session") >= 1, "tier_accepted": checks.accepted("tier", S.TIERS), "segment_accepted": checks.accepted("engagement_segment", S.SEGMENTS)}),
+        Stage("published_features", ["profile_features"], published_features, "feature_date", {"key_not_null": checks.not_null("key")}),
     ]
 
 
 def write_days(run: Run, stage: Stage, df: DataFrame) -> None:
-    """Replace the days from ``start`` on, one folder each; whole table without ``start``."""
-    stamped = df.withColumn("_built_at", F.current_timestamp())
-    if run.start:
-        stamped = stamped.filter(c(stage.day) >= F.lit(run.start).cast("date"))
-    writer = stamped.repartition(stage.day).write.mode("overwrite").partitionBy(stage.day)
+    """Replace the days of ``df``, one folder each; the whole table without a start."""
+    writer = df.withColumn("_built_at", F.current_timestamp()).repartition(stage.day).write.mode("overwrite").partitionBy(stage.day)
     (writer.option("partitionOverwriteMode", "dynamic") if run.start else writer).parquet(f"{run.target}/{stage.name}")
 
 
@@ -96,7 +135,7 @@ def run_stage(run: Run, stage: Stage, broken: set[str]) -> tuple:
     if missing := [n for n in stage.needs if n in broken]:
         return "skipped", 0, 0.0, f"needs {', '.join(missing)}"
     try:
-        df = stage.build(run)
+        df = stored(from_start(run, stage.build(run), stage.day))  # worked out once, for the checks and for the table
         found = checks.verdicts(checks.broken_counts(df, stage.rules), stage.warn).collect()
         failed = [f"{r['rule']}: {r['broken']} of {r['rows']}" for r in found if r["status"] == "error"]
         if failed:
@@ -105,7 +144,7 @@ def run_stage(run: Run, stage: Stage, broken: set[str]) -> tuple:
         write_days(run, stage, df)
         status = "warn" if any(r["status"] == "warn" for r in found) else "success"
         return status, found[0]["rows"], time.monotonic() - began, None
-    except Exception as e:  # noqa: BLE001  the audit row tells; later stages that need this one are skipped
+    except (PySparkException, Py4JJavaError, ValueError) as e:  # of the data or the cluster: the audit row tells; later stages that need this one are skipped
         return "error", 0, time.monotonic() - began, str(e)
 
 

@@ -120,6 +120,7 @@ DERIVED = {
                avg(CASE WHEN had_error THEN 1.0 ELSE 0.0 END) AS error_rate, avg(CASE WHEN explicitly_abandoned THEN 1.0 ELSE 0.0 END) AS abandon_rate, avg(cdn_pop_switches) AS avg_pop_switches,
                quantile_cont(startup_ms, 0.5) AS p50_startup_ms, quantile_cont(startup_ms, 0.95) AS p95_startup_ms, quantile_cont(startup_ms, 0.99) AS p99_startup_ms
         FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL""",
+    "nights": f"SELECT CAST(unnest(generate_series(min(session_date), DATE '{EV}', INTERVAL 1 DAY)) AS DATE) AS d FROM fct",
     "hourly": """
         SELECT session_date AS metric_date, cdn_pop, CAST(hour(session_start_ts) AS INT) AS hour, count(*) AS sessions, CAST(sum(rebuffer_seconds) AS DOUBLE) / nullif(sum(seconds_watched) / 3600.0, 0) AS x
         FROM fct WHERE is_valid_session AND cdn_pop IS NOT NULL GROUP BY ALL""",
@@ -906,7 +907,10 @@ def m11_parity(v):
 @query(dsql("""SELECT stage, status, rows_affected, stamped FROM (SELECT 'staged_events' AS stage, 'success' AS status, count(*) AS rows_affected, count(*) AS stamped FROM clean_events
     UNION ALL SELECT 'watch_sessions', CASE WHEN count(*) FILTER (session_span_seconds > 86400) > 0 THEN 'warn' ELSE 'success' END, count(*), count(*) FROM fct
     UNION ALL SELECT 'content_performance', 'success', count(*), count(*) FROM (SELECT DISTINCT f.title_id, f.session_date FROM fct f JOIN v_titles USING (title_id) WHERE is_valid_session) x
-    UNION ALL SELECT 'qoe_daily', 'success', count(*), count(*) FROM qoe_d) y"""))
+    UNION ALL SELECT 'qoe_daily', 'success', count(*), count(*) FROM qoe_d
+    UNION ALL SELECT 'title_popularity', 'success', count(*), count(*) FROM (SELECT DISTINCT title_id, d FROM fct JOIN nights ON session_date < d AND session_date >= d - 60 WHERE is_valid_session) p
+    UNION ALL SELECT 'profile_features', 'success', count(*), count(*) FROM v_profiles CROSS JOIN nights
+    UNION ALL SELECT 'published_features', 'success', count(*), count(*) FROM v_profiles) y"""))
 def m13_nightly_build(v):
     """The whole job, then its last ten days again as a backfill; rows of each stage by its audit, and by what was written with a build time."""
     from kinolytics import job

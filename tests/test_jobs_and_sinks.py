@@ -275,6 +275,13 @@ def test_job_gates_backfills_and_audits(spark, sf_dir, tmp_path):
     after = spark.read.parquet(f"{run.target}/watch_sessions")
     assert rows(after.filter("session_date < date'2024-01-20'").select("session_id", "_built_at"), "session_id", "_built_at") == old
     assert after.count() == got["watch_sessions"]["rows_affected"] and after.filter("session_date >= date'2024-01-20'").agg(F.min("_built_at")).first()[0] > max(r[1] for r in old)
+    # a backfill gives the features and scores of a full build, and counts the days that it wrote
+    names = {n: sorted(x for x in run.built(n).columns if x not in ("_built_at", "genre_affinity")) for n in ("profile_features", "title_popularity")}
+    full = {n: rows(run.built(n).filter(c(job_day) >= "2024-01-29"), *names[n]) for n, job_day in (("profile_features", "feature_date"), ("title_popularity", "metric_date"))}
+    tail = job.Run(spark, sf_dir, run.target, "2024-01-31", "2024-01-29")
+    counts = {r["stage"]: r["rows_affected"] for r in job.build(tail, ["title_popularity", "profile_features", "published_features"]).collect()}
+    assert counts["profile_features"] == 3 * counts["published_features"] == len(full["profile_features"])
+    assert {n: rows(run.built(n).filter(c(d) >= "2024-01-29"), *names[n]) for n, d in (("profile_features", "feature_date"), ("title_popularity", "metric_date"))} == full
     # a broken rule stops what needs the stage, leaves the old table, stores the failing rows and says why
     plan = job.stages()
     plan[1].rules["no_seeks"] = c("seek_count") == 0
@@ -282,7 +289,7 @@ def test_job_gates_backfills_and_audits(spark, sf_dir, tmp_path):
     status = {r["stage"]: (r["status"], r["error_message"]) for r in job.build(bad, plan=plan).collect()}
     assert status["watch_sessions"][0] == "error" and "no_seeks" in status["watch_sessions"][1] and status["qoe_daily"] == ("skipped", None)
     assert spark.read.parquet(f"{run.target}/failures_watch_sessions").filter(c("run_id") == bad.run_id).count() > 0
-    assert spark.read.parquet(f"{run.target}/run_results").count() == 4 + 2 + 4
+    assert spark.read.parquet(f"{run.target}/run_results").count() == 7 + 2 + 3 + 7
     assert job.main(["--source", sf_dir, "--target", f"file://{tmp_path}/cli", "--as-of", "2024-01-31", "--only", "staged_events"]) == 0
 
 
