@@ -86,8 +86,8 @@ class Voters:
         seen = (counts > 0).sum(axis=0)
         self.idf = np.log1p(len(counts) / np.maximum(seen, 1)).astype(np.float32)
         self.axes = leading_axes(self.weighted(counts), DIMENSIONS)
-        self.vectors = self.unit(self.weighted(counts) @ self.axes)
-        self.exact = self.latent(counts)
+        # a slice at a time: the driver holds no second copy of the sample in double precision
+        self.exact = np.concatenate([self.latent(counts[a : a + 256]) for a in range(0, max(len(counts), 1), 256)])
         self.labels = labels.astype(np.float64)
         self.prior = float(labels.mean()) if len(labels) else 0.5
 
