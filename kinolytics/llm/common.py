@@ -144,12 +144,16 @@ def connected_components(spark: SparkSession, nodes: DataFrame, edges: DataFrame
     return nodes.join(label, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
 
 
+def smallest_of(classes: DataFrame, component: DataFrame, key: str) -> DataFrame:
+    """(key, head) for classes (key, id) of distinct keys: the smallest id of all classes of the same component, for (key, component) of those that are linked.  Ids may repeat."""
+    smallest = component.join(classes.select(key, "id"), key)
+    smallest = smallest.join(smallest.groupBy("component").agg(F.min("id").alias("head")), "component").select(key, "head")
+    return stored(classes.select(key, "id").join(smallest, key, "left").select(key, F.coalesce("head", "id").alias("head")))
+
+
 def smallest_ids(classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     """(key, head) for classes (key, id) of distinct keys: the smallest id of all classes that edges (src, dst) between keys lead to.  Ids may repeat."""
-    spark = classes.sparkSession
     edges = stored(edges)
     members = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    component = stored(connected_components(spark, members, edges).select(F.col("id").alias(key), "component"))
-    smallest = component.join(classes.select(key, "id"), key)
-    smallest = smallest.join(smallest.groupBy("component").agg(F.min("id").alias("head")), "component").select(key, "head")
-    return stored(classes.select(key, "id").join(smallest, key, "left").select(key, F.coalesce("head", "id").alias("head")))
+    component = stored(connected_components(classes.sparkSession, members, edges).select(F.col("id").alias(key), "component"))
+    return smallest_of(classes, component, key)

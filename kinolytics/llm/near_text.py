@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, slices, small_batches, smallest_ids, stored, utf8
+from kinolytics.llm.common import connected_components, free_name, slices, small_batches, smallest_of, stored, utf8
 from kinolytics.llm.simhash import SEED, linked_prints
 
 #: Counters of how often shingles occur, by their digests' low bits: one for so many bytes of text, within these bounds (one byte each when broadcast).
@@ -33,6 +33,8 @@ FEWEST_COUNTERS, MOST_COUNTERS = 1 << 16, 1 << 24
 HOT = 1 << 16
 #: Pairs to compare, as a multiple of the sets they come from, up to which all are compared at once.
 FEW = 8
+#: Sets of one key that a task compares with the others of the key, when all pairs are compared.
+BLOCK = 4096
 #: Similarities are quotients of whole numbers; this is less than what two that differ can be apart.
 TINY = 1e-9
 #: Words of 64 parities: bit b tells whether the set has an odd number of shingles in the b-th of 512 classes.
@@ -204,42 +206,61 @@ def golay_pairs(classes: DataFrame, similarity: float) -> DataFrame:
     return both.filter(can_link(similarity, "a_", "b_")).select("src", "dst")
 
 
+def merged(label: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels (digest, component) after new edges (src, dst) between digests: only the components that these join are worked on, as nodes of a smaller graph."""
+    side = lambda x: label.select(F.col("digest").alias(x), F.col("component").alias(f"{x}_component"))
+    links = edges.join(side("src"), "src").join(side("dst"), "dst").select(F.col("src_component").alias("src"), F.col("dst_component").alias("dst"))
+    links = stored(links.filter("src != dst").distinct())
+    nodes = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    heads = connected_components(label.sparkSession, nodes, links).select(F.col("id").alias("component"), F.col("component").alias("head"))
+    return stored(label.join(heads, "component", "left").select("digest", F.coalesce("head", "component").alias("component")))
+
+
 def linked_sets(docs: DataFrame, classes: DataFrame, keyed: DataFrame, width: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
-    """Edges (src, dst) between set digests that connect what pairs of at least that Jaccard similarity connect; each edge is such a pair.
+    """(digest, component) of set digests that pairs of at least that Jaccard similarity connect; sets without such a pair may be left out.
 
     The Golay code's candidates are verified first.  Then pairs that share a rare shingle and are not yet connected are
     compared.  While these are many, each set is compared with one other only, of those that stand for its keys the one
-    of most common keys, so that a large group of near copies is connected before its pairs are written out.
+    of most common keys, so that a large group of near copies is connected before its pairs are written out.  A round goes on with
+    the labels and with the keys that the one before it left open.  When all pairs are compared, the sets of a hot key
+    are dealt to blocks, each of which meets all others in a task of its own.
     """
-    spark = docs.sparkSession
 
     def verified(pairs: DataFrame) -> DataFrame:
         return stored(similar_pairs(stored(pairs), classes, docs, width, similarity, id_col, text_col))
 
     edges = verified(golay_pairs(classes, similarity))
-    ids = stored(keyed.select(F.col("digest").alias("id")).distinct())
+    known = keyed.select("digest").union(edges.select(F.explode(F.array("src", "dst")))).distinct()
+    label = stored(known.select("digest", F.col("digest").alias("component")))
     facts = classes.select("digest", "n", *PARITIES)
     last, stalled, k = float("inf"), 0, 0
     while True:
-        label = stored(connected_components(spark, ids, edges).select(F.col("id").alias("digest"), "component"))
+        label = merged(label, edges)
         rows = keyed.join(label, "digest")
         groups = rows.groupBy("key", "component").count().groupBy("key").agg(F.sum("count").alias("rows"), F.sum(F.col("count") * F.col("count")).alias("within"))
         groups = stored(groups.filter("rows * rows > within"))
         left = groups.agg(F.coalesce(F.sum((F.col("rows") * F.col("rows") - F.col("within")) / 2), F.lit(0))).first()[0]
         if not left:
-            return edges
-        rows = stored(rows.join(groups.select("key"), "key", "left_semi").join(facts, "digest"))
+            return label
+        rows = stored(rows.join(groups.select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks")), "key").join(facts, "digest"))
+        keyed = rows.select("key", "digest")  # keys within one component stay so
         stalled = stalled + 1 if left > last / 2 else 0
         every = left <= FEW * rows.select("digest").distinct().count() or stalled > 2
         last, k = left, k + 1
-        mate = rows if every else rows.groupBy("key").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "key"]), F.xxhash64("digest", F.lit(k))).alias("m")).select("key", "m.*")
-        pairs = rows.join(renamed(mate), "key").filter((F.col("component") != F.col("m_component")) & can_link(similarity))
+        if every:
+            own = rows.withColumn("part", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+            mate = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            pairs = own.join(renamed(mate, keep=("key", "part")), ["key", "part"])
+        else:
+            mate = rows.groupBy("key").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "key"]), F.xxhash64("digest", F.lit(k))).alias("m")).select("key", "m.*")
+            pairs = rows.join(renamed(mate), "key")
+        pairs = pairs.filter((F.col("component") != F.col("m_component")) & can_link(similarity))
         if not every:
             pairs = pairs.groupBy("digest", "m_digest").count()
             pairs = pairs.groupBy("digest").agg(F.max_by("m_digest", F.struct("count", "m_digest")).alias("m_digest"))
-        edges = edges.union(verified(pairs.select(F.least("digest", "m_digest").alias("src"), F.greatest("digest", "m_digest").alias("dst")).distinct()))
+        edges = verified(pairs.select(F.least("digest", "m_digest").alias("src"), F.greatest("digest", "m_digest").alias("dst")).distinct())
         if every:
-            return edges
+            return merged(label, edges)
 
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,8 +278,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_
     shape = [F.first(c).alias(c) for c in ("n", "print", *PARITIES)]
     classes = stored(facts.filter("id is not null").groupBy("digest").agg(F.min("id").alias("id"), *shape))
     keyed = stored(rare_shingles(docs, width, shingle_ranks(rows, counters), similarity, id_col, text_col))
-    edges = linked_sets(docs, classes, keyed, width, similarity, id_col, text_col)
-    named = smallest_ids(classes, edges, "digest")
+    named = smallest_of(classes, linked_sets(docs, classes, keyed, width, similarity, id_col, text_col), "digest")
     out = facts.select("id", "digest").join(named, "digest", "left")
     return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("head")).alias("component_id"))
 
@@ -266,5 +286,6 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_
 def keep_first(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows, with their own columns, without those whose group of near copies (``similar_groups``) has a smaller id.  Rows of a null id stay; repeated rows of a kept id all stay."""
     groups = similar_groups(docs.select(id_col, text_col), width, similarity, id_col, text_col)
-    later = groups.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_later")).distinct()
-    return docs.join(stored(later), docs[id_col] == F.col("_later"), "left_anti")
+    name = free_name(docs, "_later")
+    later = groups.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(stored(later), docs[id_col] == F.col(name), "left_anti")

@@ -294,10 +294,11 @@ def test_near_copies_of_many_changed_words(spark, monkeypatch, block):
     assert near_text.similar_groups(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("few", [8, 0])
-def test_near_copies_against_brute_force(spark, monkeypatch, few):
-    """Pairs between 0.65 and 0.9, short texts and repeated lines: linked by the exact similarity of distinct shingles, no more and no fewer."""
+@pytest.mark.parametrize(("few", "block"), [(8, 4096), (0, 3)])
+def test_near_copies_against_brute_force(spark, monkeypatch, few, block):
+    """Pairs between 0.65 and 0.9, short texts and repeated lines: linked by the exact similarity of distinct shingles, no more and no fewer, in blocks of any size."""
     monkeypatch.setattr(near_text, "FEW", few)
+    monkeypatch.setattr(near_text, "BLOCK", block)
     rng = np.random.default_rng(11)
     vocabulary = [f"w{k}" for k in range(5000)]
     texts = [None, "", "a b c d e f g h", "a b c d e f g i", "a b c d e f g h i", "one two"]
