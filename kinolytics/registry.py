@@ -288,14 +288,18 @@ def a06_dead_letters(v):
     return good.groupBy(F.lit("good").alias("kind")).agg(F.count("*").alias("rows")).unionByName(bad.groupBy(F.lit("bad").alias("kind")).agg(F.count("*").alias("rows")))
 
 
+def change_messages(log, table: str, columns: list[str]):
+    """(topic, value, lsn): the log's changes as envelopes."""
+    row, gone = F.struct(*columns), F.coalesce(c("__deleted"), F.lit("false")) == "true"
+    env = F.to_json(F.struct(F.when(gone, "d").otherwise("u").alias("op"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"), F.struct(c("__lsn").alias("lsn"), F.unix_millis("__source_ts").alias("ts_ms")).alias("source")))
+    return log.select(F.lit(f"streaming.streaming.{table}").alias("topic"), env.alias("value"), c("__lsn").alias("lsn"))
+
+
 @query(dsql("SELECT subscription_id, tier, status, CASE WHEN __deleted = 'true' THEN 'd' ELSE 'u' END AS op, __lsn AS lsn, epoch_ms(__source_ts) AS source_ms, coalesce(__deleted, 'false') AS deleted FROM v_subscriptions_log"))
 def a07_change_unwrap(v):
     """Change envelopes of the log unwrapped to rows (A07), by topic."""
     log = v("v_subscriptions_log")
-    row = F.struct("subscription_id", "tier", "status")
-    gone = c("__deleted") == "true"
-    env = F.to_json(F.struct(F.when(gone, "d").otherwise("u").alias("op"), F.when(gone, row).alias("before"), F.when(~F.coalesce(gone, F.lit(False)), row).alias("after"), F.struct(c("__lsn").alias("lsn"), F.unix_millis("__source_ts").alias("ts_ms")).alias("source")))
-    m = log.select(F.lit("streaming.streaming.subscriptions").alias("topic"), env.alias("value"))
+    m = change_messages(log, "subscriptions", ["subscription_id", "tier", "status"]).drop("lsn")
     m = m.filter(cdc.routed_table(c("topic")) == "cdc.subscriptions")
     out = cdc.unwrap(m, S.schema("subscription_id bigint, tier string, status string"))
     return out.select("subscription_id", "tier", "status", c("__op").alias("op"), c("__lsn").alias("lsn"), F.unix_millis("__source_ts").alias("source_ms"), c("__deleted").alias("deleted"))
@@ -418,6 +422,28 @@ def c05_log_history(v):
     return subscription_history(v).select("subscription_id", "tier", "status", "valid_from", "valid_to")
 
 
+@query(dsql("""SELECT h.subscription_id, h.tier, h.status, h.valid_from, h.valid_to, n.__lsn IS NOT NULL AS is_current FROM hist h
+    LEFT JOIN subs_now n ON n.subscription_id = h.subscription_id AND n.__lsn = h.__lsn"""))
+def c05_change_stream(v):
+    """C01, C05, A08, A09 as a stream: envelopes of the log in four batches, out of order and every fifth one sent twice; current rows and intervals as one build gives them."""
+    from kinolytics.sources.shared import shared_dir
+    from kinolytics.streaming.changes import ChangedTable, change_sink
+
+    log = v("v_subscriptions_log")
+    spark = log.sparkSession
+    path, mark, now, past = (shared_dir(spark) for _ in range(4))
+    m = change_messages(log, "subscriptions", ["subscription_id", "tier", "status", "updated_at"])
+    again = m.filter(c("lsn") % 5 == 0).withColumn("part", F.pmod(F.xxhash64("lsn", F.lit(1)), F.lit(4)))
+    m = m.withColumn("part", F.pmod(F.xxhash64("lsn"), F.lit(4))).union(again)
+    m.repartitionByRange(4, "part").select("topic", "value").write.parquet(path)
+    table = ChangedTable(IO.KeyedTable(spark, now), IO.KeyedTable(spark, past), S.schema("subscription_id bigint, tier string, status string, updated_at timestamp"), "subscription_id")
+    stream = spark.readStream.schema("topic string, value string").option("maxFilesPerTrigger", 1).parquet(path)
+    change_sink(stream, {"subscriptions": table}, mark, once=True).awaitTermination()
+    live = table.rows().select("subscription_id", "__lsn", F.lit(True).alias("live"))
+    out = table.intervals().join(live, ["subscription_id", "__lsn"], "left")
+    return out.select("subscription_id", "tier", "status", "valid_from", "valid_to", F.coalesce("live", F.lit(False)).alias("is_current"))
+
+
 # --- D, E, F: sessions and marts ------------------------------------------------------------------------------------------
 @query(dsql("""SELECT session_id, profile_id, title_id, session_date, session_start_ts, session_end_ts, session_span_seconds, region_code, device_type, cdn_pop, seconds_watched, round(completion_ratio, 6) AS completion_ratio,
     max_position_seconds, seek_count, pause_count, rebuffer_count, round(CAST(rebuffer_seconds AS DOUBLE), 6) AS rebuffer_seconds, round(rebuffer_seconds_per_hour, 6) AS rebuffer_seconds_per_hour, startup_ms, round(avg_bitrate_kbps, 6) AS avg_bitrate_kbps,

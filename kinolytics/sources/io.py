@@ -137,11 +137,21 @@ class KeyedTable:
         states = self._states()
         return self.spark.read.parquet(*self._folders(states[0][1])) if states else None
 
-    def upsert(self, rows: DataFrame, keys: list[str], updated: str | None = None) -> None:
-        """Insert or replace by key.  With ``updated``, the row of the highest value stays, so that an old batch that is written again changes nothing."""
+    def _bucket(self, by: list[str]) -> Column:
+        return F.pmod(F.xxhash64(*by), F.lit(self.buckets)).cast("string")
+
+    def read_touched(self, rows: DataFrame, by: list[str]) -> DataFrame | None:
+        """The table's rows in the buckets where rows lie, for a table that is dealt to buckets ``by`` these columns."""
+        states = self._states()
+        old = self._folders(states[0][1], {r[0] for r in rows.select(self._bucket(by)).distinct().collect()}) if states else []  # as many as there are buckets
+        return self.spark.read.parquet(*old) if old else None
+
+    def upsert(self, rows: DataFrame, keys: list[str], updated: str | None = None, by: list[str] | None = None) -> None:
+        """Insert or replace by key.  With ``updated``, the row of the highest value stays, so that an old batch that is written again changes nothing.
+        ``by``: those of the keys that buckets go by, always the same ones for a table."""
         states = self._states()
         at, versions = states[0] if states else (0, {})
-        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("string")
+        bucket = self._bucket(by or keys)
         rows = rows.persist()
         touched = {r[0] for r in rows.select(bucket).distinct().collect()}  # as many as there are buckets
         if not touched:
