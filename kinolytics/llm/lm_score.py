@@ -4,9 +4,9 @@ The two symbols before a token, each through its own matrix, add up to a
 predicted vector; its product with every symbol's vector, plus that symbol's
 bias, is the symbol's score.  Symbols are the most frequent tokens, more of them the
 larger the vocabulary is; all other tokens belong to classes, and a token's probability
-within its class follows from its count.  The model is trained by noise-contrastive estimation over the
-counts of all symbol triples of the training documents, and scores with the
-normalised probabilities.
+within its class follows from its count.  The model is trained by noise-contrastive estimation:
+every training token is drawn once with the two symbols before it (tokens of small corpora several times),
+and scores with the normalised probabilities.
 """
 
 from __future__ import annotations
@@ -23,15 +23,18 @@ from pyspark.sql import functions as F
 from kinolytics.llm.common import slices, small_batches, stored, utf8
 
 #: Own symbols for each doubling of the vocabulary; all other words belong to classes.
-FREQUENT = 20
-CLASSES = 96
+FREQUENT = 40
+CLASSES = 256
 SIZE = 24
-NOISE = 96
+NOISE = 64
+RATE = 0.2
+BATCH = 1024
+#: Rounds after which the trainers' models are averaged; each draws its share of a trainer's tokens.
 ROUNDS = 3
-STEPS = 500
-BATCH = 512
-#: Bytes of training text for which there is one trainer (each makes ROUNDS x STEPS x BATCH draws), so that effort grows with the corpus.
-TRAINER_BYTES = 48 << 20
+#: Draws of a trainer in all rounds, at least: tokens of a smaller corpus are drawn several times.
+LEAST_DRAWS = 768_000
+#: Bytes of training text of one trainer, on average; each draws all of its tokens, so that effort grows with the corpus.
+TRAINER_BYTES = 32 << 20
 #: Bytes of text of one group of documents, on average.
 GROUP_BYTES = 8 << 20
 END = b"\n"  # no word has white space
@@ -73,52 +76,76 @@ class Model:
         context, at = np.unique(before.astype(np.int64) * wide + last, return_inverse=True)
         total = np.empty(len(context), dtype="f4")
         vectors = self.predicted(context // wide, context % wide)
-        for k in range(0, len(context), 2048):
-            s = vectors[k : k + 2048] @ self.q.T + self.b
+        for k in range(0, len(context), 512):
+            s = vectors[k : k + 512] @ self.q.T
+            s += self.b
             top = s.max(axis=1, keepdims=True)
-            total[k : k + 2048] = top[:, 0] + np.log(np.exp(s - top).sum(axis=1))
+            s -= top
+            np.exp(s, out=s)
+            total[k : k + 512] = top[:, 0] + np.log(s.sum(axis=1))
         triple, back = np.unique(at.astype(np.int64) * wide + symbol, return_inverse=True)
         own, target = triple // wide, triple % wide
         value = np.einsum("ij,ij->i", vectors[own], self.q[target]) + self.b[target] - total[own]
         return value[back]
 
-    def trained(self, triples: np.ndarray, weight: np.ndarray, noise: np.ndarray, seed: int | list[int]) -> Model:
-        """Noise-contrastive steps with per-parameter rates on triples drawn by their counts."""
+    def trained(self, triples: np.ndarray, noise: np.ndarray, seed: int | list[int]) -> Model:
+        """Noise-contrastive steps with per-parameter rates, each over the next ``BATCH`` triples."""
         rng = np.random.default_rng(seed)
         wide = len(self.b) + 1
         r, c, q, b = (x.copy() for x in (self.r, self.c, self.q, self.b))
         past = [np.full(x.shape, 0.1, dtype="f4") for x in (r, c, q, b)]
-        edge, noise_edge = np.cumsum(weight), np.cumsum(noise)
-        log_noise = np.log(noise * NOISE).astype("f4")
+        noise_edge, log_noise = np.cumsum(noise), np.log(noise * NOISE).astype("f4")
+        place = np.arange(SIZE)
 
-        def step(x: np.ndarray, h: np.ndarray, g: np.ndarray) -> None:
-            h += g * g
-            x -= 0.05 * g / np.sqrt(h)
+        def summed(at: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+            return np.bincount((at[:, None] * SIZE + place).ravel(), g.ravel(), n * SIZE).reshape(n, SIZE).astype("f4")
 
-        for _ in range(STEPS):
-            t = triples[np.searchsorted(edge, rng.random(BATCH) * edge[-1], side="right").clip(max=len(triples) - 1)]
-            before, last, symbol = t // wide // wide, t // wide % wide, t % wide
+        for k in range(0, len(triples), BATCH):
+            t = triples[k : k + BATCH]
+            pair, symbol = t // wide, t % wide
+            before, last = pair // wide, pair % wide
             fake = np.searchsorted(noise_edge, rng.random(NOISE) * noise_edge[-1], side="right").clip(max=len(noise) - 1)
-            v = r[before] @ c[0] + r[last] @ c[1]
-            good = (v * q[symbol]).sum(axis=1) + b[symbol] - log_noise[symbol]
-            bad = v @ q[fake].T + b[fake] - log_noise[fake]
-            d_good = (1 / (1 + np.exp(-good)) - 1) / BATCH
-            d_bad = 1 / (1 + np.exp(-bad)) / BATCH
-            d_v = d_good[:, None] * q[symbol] + d_bad @ q[fake]
-            g_q, g_b = np.zeros_like(q), np.zeros_like(b)
-            np.add.at(g_q, symbol, d_good[:, None] * v)
-            np.add.at(g_q, fake, d_bad.T @ v)
-            np.add.at(g_b, symbol, d_good)
-            np.add.at(g_b, fake, d_bad.sum(axis=0))
-            g_r = np.zeros_like(r)
-            np.add.at(g_r, before, d_v @ c[0].T)
-            np.add.at(g_r, last, d_v @ c[1].T)
+            v, q_own, q_fake = r[before] @ c[0] + r[last] @ c[1], q[symbol], q[fake]
+            d_good = (1 / (1 + np.exp(log_noise[symbol] - b[symbol] - np.einsum("ij,ij->i", v, q_own))) - 1) / np.float32(BATCH)
+            d_bad = v @ q_fake.T
+            d_bad += b[fake] - log_noise[fake]
+            np.negative(d_bad, out=d_bad)
+            np.exp(d_bad, out=d_bad)
+            d_bad += 1
+            d_bad *= BATCH
+            np.reciprocal(d_bad, out=d_bad)
+            d_v = d_good[:, None] * q_own + d_bad @ q_fake
+            target = np.r_[symbol, fake]
+            g_q = summed(target, np.concatenate([d_good[:, None] * v, d_bad.T @ v]), len(b))
+            g_b = np.bincount(target, np.r_[d_good, d_bad.sum(axis=0)], len(b)).astype("f4")
+            g_r = summed(np.r_[before, last], np.concatenate([d_v @ c[0].T, d_v @ c[1].T]), len(r))
             g_c = np.stack([r[before].T @ d_v, r[last].T @ d_v])
             for x, h, g in zip((r, c, q, b), past, (g_r, g_c, g_q, g_b), strict=True):
-                step(x, h, g)
+                h += g * g
+                g /= np.sqrt(h)
+                g *= np.float32(RATE)
+                x -= g
         return Model(r, c, q, b)
 
 
+def packed(symbols: np.ndarray, start: int) -> np.ndarray:
+    """A document's symbols after two start symbols, two bytes each."""
+    return np.r_[start, start, symbols].astype("<u2")
+
+
+def triples_of(stream: np.ndarray, start: int) -> np.ndarray:
+    """The codes of all (before, last, symbol) of packed documents, one after the other, in ascending order: one for each token."""
+    s = stream.astype(np.int64)
+    code = (s[:-2] * (start + 1) + s[1:-1]) * (start + 1) + s[2:]
+    return np.sort(code[s[2:] != start])
+
+
+def draws(triples: np.ndarray, part: int, k: int) -> np.ndarray:
+    """What round ``k`` draws of a trainer's sorted triples: over all rounds each comes up equally often, once if there are ``LEAST_DRAWS``."""
+    passes = max(1, -(-LEAST_DRAWS // max(len(triples), 1)))
+    return np.random.default_rng([1, part]).permutation(np.tile(triples, passes))[k::ROUNDS]
+
+
 def held_out(id_col: str) -> Column:
     """Documents that the model does not learn from: crc32 of the id as text leaves 2 when divided by 7."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
@@ -160,7 +187,8 @@ def fit_lm(rows: DataFrame) -> tuple[Scorer, DataFrame, DataFrame]:
     """Fit on the rows of ``dealt_rows`` that are not held out; also (group, word, n) of each group's words and (word, c) over all.
 
     Each group's distinct words are counted and summed over all groups, so that the vocabulary is never whole in one place.
-    The result does not depend on how rows or tasks are arranged: parts of the triples are taken by a hash, sorted, drawn from
+    Documents are dealt to trainers by a hash; a trainer's group is its documents' symbols, two bytes for each token.
+    The result does not depend on how rows or tasks are arranged: triples are sorted, shuffled
     with a seed of the part's own, and means are sums of whole numbers.
     """
 
@@ -196,45 +224,45 @@ def fit_lm(rows: DataFrame) -> tuple[Scorer, DataFrame, DataFrame]:
     weights = np.array([*frequent.values(), *class_n], dtype=np.float64)
     scorer = Scorer(Model.start(weights), symbols, class_n, class_v, total["n"], total["v"])
 
-    def count_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = len(weights) + 1
+    start = len(weights)  # the symbol before a document's first
+    if start >= 1 << 16:
+        raise ValueError("symbols need two bytes")
+
+    def symbol_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[bytes, int] = {}
-        parts: list[np.ndarray] = []
         for b in slices(batches, "text", 8 << 20):
-            for data in utf8(b.column("text")):
+            streams: dict[int, list[bytes]] = {}
+            for part, data in zip(b.column("part").to_pylist(), utf8(b.column("text")), strict=True):
                 words = data.lower().split()
                 words.append(END)
                 if len(kept) > 300_000:
                     kept.clear()
                 for w in set(words).difference(kept):
                     kept[w] = scorer.symbol_of(w)
-                s = np.full(len(words) + 2, wide - 1, dtype=np.int64)
-                s[2:] = np.fromiter(map(kept.__getitem__, words), dtype=np.int64, count=len(words))
-                parts.append((s[:-2] * wide + s[1:-1]) * wide + s[2:])
-            code, n = np.unique(np.concatenate(parts), return_counts=True)
-            parts = []
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], names=["code", "n"])
+                streams.setdefault(part, []).append(packed(np.fromiter(map(kept.__getitem__, words), dtype=np.int64, count=len(words)), start).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([*streams], pa.int64()), pa.array([b"".join(x) for x in streams.values()], pa.binary())], names=["part", "stream"])
 
     training = rows.filter("not out")
     size = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size")).first()["size"]
     parts = max(1, -(-size // TRAINER_BYTES))
-    triples = training.select("text").mapInArrow(count_triples, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    triples = stored(triples.select("code", "n", F.pmod(F.xxhash64("code"), F.lit(parts)).alias("part")))
+    # whole documents are dealt, so that each trainer meets every kind of triple
+    dealt = training.select("text", F.pmod(F.xxhash64("id", "text", F.lit(13)), F.lit(parts)).alias("part"))
+    streams = stored(dealt.mapInArrow(symbol_streams, "part long, stream binary"))
     noise = (weights + 1) / (weights + 1).sum()
 
     def trainer(model: Model, k: int) -> Callable[[pa.Table], pa.Table]:
         def train(table: pa.Table) -> pa.Table:
-            table = table.sort_by("code")
-            n = table.column("n").to_numpy().astype(np.float64)
-            flat = model.trained(table.column("code").to_numpy(), n, noise, seed=[k, table.column("part")[0].as_py()]).flat()
-            share = n.sum() / tokens  # every training token ends one triple
+            part = table.column("part")[0].as_py()
+            triples = triples_of(np.frombuffer(b"".join(table.column("stream").to_pylist()), dtype="<u2"), start)
+            flat = model.trained(draws(triples, part, k), noise, seed=[k, part]).flat()
+            share = len(triples) / tokens  # every training token ends one triple
             return pa.table({"at": np.arange(len(flat)), "x": np.round(flat.astype(np.float64) * share * 2.0**40).astype(np.int64)})
 
         return train
 
     tokens = total["n"]
     for k in range(ROUNDS if tokens else 0):
-        mean = triples.groupBy("part").applyInArrow(trainer(scorer.model, k), "at long, x long").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # the size of the model
+        mean = streams.groupBy("part").applyInArrow(trainer(scorer.model, k), "at long, x long").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # the size of the model
         flat = np.empty(mean.num_rows)
         flat[mean.column("at").to_numpy()] = mean.column("x").to_numpy() / 2.0**40
         scorer.model = scorer.model.filled(flat)
@@ -265,7 +293,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         base, within = scorer.base(c), scorer.within(symbol, c)
         wide = len(scorer.model.b) + 1
         out = []
-        for b in docs_of.select(["id", "text", "out"]).to_batches(max_chunksize=200):
+        for b in slices(docs_of.select(["id", "text", "out"]).to_batches(), "text", 2 << 20):  # the more tokens, the more share a context
             at, cuts, start = [], [0], []
             for data in utf8(b.column("text")):
                 own = data.lower().split()

@@ -196,14 +196,14 @@ def test_lm_counts_and_normalisation(spark):
         assert got[k]["held_out"] == (zlib.crc32(str(k).encode()) % 7 == 2) and math.isfinite(got[k]["score"])
     assert got[7]["score"] > got[7]["base_score"]
     assert lm_score.lm_scores(docs(spark, [])).count() == 0
-    m = lm_score.Model.start(np.arange(1.0, 6.0)).trained(np.array([(1 * 6 + 2) * 6 + 3]), np.array([1.0]), np.full(5, 0.2), 1)
+    m = lm_score.Model.start(np.arange(1.0, 6.0)).trained(np.full(5000, (1 * 6 + 2) * 6 + 3), np.full(5, 0.2), 1)
     s = np.arange(5)
     assert np.exp(m.log_probabilities(np.full(5, 1), np.full(5, 2), s)).sum() == pytest.approx(1, abs=1e-5)
 
 
 def test_lm_scores_equal_plain_sums_and_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "FREQUENT", 3)
-    monkeypatch.setattr(lm_score, "STEPS", 20)
+    monkeypatch.setattr(lm_score, "LEAST_DRAWS", 9000)
     monkeypatch.setattr(lm_score, "TRAINER_BYTES", 2000)
     rng = np.random.default_rng(4)
     texts = [None, "", *(" ".join(f"w{k}" for k in rng.zipf(1.5, int(rng.integers(1, 60))) % 50) for _ in range(60))]
@@ -227,6 +227,30 @@ def test_lm_scores_equal_plain_sums_and_do_not_depend_on_partitions(spark, monke
         assert got[k]["score"] == pytest.approx(total, rel=1e-4, abs=1e-4)
 
 
+def test_lm_draws_every_token_equally_often():
+    rng = np.random.default_rng(3)
+    documents = [rng.integers(0, 6, n) for n in (1, 2, 40, 0, 7)]
+    stream = np.concatenate([lm_score.packed(d, 6) for d in documents])
+    plain = sorted((p[k] * 7 + p[k + 1]) * 7 + p[k + 2] for d in documents for p in [[6, 6, *d.tolist()]] for k in range(len(d)))
+    triples = lm_score.triples_of(stream, 6)
+    assert triples.tolist() == plain
+    drawn = np.concatenate([lm_score.draws(triples, 4, k) for k in range(lm_score.ROUNDS)])
+    passes = -(-lm_score.LEAST_DRAWS // len(plain))
+    assert np.sort(drawn).tolist() == np.repeat(plain, passes).tolist()
+    many = np.arange(lm_score.LEAST_DRAWS + 1)
+    assert np.array_equal(np.sort(np.concatenate([lm_score.draws(many, 0, k) for k in range(lm_score.ROUNDS)])), many)
+
+
+@pytest.mark.parametrize("trainer_bytes", [32 << 20, 500_000])
+def test_lm_beats_the_base_on_held_out_documents(spark, monkeypatch, trainer_bytes):
+    monkeypatch.setattr(lm_score, "TRAINER_BYTES", trainer_bytes)
+    got = lm_score.lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").toPandas()
+    gain = (got.score.sum() - got.base_score.sum()) / got.n_tokens.sum()
+    better = (got.score > got.base_score).mean()
+    assert gain > 0.18 and better > 0.97, (gain, better)
+    print("gain", gain, "better", better)
+
+
 def test_golay_code_meets_all_within_three_bits():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
