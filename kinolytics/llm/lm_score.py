@@ -187,7 +187,7 @@ def fit_lm(rows: DataFrame) -> tuple[Scorer, DataFrame, DataFrame]:
     """Fit on the rows of ``dealt_rows`` that are not held out; also (group, word, n) of each group's words and (word, c) over all.
 
     Each group's distinct words are counted and summed over all groups, so that the vocabulary is never whole in one place.
-    Documents are dealt to trainers by a hash; a trainer's group is its documents' symbols, two bytes for each token.
+    Documents are dealt to trainers by a hash; a trainer has one row, its documents' symbols, two bytes for each token.
     The result does not depend on how rows or tasks are arranged: triples are sorted, shuffled
     with a seed of the part's own, and means are sums of whole numbers.
     """
@@ -247,22 +247,28 @@ def fit_lm(rows: DataFrame) -> tuple[Scorer, DataFrame, DataFrame]:
     parts = max(1, -(-size // TRAINER_BYTES))
     # whole documents are dealt, so that each trainer meets every kind of triple
     dealt = training.select("text", F.pmod(F.xxhash64("id", "text", F.lit(13)), F.lit(parts)).alias("part"))
-    streams = stored(dealt.mapInArrow(symbol_streams, "part long, stream binary"))
+
+    def joined(table: pa.Table) -> pa.Table:
+        return pa.table({"part": table.column("part").slice(0, 1), "stream": pa.array([b"".join(table.column("stream").to_pylist())], pa.binary())})
+
+    # one row for each trainer, so that no round shuffles the tokens again
+    streams = stored(dealt.mapInArrow(symbol_streams, "part long, stream binary").groupBy("part").applyInArrow(joined, "part long, stream binary"))
     noise = (weights + 1) / (weights + 1).sum()
 
-    def trainer(model: Model, k: int) -> Callable[[pa.Table], pa.Table]:
-        def train(table: pa.Table) -> pa.Table:
-            part = table.column("part")[0].as_py()
-            triples = triples_of(np.frombuffer(b"".join(table.column("stream").to_pylist()), dtype="<u2"), start)
-            flat = model.trained(draws(triples, part, k), noise, seed=[k, part]).flat()
-            share = len(triples) / tokens  # every training token ends one triple
-            return pa.table({"at": np.arange(len(flat)), "x": np.round(flat.astype(np.float64) * share * 2.0**40).astype(np.int64)})
+    def trainer(model: Model, k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for part, stream in zip(b.column("part").to_pylist(), b.column("stream"), strict=True):
+                    triples = triples_of(np.frombuffer(stream.as_buffer(), dtype="<u2"), start)
+                    flat = model.trained(draws(triples, part, k), noise, seed=[k, part]).flat()
+                    share = len(triples) / tokens  # every training token ends one triple
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(np.round(flat.astype(np.float64) * share * 2.0**40).astype(np.int64))], names=["at", "x"])
 
         return train
 
     tokens = total["n"]
     for k in range(ROUNDS if tokens else 0):
-        mean = streams.groupBy("part").applyInArrow(trainer(scorer.model, k), "at long, x long").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # the size of the model
+        mean = streams.mapInArrow(trainer(scorer.model, k), "at long, x long").groupBy("at").agg(F.sum("x").alias("x")).toArrow()  # the size of the model
         flat = np.empty(mean.num_rows)
         flat[mean.column("at").to_numpy()] = mean.column("x").to_numpy() / 2.0**40
         scorer.model = scorer.model.filled(flat)
