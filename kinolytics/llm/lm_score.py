@@ -76,13 +76,13 @@ class Model:
         context, at = np.unique(before.astype(np.int64) * wide + last, return_inverse=True)
         total = np.empty(len(context), dtype="f4")
         vectors = self.predicted(context // wide, context % wide)
+        vectors_1, symbols_b, one = np.c_[vectors, np.ones(len(vectors), dtype="f4")], np.c_[self.q, self.b].T.copy(), np.ones(len(self.b), dtype="f4")
         for k in range(0, len(context), 512):
-            s = vectors[k : k + 512] @ self.q.T
-            s += self.b
+            s = vectors_1[k : k + 512] @ symbols_b
             top = s.max(axis=1, keepdims=True)
             s -= top
             np.exp(s, out=s)
-            total[k : k + 512] = top[:, 0] + np.log(s.sum(axis=1))
+            total[k : k + 512] = top[:, 0] + np.log(s @ one)
         triple, back = np.unique(at.astype(np.int64) * wide + symbol, return_inverse=True)
         own, target = triple // wide, triple % wide
         value = np.einsum("ij,ij->i", vectors[own], self.q[target]) + self.b[target] - total[own]
@@ -95,10 +95,9 @@ class Model:
         r, c, q, b = (x.copy() for x in (self.r, self.c, self.q, self.b))
         past = [np.full(x.shape, 0.1, dtype="f4") for x in (r, c, q, b)]
         noise_edge, log_noise = np.cumsum(noise), np.log(noise * NOISE).astype("f4")
-        place = np.arange(SIZE)
 
         def summed(at: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
-            return np.bincount((at[:, None] * SIZE + place).ravel(), g.ravel(), n * SIZE).reshape(n, SIZE).astype("f4")
+            return np.stack([np.bincount(at, column, n) for column in np.ascontiguousarray(g.T)], axis=1).astype("f4")
 
         for k in range(0, len(triples), BATCH):
             t = triples[k : k + BATCH]
@@ -299,7 +298,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         base, within = scorer.base(c), scorer.within(symbol, c)
         wide = len(scorer.model.b) + 1
         out = []
-        for b in slices(docs_of.select(["id", "text", "out"]).to_batches(), "text", 2 << 20):  # the more tokens, the more share a context
+        for b in slices(docs_of.select(["id", "text", "out"]).to_batches(), "text", 4 << 20):  # the more tokens, the more share a context
             at, cuts, start = [], [0], []
             for data in utf8(b.column("text")):
                 own = data.lower().split()
