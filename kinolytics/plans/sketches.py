@@ -7,7 +7,7 @@ next, and both are running merges inside a block.  So each daily sketch is merge
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -54,3 +54,63 @@ def estimates(sketches: DataFrame, quantiles: tuple[float, ...] = (0.5, 0.95)) -
     n = F.kll_sketch_get_n_bigint("startup")
     read = [F.when(n > 0, F.kll_sketch_get_quantile_bigint("startup", F.lit(q))).alias(f"p{round(100 * q)}_startup_ms") for q in quantiles]
     return sketches.select(*[x for x in sketches.columns if x not in ("viewers", "startup")], F.coalesce(F.hll_sketch_estimate("viewers"), F.lit(0)).alias("unique_viewers"), *read)
+
+
+def _together(parts: list[DataFrame], by: tuple[str, ...]) -> DataFrame:
+    """Rows of the same groups (null keys too) side by side."""
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return rows.groupBy(*by).agg(*[F.max(x).alias(x) for x in rows.columns if x not in by])
+
+
+def exact_quantiles(values: DataFrame, by: tuple[str, ...], percents: tuple[int, ...] = (50, 95)) -> DataFrame:
+    """(by, p50_startup_ms and so on): the smallest value up to which a group has at least so many hundredths of its rows.  ``values`` is (by, value, n), each value once; a group is a sorted stream."""
+    group = Window.partitionBy(*by)
+    upto = F.sum("n").over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    placed = values.select(*by, "value", upto.alias("upto"), F.sum("n").over(group).alias("all"))
+    return placed.groupBy(*by).agg(*[F.min(F.when(c("upto") * 100 >= c("all") * p, c("value"))).alias(f"p{p}_startup_ms") for p in percents])
+
+
+def _values(valid: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    return valid.filter("startup_ms is not null").groupBy(*by, c("startup_ms").cast("bigint").alias("value")).agg(F.count("*").alias("n"))
+
+
+def exact_groups(sessions: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """(by, sessions, unique_viewers, p50_startup_ms, p95_startup_ms) of valid sessions, whatever the size of a group."""
+    valid = sessions.filter("is_valid_session")
+    counts = valid.groupBy(*by).agg(F.count("*").alias("sessions"), F.count_distinct("profile_id").alias("unique_viewers"))
+    return _together([counts, exact_quantiles(_values(valid, by), by)], by)
+
+
+def exact_windows(sessions: DataFrame, by: tuple[str, ...], days: int) -> DataFrame:
+    """(metric_date, by, sessions, unique_viewers, p50_startup_ms, p95_startup_ms) of the windows of ``windows_of``, exactly.
+
+    A viewer is a mark where the days that his sessions cover begin and one where they cease, so sets are never merged; of startup times each day's
+    count of a value goes to the ``days`` windows that hold it.  ``sessions`` is read several times: store it first.
+    """
+    s = sessions.filter("is_valid_session").withColumn("day", F.unix_date("session_date"))
+    span = s.groupBy(*by).agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    ends = span.select(*[c(x).alias(f"_{x}") for x in by], c("b").alias("_b"))
+
+    def windows(rows: DataFrame) -> DataFrame:
+        """Each row for every window that its day is in, up to the group's last."""
+        same: Column = F.lit(True)
+        for x in by:
+            same = same & c(x).eqNullSafe(c(f"_{x}"))
+        held = rows.join(ends, same).withColumn("x", F.explode(F.sequence("day", F.least(c("day") + days - 1, c("_b")))))
+        return held.drop("day", "_b", *[f"_{x}" for x in by])
+
+    grid = span.select(*by, F.explode(F.sequence("a", "b")).alias("x"), F.lit(True).alias("there"), F.lit(0).cast("bigint").alias("sessions"))
+    counts = windows(s.groupBy(*by, "day").agg(F.count("*").alias("n"))).groupBy(*by, "x").agg(F.sum("n").alias("sessions"))
+    own = Window.partitionBy(*by, "profile_id").orderBy("day")
+    seen = s.filter("profile_id is not null").select(*by, "profile_id", "day").distinct().select(*by, "day", F.lag("day").over(own).alias("before"), F.lead("day").over(own).alias("after"))
+    mark = lambda at, step: F.struct(at.alias("x"), F.lit(step).cast("bigint").alias("step"))
+    enters, leaves = F.when(c("before").isNull() | (c("day") > c("before") + days), mark(c("day"), 1)), F.when(c("after").isNull() | (c("after") > c("day") + days), mark(c("day") + days, -1))
+    marks = seen.select(*by, F.explode(F.array_compact(F.array(enters, leaves))).alias("m")).select(*by, "m.x", "m.step")
+    daily = marks.unionByName(grid.select(*by, "x", "there"), allowMissingColumns=True).groupBy(*by, "x").agg(F.coalesce(F.sum("step"), F.lit(0)).alias("step"), F.max("there").alias("there"))
+    sofar = Window.partitionBy(*by).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    viewers = daily.select(*by, "x", F.sum("step").over(sofar).alias("unique_viewers"), "there").filter("there").drop("there")
+    values = windows(_values(s, (*by, "day"))).groupBy(*by, "x", "value").agg(F.sum("n").alias("n"))
+    out = _together([grid.drop("there"), counts, viewers, exact_quantiles(values, (*by, "x"))], (*by, "x"))
+    return out.select(F.date_from_unix_date("x").alias("metric_date"), *by, "sessions", "unique_viewers", "p50_startup_ms", "p95_startup_ms")
