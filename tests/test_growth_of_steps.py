@@ -7,6 +7,7 @@ import datetime as dt
 import io
 
 from kinolytics.operators import timetravel as T
+from kinolytics.plans import features as FT
 
 DAY = dt.date(2024, 1, 1)
 
@@ -34,3 +35,17 @@ def test_plain_join_copies_no_row_for_a_distinct_count(spark):
         for w in (7, 30, 90):
             near = [x for x in rows if x[0] == p and x[7] and d - dt.timedelta(days=w) <= x[2] < d]
             assert (r[f"active_days_{w}d"], r[f"sessions_{w}d"], r[f"distinct_titles_{w}d"]) == (len({x[2] for x in near}), sum(x[1] is not None for x in near), len({x[1] for x in near} - {None}))
+
+
+def test_sums_of_days_list_no_row(spark):
+    """Spans with and without an end, outside the days asked for, and without days to count from."""
+    day = lambda k: None if k is None else DAY + dt.timedelta(days=k)
+    rows = [(1, -5, 3, 2, 0.25, -9, None), (1, 3, None, None, 1.5, 1, 2), (2, 0, 12, 7, 0.1, None, -40), (2, 12, None, 1, 0.2, 11, -40), (3, 4, 4, 100, 9.0, 0, 0), (4, 20, None, 5, 1.0, 3, 3)]
+    spans = spark.createDataFrame([(p, day(a), day(b), n, x, day(last), None, day(since)) for p, a, b, n, x, last, since in rows], "profile_id bigint, valid_from date, valid_to date, n bigint, x double, last_session_date date, first_session_date date, started_on date")
+    found = FT.sums_by_day(spans, "2024-01-01", "2024-01-15", ["n", "x", "days_since_last_session", "profile_age_days", "tenure_days"])
+    assert sum("Generate" in x for x in plan(found.select("rows")).splitlines()) == 2  # two edges of a span, and the days of the sums
+    want = []
+    for k in range(14):
+        on = [r for r in rows if r[1] <= k and (r[2] is None or k < r[2])]
+        want.append((day(k), len(on), sum(r[3] or 0 for r in on), round(sum(r[4] for r in on), 6), sum(999 if r[5] is None else k - r[5] for r in on), 0, sum(0 if r[6] is None else k - r[6] for r in on)))
+    assert [(*r[:3], float(r[3]), *r[4:]) for r in found.orderBy("feature_date").collect()] == want
