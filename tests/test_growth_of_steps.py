@@ -8,6 +8,7 @@ import io
 
 from kinolytics.operators import timetravel as T
 from kinolytics.plans import features as FT
+from kinolytics.plans import marts as M
 
 DAY = dt.date(2024, 1, 1)
 
@@ -49,3 +50,19 @@ def test_sums_of_days_list_no_row(spark):
         on = [r for r in rows if r[1] <= k and (r[2] is None or k < r[2])]
         want.append((day(k), len(on), sum(r[3] or 0 for r in on), round(sum(r[4] for r in on), 6), sum(999 if r[5] is None else k - r[5] for r in on), 0, sum(0 if r[6] is None else k - r[6] for r in on)))
     assert [(*r[:3], float(r[3]), *r[4:]) for r in found.orderBy("feature_date").collect()] == want
+
+
+def test_days_of_titles_are_ranked_where_their_spans_are(spark):
+    rows = [(p, t, DAY + dt.timedelta(days=d), 60, True, True) for p, t, d in [(1, 1, 0), (2, 1, 0), (1, 2, 3), (3, 3, 9), (3, 2, 40), (2, 3, 41)]]
+    s = spark.createDataFrame(rows, "profile_id bigint, title_id bigint, session_date date, seconds_watched bigint, is_completed boolean, is_valid_session boolean")
+    found = M.title_popularity(s, "2024-01-01", "2024-02-20")
+    text = plan(found)
+    assert not any("metric_date" in x for x in text.splitlines() if "Exchange" in x) and sum(x.strip(" +-:").startswith("Sort") for x in text.splitlines()) <= 2
+    got = {(r["metric_date"], r["title_id"]): (r["popularity_rank"], r["popularity_score"], r["viewers_7d"]) for r in found.collect()}
+    want = {}
+    for k in range(50):
+        seen = {t: [k - d for _, u, d in [(r[0], r[1], (r[2] - DAY).days) for r in rows] if u == t and 0 < k - d <= 60] for t in (1, 2, 3)}
+        weight = {t: sum(0.5 ** (age / 14) for age in ages) for t, ages in seen.items() if ages}
+        for n, t in enumerate(sorted(weight, key=lambda t: (-round(weight[t], 9), t))):
+            want[(DAY + dt.timedelta(days=k), t)] = (n + 1, round(weight[t] / max(weight.values()), 6), sum(age <= 7 for age in seen[t]))
+    assert got == want
