@@ -7,10 +7,12 @@ import datetime as dt
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from kinolytics.operators import timetravel as T
 from kinolytics.plans import features as FT
 from kinolytics.plans import marts as M
+from kinolytics.plans import recommend as R
 
 DAY = dt.date(2024, 1, 1)
 
@@ -85,3 +87,15 @@ def test_no_row_of_a_genre_carries_its_profiles_days(spark):
                 for g in ("ab"[t % 2], "c"):
                     seen[g] = seen.get(g, 0) + seconds
         assert r["share"] == (pytest.approx(seen[r["genre_name"]] / sum(seen.values()), abs=6e-5) if sum(seen.values()) else None)
+
+
+def test_lists_of_equal_profiles_are_made_once(spark, monkeypatch):
+    cat = spark.createDataFrame([(t, f"g{t % 4}", 1 / (t + 1), ["EU", "US"] if t % 2 else ["EU"]) for t in range(20)], "title_id bigint, primary_genre string, popularity_score double, regions array<string>")
+    who = spark.createDataFrame([(p, "EU" if p % 3 else "US") for p in range(40)], "profile_id bigint, region_code string")
+    watched = spark.createDataFrame([(1, 0), (1, 0), (2, 0), (4, 1), (4, 2), (5, 99), (3, 0), (3, 1), (6, 3)], "profile_id bigint, title_id bigint")
+    read = lambda d: sorted(tuple(r) for r in d.select("profile_id", "rank", "title_id", "score", "primary_genre").collect())
+    plain = R.cold_start(who, cat, 10).withColumnRenamed("retrieval_score", "score").join(cat.select("title_id", "primary_genre"), "title_id")
+    want, whole, made = read(R.presented(plain, watched, 5)), R.presented, []
+    monkeypatch.setattr(R, "presented", lambda ranked, *a: made.append(ranked.count()) or whole(ranked, *a))
+    assert read(R.popular_lists(who, cat, watched, 10, 5)) == want
+    assert made == [60]  # six sets of two regions instead of forty profiles, ten candidates each
