@@ -204,8 +204,10 @@ class FeatureTable:
         self.features, self.states = f"{path}/features", f"{path}/states"
 
     def begin(self, sessions: DataFrame, day: str) -> None:
-        """The state of ``day`` from all sessions before it: features begin the day after."""
-        totals_on(window_marks(sessions.filter(c("session_date") < F.lit(day).cast("date"))), day).write.mode("overwrite").parquet(f"{self.states}/{day}")
+        """The state of ``day`` from all sessions before it: features begin the day after.  Of sessions that have left the longest window nothing is in the state, what they add and take away is equal; so they make no marks."""
+        first = F.lit(day).cast("date")
+        inside = sessions.filter((c("session_date") < first) & (c("session_date") >= F.date_sub(first, max(S.FEATURE_WINDOWS))))
+        totals_on(window_marks(inside), day).write.mode("overwrite").parquet(f"{self.states}/{day}")
 
     def extend(self, day: str, until: str, sessions: DataFrame, profiles: DataFrame, title_genres: DataFrame, genres: DataFrame, history: DataFrame) -> None:
         """Features of the days after ``day``, whose state is there, up to and including ``until``."""

@@ -99,3 +99,15 @@ def test_lists_of_equal_profiles_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(R, "presented", lambda ranked, *a: made.append(ranked.count()) or whole(ranked, *a))
     assert read(R.popular_lists(who, cat, watched, 10, 5)) == want
     assert made == [60]  # six sets of two regions instead of forty profiles, ten candidates each
+
+
+def test_state_of_a_day_makes_no_marks_of_what_has_left(spark, monkeypatch, tmp_path):
+    s = some_sessions(spark)[1]
+    day = str(DAY + dt.timedelta(days=130))
+    whole, seen = T.totals_on(T.window_marks(s.filter(F.col("session_date") < day)), day), []
+    monkeypatch.setattr(FT, "window_marks", lambda x: seen.append(x.agg(F.min("session_date")).first()[0]) or T.window_marks(x))
+    table = FT.FeatureTable(f"file://{tmp_path}/t")
+    table.begin(s, day)
+    assert seen == [min(r[2] for r in some_sessions(spark)[0] if (r[2] - DAY).days >= 40)]
+    read = lambda d: sorted(tuple(r) for r in d.select(whole.columns).collect())
+    assert read(spark.read.parquet(f"{tmp_path}/t/states/{day}")) == read(whole)
