@@ -6,6 +6,7 @@ import contextlib
 import datetime as dt
 import io
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,22 @@ def test_state_of_a_day_makes_no_marks_of_what_has_left(spark, monkeypatch, tmp_
     assert seen == [min(r[2] for r in some_sessions(spark)[0] if (r[2] - DAY).days >= 40)]
     read = lambda d: sorted(tuple(r) for r in d.select(whole.columns).collect())
     assert read(spark.read.parquet(f"{tmp_path}/t/states/{day}")) == read(whole)
+
+
+def test_decomposition_in_blocks_and_bounded_passes(spark, monkeypatch):
+    """Several blocks of rows, buckets and chunks; a spectrum with a long tail, against a plain decomposition; no more passes than set."""
+    from kinolytics.plans import decomposition as D
+
+    for name, value in (("BUCKET", 64), ("CELLS", 3000), ("NUMBERS", 900), ("SLICE", 200)):
+        monkeypatch.setattr(D, name, value)
+    rng = np.random.default_rng(5)
+    matrix = np.where(rng.random((240, 150)) < 0.3, rng.random((240, 150)), 0)
+    cells = spark.createDataFrame([(int(p), int(t), float(matrix[p, t])) for p, t in zip(*np.nonzero(matrix), strict=True)], "row bigint, at bigint, w double")
+    made, whole = [], D.multiplied
+    monkeypatch.setattr(D, "multiplied", lambda *a: made.append(a[3:]) or whole(*a))
+    found = np.array([r["vector"] for r in D.leading_vectors(cells, 150, 6).orderBy("at").collect()])
+    want = np.linalg.svd(matrix)[2][:6].T
+    assert len(made) == D.PASSES and made[0] == (4, 3)
+    assert np.allclose(found.T @ found, np.eye(6), atol=1e-6)
+    assert np.linalg.norm(matrix @ found) == pytest.approx(np.linalg.norm(matrix @ want), rel=1e-4)
+    assert (found[np.abs(found).argmax(axis=0), range(6)] > 0).all()
