@@ -16,6 +16,20 @@ from kinolytics.sources.io import KeyedTable
 from kinolytics.sources.shared import stored
 
 c = F.col
+#: Messages of one file of a replayed log, and rows of one bucket of a table kept up to date, about.
+FILE_ROWS, BUCKET_ROWS = 250_000, 250_000
+
+
+def buckets_for(rows: int, least: int = 16) -> int:
+    """Buckets of a table that will hold so many rows: their size, not their number, stays."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
+def written_in_batches(messages: DataFrame, path: str, batches: int, rows: int, by: list[str]) -> int:
+    """Write about ``rows`` messages for a stream of so many batches, in the order of ``by``; returns the files of one batch, which grow in number and not in size."""
+    files = max(1, -(-rows // (batches * FILE_ROWS)))
+    messages.repartitionByRange(batches * files, *by).select("topic", "value").write.parquet(path)
+    return files
 
 
 class ChangedTable:

@@ -54,3 +54,16 @@ def test_no_changes(spark, tmp_path):
     t = ChangedTable(IO.KeyedTable(spark, f"file://{tmp_path}/now"), IO.KeyedTable(spark, f"file://{tmp_path}/past"), S.schema(ROW), "id")
     t.apply(spark.createDataFrame([("a", None)], "topic string, value string"))
     assert t.rows() is None and t.intervals() is None
+
+
+def test_files_and_buckets_grow_in_number(spark, tmp_path, monkeypatch):
+    from kinolytics.streaming import changes as C
+
+    monkeypatch.setattr(C, "FILE_ROWS", 50)
+    monkeypatch.setattr(C, "BUCKET_ROWS", 50)
+    m = spark.range(2000).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("value"), (F.col("id") % 4).alias("part"), F.xxhash64("id").alias("deal"))
+    files = C.written_in_batches(m, f"file://{tmp_path}/in", 4, 2000, ["part", "deal"])
+    back = spark.read.parquet(f"file://{tmp_path}/in")
+    sizes = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert files == 10 and len(sizes) == 40 and max(sizes) < 150 and sum(sizes) == back.select("value").distinct().count() == 2000
+    assert (C.buckets_for(10), C.buckets_for(2000)) == (16, 40)
