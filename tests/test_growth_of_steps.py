@@ -131,3 +131,15 @@ def test_decomposition_in_blocks_and_bounded_passes(spark, monkeypatch):
     assert np.allclose(found.T @ found, np.eye(6), atol=1e-6)
     assert np.linalg.norm(matrix @ found) == pytest.approx(np.linalg.norm(matrix @ want), rel=1e-4)
     assert (found[np.abs(found).argmax(axis=0), range(6)] > 0).all()
+
+
+def test_vectors_of_profiles_list_no_place_of_a_vector(spark):
+    from kinolytics.plans import embeddings as E
+
+    titles = spark.createDataFrame([(1, [1.0, 0.0, 2.0]), (2, [0.0, 3.0, 1.0]), (3, None), (4, [0.0, 0.0, 0.0])], "title_id bigint, vector array<double>")
+    history = spark.createDataFrame([(1, 1, 0.5), (1, 2, None), (1, 3, 1.0), (2, 3, 1.0), (3, 4, 1.0), (4, 2, 0.01), (4, 9, 1.0)], "profile_id bigint, title_id bigint, completion_ratio double")
+    found = E.profile_vectors(history, titles)
+    assert "Generate" not in plan(found)
+    v = np.array([0.5, 0.15, 1.05])
+    got = {r["profile_id"]: r["vector"] for r in found.collect()}
+    assert set(got) == {1, 4} and got[1] == pytest.approx((v / np.linalg.norm(v)).tolist()) and got[4] == pytest.approx((np.array([0, 3, 1]) / 10**0.5).tolist())
