@@ -143,3 +143,46 @@ def test_vectors_of_profiles_list_no_place_of_a_vector(spark):
     v = np.array([0.5, 0.15, 1.05])
     got = {r["profile_id"]: r["vector"] for r in found.collect()}
     assert set(got) == {1, 4} and got[1] == pytest.approx((v / np.linalg.norm(v)).tolist()) and got[4] == pytest.approx((np.array([0, 3, 1]) / 10**0.5).tolist())
+
+
+def test_share_of_the_own_genre_is_the_maps(spark):
+    """The training set knows the affinity for each title's own genre without a map of all genres for any day."""
+    _, s = some_sessions(spark)
+    title_genres = spark.createDataFrame([(t, g) for t in range(5) for g in {t % 3, 3}], "title_id bigint, genre_id int")
+    genres = spark.createDataFrame([(g, f"g{g}") for g in range(4)], "genre_id int, genre_name string")
+    points = [(p, (DAY + dt.timedelta(days=d)), g) for p in (1, 2, 3, 9) for d in range(-3, 240, 5) for g in ("g0", "g3", "none", None)]
+    t = spark.createDataFrame([(*x, "basic") for x in points], "profile_id bigint, session_date date, primary_genre string, tier string")
+    found = FT.with_genre_share(t, s, title_genres, genres)
+    assert found.columns == ["profile_id", "session_date", "primary_genre", "genre_affinity", "tier"]
+    assert "map" not in plan(found).lower().replace("hashmap", "")
+    got = {tuple(r)[:3]: r["genre_affinity"] for r in found.collect()}
+    shares = {}
+    for r in T.genre_affinity(s, title_genres, genres).collect():
+        for day in (DAY + dt.timedelta(days=d) for d in range(-3, 240, 5)):
+            if r["valid_from"] <= day and (r["valid_to"] is None or day < r["valid_to"]):
+                shares[r["profile_id"], day, r["genre_name"]] = r["share"] or 0.0
+    assert got == {x: shares.get(x, 0.0) for x in points}
+    assert sum(x > 0 for x in got.values()) > 50
+
+
+def test_candidates_of_all_regions_are_searched_once(spark, monkeypatch):
+    """One search for all regions finds what one for each would."""
+    rng = np.random.default_rng(5)
+    unit = lambda n: [(k, (x / np.linalg.norm(x)).tolist()) for k, x in enumerate(rng.normal(size=(n, 4)))]
+    titles, vectors = spark.createDataFrame(unit(30), "title_id bigint, vector array<double>"), spark.createDataFrame(unit(12), "profile_id bigint, vector array<double>")
+    where = {t: [r for k, r in enumerate(("EU", "US", "AS")) if (t + k) % 3 or t % 5 == 0] for t in range(30)}
+    cat = spark.createDataFrame([(t, "g", t / 30, w) for t, w in where.items()], "title_id bigint, primary_genre string, popularity_score double, regions array<string>")
+    home = {p: ("EU", "US", "AS", "AF")[p % 4] for p in range(14)}
+    p = spark.createDataFrame(list(home.items()), "profile_id bigint, region_code string")
+    asked = []
+    whole = R.nearest
+    monkeypatch.setattr(R, "nearest", lambda *a, **k: asked.append(1) or whole(*a, **k))
+    found = {(r["profile_id"], r["retrieval_rank"]): (r["title_id"], r["reason"]) for r in R.candidates(p, vectors, titles, cat, 6).collect()}
+    assert len(asked) == 1
+    x, t, want = {r["profile_id"]: r["vector"] for r in vectors.collect()}, {r["title_id"]: r["vector"] for r in titles.collect()}, {}
+    for who, region in home.items():
+        here = [k for k, w in where.items() if region in w]
+        near = who in x
+        order = sorted(here, key=lambda k: (-round(float(np.dot(x[who], t[k])), 12), k) if near else (-k, k))[:6]  # noqa: B023
+        want |= {(who, n + 1): (k, "similar_to_your_history" if near else "popular_in_region") for n, k in enumerate(order)}
+    assert found == want
