@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinolytics.llm.common import connected_components, free_name, slices, small_batches, smallest_of, stored, utf8
+from kinolytics.llm.common import connected_components, free_name, local_heads, slices, small_batches, smallest_of, stored, utf8
 from kinolytics.llm.simhash import SEED, linked_prints
 
 #: Counters of how often shingles occur, by their digests' low bits: one for so many bytes of text, within these bounds (one byte each when broadcast).
@@ -41,6 +41,8 @@ TINY = 1e-9
 PARITIES = [f"p{k}" for k in range(8)]
 #: Digests of copies that a task remembers, so that it names their keys once.
 COPIES = 300_000
+#: Links whose components one group of a task works out (16 bytes each).
+LINKS = 1 << 18
 #: Rows that may be broadcast once they were counted (eight bytes each).
 MOST_ROWS = 1_000_000
 
@@ -206,14 +208,36 @@ def golay_pairs(classes: DataFrame, similarity: float) -> DataFrame:
     return both.filter(can_link(similarity, "a_", "b_")).select("src", "dst")
 
 
+def heads_of(links: DataFrame) -> DataFrame:
+    """(component, head): for each node of the links (src, dst) the smallest that they lead to.
+
+    Links are dealt to groups of about ``LINKS``, each of which becomes its nodes' links with their head there: what few links connect is known after one pass,
+    without rounds and their plans.  Only the heads of several groups are connected further in rounds, as nodes of a smaller graph.
+    """
+
+    def stars(part: pa.Table) -> pa.Table:
+        src, dst = (part.column(x).to_numpy() for x in ("src", "dst"))
+        ids, node = np.unique(np.concatenate([src, dst]), return_inverse=True)
+        head = local_heads([(node[: len(src)], node[len(src) :])], len(ids))
+        return pa.table({"component": ids, "head": ids[head]})
+
+    groups = max(1, -(-links.count() // LINKS))
+    near = links.withColumn("part", F.pmod(F.xxhash64("src"), F.lit(groups)))
+    near = near.groupBy("part").applyInArrow(stars, "component long, head long")
+    if groups == 1:
+        return near
+    near = stored(near)
+    edges = near.select(F.col("component").alias("src"), F.col("head").alias("dst"))
+    nodes = near.select(F.col("component").alias("id")).distinct()
+    return connected_components(links.sparkSession, nodes, edges).select(F.col("id").alias("component"), F.col("component").alias("head"))
+
+
 def merged(label: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels (digest, component) after new edges (src, dst) between digests: only the components that these join are worked on, as nodes of a smaller graph."""
     side = lambda x: label.select(F.col("digest").alias(x), F.col("component").alias(f"{x}_component"))
     links = edges.join(side("src"), "src").join(side("dst"), "dst").select(F.col("src_component").alias("src"), F.col("dst_component").alias("dst"))
     links = stored(links.filter("src != dst").distinct())
-    nodes = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    heads = connected_components(label.sparkSession, nodes, links).select(F.col("id").alias("component"), F.col("component").alias("head"))
-    return stored(label.join(heads, "component", "left").select("digest", F.coalesce("head", "component").alias("component")))
+    return stored(label.join(heads_of(links), "component", "left").select("digest", F.coalesce("head", "component").alias("component")))
 
 
 def linked_sets(docs: DataFrame, classes: DataFrame, keyed: DataFrame, width: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
