@@ -10,10 +10,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kinolytics.operators import ordering
 from kinolytics.operators import timetravel as T
 from kinolytics.plans import features as FT
 from kinolytics.plans import marts as M
 from kinolytics.plans import recommend as R
+from kinolytics.sources.shared import CLEANED, stored
 
 DAY = dt.date(2024, 1, 1)
 
@@ -186,3 +188,31 @@ def test_candidates_of_all_regions_are_searched_once(spark, monkeypatch):
         order = sorted(here, key=lambda k: (-round(float(np.dot(x[who], t[k])), 12), k) if near else (-k, k))[:6]  # noqa: B023
         want |= {(who, n + 1): (k, "similar_to_your_history" if near else "popular_in_region") for n, k in enumerate(order)}
     assert found == want
+
+
+def test_medians_order_only_what_lies_near_them(spark, monkeypatch):
+    """Distinct values, few values, nulls, an even count, infinite ends; and bounds that miss the median are not trusted."""
+    rng = np.random.default_rng(11)
+    n = 20_000
+    x = {"far": rng.normal(0, 1, n).tolist(), "few": rng.integers(0, 3, n).astype(float).tolist(), "holes": [None if k % 3 else float(k) for k in range(n)], "none": [None] * n, "ends": [float("-inf")] * (n // 2) + [float("inf")] * (n // 2 - 1) + [5.0]}
+    d = spark.createDataFrame(list(zip(*x.values(), strict=True)), ", ".join(f"{k} double" for k in x)).repartition(3)
+    counted = []
+    plain = ordering.running_totals
+    monkeypatch.setattr(ordering, "running_totals", lambda per, *rest: (counted.append(per.count()), plain(per, *rest))[1])
+    got = {r["feature"]: r["median"] for r in ordering.medians(d, list(x)).collect()}
+    want = {k: float(np.median([z for z in v if z is not None])) for k, v in x.items() if k != "none"}
+    assert got == want and counted[0] < 500
+    monkeypatch.setattr(F, "percentile_approx", lambda col, at, accuracy, f=F.percentile_approx: f(col, F.lit([0.1, 0.2]) if len(counted) == 1 else at, accuracy))
+    counted[:] = [0]
+    assert {r["feature"]: r["median"] for r in ordering.medians(d, list(x)).collect()} == want
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark, tmp_path):
+    import glob
+    import os
+
+    top = spark.conf.get("spark.local.dir")
+    files = lambda: set(glob.glob(f"{top}/blockmgr-*/*/shuffle_*.data"))
+    before, held = files(), spark.conf.get(CLEANED, "false")
+    t = stored(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).agg(F.sum("id").alias("x")))
+    assert t.count() == 100 and not [x for x in files() - before if os.path.getsize(x) > 500] and spark.conf.get(CLEANED, "false") == held
