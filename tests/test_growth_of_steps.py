@@ -216,3 +216,19 @@ def test_a_stored_step_leaves_no_shuffle_files(spark, tmp_path):
     before, held = files(), spark.conf.get(CLEANED, "false")
     t = stored(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).agg(F.sum("id").alias("x")))
     assert t.count() == 100 and not [x for x in files() - before if os.path.getsize(x) > 500] and spark.conf.get(CLEANED, "false") == held
+
+
+def test_features_and_scores_move_narrow_rows_only(spark):
+    """What is made of a profile's or a title's days stays where its sessions were dealt to: nothing is dealt by profile and day, or by title and day, again."""
+    s = some_sessions(spark)[1]
+    profiles = spark.createDataFrame([(p, p) for p in (1, 2, 3, 4)], "profile_id bigint, subscriber_id bigint")
+    history = spark.createDataFrame([(1, DAY, None, "active", DAY, 1, "basic"), (2, DAY, None, "paused", DAY, 2, "premium")], "subscriber_id bigint, valid_from date, valid_to date, status string, started_at date, __lsn bigint, tier string")
+    history = history.withColumns({x: F.col(x).cast("timestamp") for x in ("valid_from", "valid_to", "started_at")})
+    points = s.select("profile_id", F.col("session_date").alias("feature_date"))
+    found = FT.features_at(s, profiles, None, None, history, points, affinity=False)
+    dealt = [x for x in plan(found).splitlines() if "Exchange hashpartitioning" in x]
+    assert sum("profile_id" in x and " at#" in x for x in dealt) == 1  # the points' own rows, made distinct before they are dealt
+    want = {(r["profile_id"], r["feature_date"]): r["sessions_90d"] for r in T.profile_windows_at(s, points.distinct()).collect()}
+    assert {(r["profile_id"], r["feature_date"]): r["sessions_90d"] for r in found.collect()} == want
+    scores = M.title_popularity_at(s, s.select("title_id", F.col("session_date").alias("metric_date")), "2024-01-01", "2024-07-01")
+    assert not any("title_id" in x and " at#" in x for x in plan(scores).splitlines() if "Exchange hashpartitioning" in x)
