@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kinolytics.functions import expressions as X
 from kinolytics.operators import ordering
 from kinolytics.operators import timetravel as T
 from kinolytics.plans import features as FT
@@ -232,3 +233,15 @@ def test_features_and_scores_move_narrow_rows_only(spark):
     assert {(r["profile_id"], r["feature_date"]): r["sessions_90d"] for r in found.collect()} == want
     scores = M.title_popularity_at(s, s.select("title_id", F.col("session_date").alias("metric_date")), "2024-01-01", "2024-07-01")
     assert not any("title_id" in x and " at#" in x for x in plan(scores).splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_rounding_by_whole_numbers_is_the_same(spark):
+    """Ties, numbers a hair beside them, signs, zeros, very large and small ones, null, nan and infinity; and few rows need the decimal."""
+    rng = np.random.default_rng(14)
+    plain = (rng.normal(0, 1, 4000) * 10.0 ** rng.integers(-8, 9, 4000)).tolist()
+    ties = [k / 2 / 10**p * s for p in (4, 6, 9) for k in (1, 3, 5, 12345, 99999) for s in (1, -1)]
+    odd = [0.0, -0.0, -1e-12, 1e300, -1e18, float("nan"), float("inf"), float("-inf"), 2.675, 1.005, 0.1 + 0.2, None, *[float(np.nextafter(x, x * 2)) for x in ties], *ties]
+    d = spark.createDataFrame([(x,) for x in plain + odd], "x double")
+    for places in (4, 6, 9):
+        pairs = d.select(X.rounded(F.col("x"), places).alias("a"), F.round("x", places).alias("b")).collect()
+        assert [repr(r["a"]) for r in pairs] == [repr(r["b"]) for r in pairs]
